@@ -53,10 +53,12 @@ def stable_layout(
             for c in columns
         ],
     )
-    n = rounded.count()
+    # One pass over the trips: materialise, then size the layout from the
+    # stored copy. The hash layout below depends only on keys and ``parts``.
+    materialised = rounded.checkpoint(eager=True)
+    n = materialised.count()
     parts = max(1, math.ceil(n / rows_per_partition))
-    laid_out = rounded.repartition(parts, key).sortWithinPartitions(key)
-    return laid_out.checkpoint(eager=True)
+    return materialised.repartition(parts, key).sortWithinPartitions(key)
 
 
 def assemble_features(

@@ -169,9 +169,10 @@ def cluster_roles(gold: DataFrame) -> DataFrame:
         F.avg("total_trips").alias("mean_trips_per_zone"),
         F.avg("avg_trip_distance").alias("mean_distance"),
     )
-    p75 = stats.select("_p75").scalar()
-    p50 = stats.select("_p50").scalar()
-    dist = stats.select("_dist").scalar()
+    # One struct-valued scalar subquery, referenced three times: Spark runs
+    # it once (identical subqueries are reused).
+    row = stats.select(F.struct("_p75", "_p50", "_dist").alias("s")).scalar()
+    p75, p50, dist = row.getField("_p75"), row.getField("_p50"), row.getField("_dist")
     rank = F.dense_rank().over(Window.orderBy(F.desc("mean_trips_per_zone")))
     tier = (
         F.when(F.col("mean_trips_per_zone") >= p75, F.lit(TIER_HIGH))
@@ -189,11 +190,9 @@ def cluster_roles(gold: DataFrame) -> DataFrame:
     )
 
 
-def cluster_peak_hours(silver: DataFrame, gold: DataFrame, top: int = 3) -> DataFrame:
-    """Per cluster, its ``top`` busiest hours (dense rank, ties kept)
-    and each hour's share of the cluster's trips."""
-    cells = _cells_with_cluster(silver, gold, "hour_of_day")
+def _peak_hours(cells: DataFrame, top: int) -> DataFrame:
     hourly = cells.groupBy("prediction", "hour_of_day").agg(F.sum("trip_count").alias("trip_count"))
+    # At most K x 24 rows: each per-cluster window holds 24 rows.
     per_cluster = Window.partitionBy("prediction")
     ranked = hourly.select(
         "prediction",
@@ -205,6 +204,12 @@ def cluster_peak_hours(silver: DataFrame, gold: DataFrame, top: int = 3) -> Data
     return ranked.filter(F.col("hour_rank") <= F.lit(top))
 
 
+def cluster_peak_hours(silver: DataFrame, gold: DataFrame, top: int = 3) -> DataFrame:
+    """Per cluster, its ``top`` busiest hours (dense rank, ties kept)
+    and each hour's share of the cluster's trips."""
+    return _peak_hours(_cells_with_cluster(silver, gold, "hour_of_day"), top)
+
+
 # Day parts, hours inclusive; weekend = weekday 5 and 6.
 MORNING_RUSH = (7, 9)
 EVENING_RUSH = (16, 19)
@@ -212,28 +217,28 @@ NIGHT_FROM, NIGHT_TO = 22, 5
 WEEKEND_FROM = 5
 
 
-def cluster_daypart_share(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """Per cluster, share of trips on weekends, in the morning and
-    evening rush and at night."""
-    cells = _cells_with_cluster(silver, gold, "day_of_week", "hour_of_day")
+def _dayparts(cells: DataFrame) -> DataFrame:
     hour, dow, n = F.col("hour_of_day"), F.col("day_of_week"), F.col("trip_count")
 
     def share(cond):
         return F.sum(F.when(cond, n).otherwise(F.lit(0))) / F.sum(n)
 
-    return (
-        cells.groupBy("prediction")
-        .agg(
-            F.sum(n).alias("trips"),
-            share(dow >= F.lit(WEEKEND_FROM)).alias("weekend_share"),
-            share(hour.between(*MORNING_RUSH)).alias("morning_rush_share"),
-            share(hour.between(*EVENING_RUSH)).alias("evening_rush_share"),
-            share((hour >= F.lit(NIGHT_FROM)) | (hour <= F.lit(NIGHT_TO))).alias("night_share"),
-        )
-        .orderBy("prediction")
+    return cells.groupBy("prediction").agg(
+        F.sum(n).alias("trips"),
+        share(dow >= F.lit(WEEKEND_FROM)).alias("weekend_share"),
+        share(hour.between(*MORNING_RUSH)).alias("morning_rush_share"),
+        share(hour.between(*EVENING_RUSH)).alias("evening_rush_share"),
+        share((hour >= F.lit(NIGHT_FROM)) | (hour <= F.lit(NIGHT_TO))).alias("night_share"),
     )
 
 
+def cluster_daypart_share(silver: DataFrame, gold: DataFrame) -> DataFrame:
+    """Per cluster, share of trips on weekends, in the morning and
+    evening rush and at night."""
+    cells = _cells_with_cluster(silver, gold, "day_of_week", "hour_of_day")
+    return _dayparts(cells).orderBy("prediction")
+
+
 def advice_table(spark) -> DataFrame:
     """The fixed tier -> advice mapping as a (3-row) DataFrame."""
     return spark.createDataFrame(ADVICE, "demand_tier string, advice_code string, advice string")
@@ -244,12 +249,11 @@ def cluster_recommendations(silver: DataFrame, gold: DataFrame) -> DataFrame:
     (R10) and day-part shares (R11)."""
     spark = gold.sparkSession
     roles = cluster_roles(gold)
-    peak = cluster_peak_hours(silver, gold, top=1).groupBy("prediction").agg(
-        F.min("hour_of_day").alias("peak_hour")
-    )
-    parts = cluster_daypart_share(silver, gold).select(
-        "prediction", "weekend_share", "evening_rush_share"
-    )
+    # One (zone, weekday, hour) aggregation of the trips feeds both the
+    # peak hour and the day-part shares (its shuffle is reused).
+    cells = _cells_with_cluster(silver, gold, "day_of_week", "hour_of_day")
+    peak = _peak_hours(cells, 1).groupBy("prediction").agg(F.min("hour_of_day").alias("peak_hour"))
+    parts = _dayparts(cells).select("prediction", "weekend_share", "evening_rush_share")
     # Every input here has one row per cluster (K rows), so the joins are
     # broadcast by construction; the advice table has three rows.
     return (

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators.clean import clean_trips
 from zonepulse.operators.zones import attach_zone_names, gold_projection, zone_features
+from zonepulse.session import ensure_checkpoint_dir
 from zonepulse.sources.adapters import trips_from_events, trips_from_lineitem, zones_from_suppliers
 from zonepulse.sources.tables import read_table
 
@@ -46,9 +47,15 @@ def surrogate_gold(
 ) -> DataFrame:
     """Gold with ``prediction = pickup_location_id mod clusters``: the same
     shape as the K-Means gold, but computable by an SQL oracle, so every
-    cluster insight can be checked exactly."""
+    cluster insight can be checked exactly.
+
+    Like a stored gold table, the result is materialised once (a reliable
+    checkpoint in the shared checkpoint folder): the insights read it
+    several times and must not re-aggregate the trips each time.
+    """
     features = zone_features(silver_trips(spark, sf_dir, fixture))
     clustered = features.withColumn(
         "prediction", F.pmod(F.col("pickup_location_id"), F.lit(clusters)).cast("int")
     )
-    return gold_from_predictions(clustered, zones(spark, sf_dir))
+    ensure_checkpoint_dir(spark)
+    return gold_from_predictions(clustered, zones(spark, sf_dir)).checkpoint(eager=True)

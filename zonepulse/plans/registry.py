@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from zonepulse.operators import clean, demand, insights, profile, zones
 from zonepulse.operators.cluster import cluster_zones, sweep_frame
 from zonepulse.plans import inputs
+from zonepulse.plans.pipeline import write_silver
 from zonepulse.session import scratch_dir
-from zonepulse.sources.sinks import bronze_clone, readback_check, write_table
+from zonepulse.sources.sinks import bronze_clone
 from zonepulse.sources.tables import read_table, table_location
 from zonepulse.streaming import alerts as stream_alerts
 
@@ -79,12 +80,11 @@ def q_scan_zones(spark, sf):
 
 
 def q_write_silver(spark, sf):
-    """K2 + K8: write silver (partitioned by year, month) to a fresh folder
-    under the checkpoint folder, verify, and return the re-scanned table."""
-    silver = _silver(spark, sf)
+    """K2 + K8: write silver (files sorted by year, month, day) to a fresh
+    folder under the checkpoint folder, verify, and return the re-scanned
+    table."""
     target = os.path.join(scratch_dir(spark, "silver"), "silver_trips")
-    write_table(silver, target, partition_by=["year", "month"])
-    return readback_check(spark, target, silver).select(*silver.columns)
+    return write_silver(_silver(spark, sf), target)
 
 
 def q_bronze_clone(spark, sf):

@@ -7,9 +7,11 @@ A target is a folder (written as Parquet) or a catalog table name
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from zonepulse.sources.tables import is_path, scan
 
@@ -20,8 +22,15 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] | None = None,
     options: dict[str, str] | None = None,
-) -> str:
-    writer = df.write.mode(mode)
+) -> int:
+    """Write ``df`` and return the number of rows written.
+
+    The count is an observed metric of the write job itself
+    (``DataFrame.observe``), so verifying it costs no second pass.
+    """
+    observation = Observation(f"write-{uuid.uuid4().hex[:8]}")
+    observed = df.observe(observation, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.mode(mode)
     for key, value in (options or {}).items():
         writer = writer.option(key, value)
     if partition_by:
@@ -30,19 +39,24 @@ def write_table(
         writer.parquet(target)
     else:
         writer.saveAsTable(target)
-    return target
+    return int(observation.get["rows"])
 
 
-def readback_check(spark: SparkSession, target: str, expected: DataFrame) -> DataFrame:
+def readback_check(
+    spark: SparkSession, target: str, expected: DataFrame, expected_rows: int | None = None
+) -> DataFrame:
     """K8: re-scan ``target`` and assert it has the written columns, types
-    and row count. Compares names/types order-insensitively because a
-    partitioned Parquet folder lists partition columns last."""
+    and row count. Names/types are compared order-insensitively because a
+    partitioned Parquet folder lists partition columns last.
+    ``expected_rows`` (from ``write_table``) avoids recomputing
+    ``expected``; without it the expected frame is counted."""
     stored = scan(spark, target)
     want = sorted((f.name, f.dataType.simpleString()) for f in expected.schema.fields)
     got = sorted((f.name, f.dataType.simpleString()) for f in stored.schema.fields)
     if want != got:
         raise AssertionError(f"schema of {target} differs: {got} != {want}")
-    n_stored, n_expected = stored.count(), expected.count()
+    n_expected = expected.count() if expected_rows is None else expected_rows
+    n_stored = stored.count()
     if n_stored != n_expected:
         raise AssertionError(f"{target}: {n_stored} rows stored, {n_expected} expected")
     return stored
@@ -54,17 +68,16 @@ def write_and_check(
     target: str,
     partition_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Overwrite ``target`` with ``df`` and return the re-scanned table.
+    """Overwrite ``target`` with ``df`` and return the verified re-scan.
 
     Overwriting a table that the plan itself reads fails in Spark; callers
     write derived layers to new targets (raw -> silver -> gold).
     """
-    write_table(df, target, partition_by=partition_by)
-    return readback_check(spark, target, scan(spark, target))
+    rows = write_table(df, target, partition_by=partition_by)
+    return readback_check(spark, target, df, rows)
 
 
 def bronze_clone(spark: SparkSession, source: str, target: str) -> DataFrame:
     """K1: copy the raw table unchanged into the bronze layer."""
     raw = scan(spark, source)
-    write_table(raw, target)
-    return readback_check(spark, target, raw)
+    return write_and_check(spark, raw, target)
