@@ -102,24 +102,41 @@ def silhouette(predictions: DataFrame) -> float | None:
 class Sweep:
     results: list[tuple[int, float | None]]
     best_k: int
-    best_model: KMeansModel
+    best_model: KMeansModel | None
 
 
-def k_sweep(vectors: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED) -> Sweep:
+def distinct_points(vectors: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) -> int:
+    return vectors.select(*columns).distinct().count()
+
+
+def k_sweep(
+    vectors: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED, columns: Sequence[str] = FEATURE_COLUMNS
+) -> Sweep:
     """M5 + M6: fit every K, score by silhouette, keep the best model
     (highest silhouette; the smallest K wins ties). Each fit and each
-    evaluation is a distributed job over the persisted vectors."""
+    evaluation is a distributed job over the persisted vectors.
+
+    A K larger than the number of distinct points cannot be fitted (Spark
+    fails); such a K is reported with no score."""
     results: list[tuple[int, float | None]] = []
     best: tuple[int, float, KMeansModel] | None = None
+    points = distinct_points(vectors, columns)
     for k in ks:
+        if k > points:
+            results.append((k, None))
+            continue
         model = fit_kmeans(vectors, k, seed)
         score = silhouette(model.transform(vectors))
         results.append((k, score))
         if score is not None and (best is None or score > best[1]):
             best = (k, score, model)
     if best is None:
-        # Fewer than two distinct zones: fall back to the smallest K.
-        k0 = ks[0]
+        # No K could be scored: fewer points than every K. Use one cluster
+        # per distinct point (K-Means needs K >= 2; a single point is
+        # cluster 0 without a model).
+        if points < 2:
+            return Sweep(results=results, best_k=1, best_model=None)
+        k0 = min(min(ks), points)
         best = (k0, float("nan"), fit_kmeans(vectors, k0, seed))
     return Sweep(results=results, best_k=best[0], best_model=best[2])
 
@@ -157,9 +174,12 @@ def cluster_zones(
     vectors = assemble_features(stable, scale=scale).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sweep = k_sweep(vectors, ks, seed)
-        clustered = sweep.best_model.transform(vectors).withColumn(
-            "prediction", F.col("prediction").cast("int")
-        )
+        if sweep.best_model is None:
+            clustered = vectors.withColumn("prediction", F.lit(0))
+        else:
+            clustered = sweep.best_model.transform(vectors).withColumn(
+                "prediction", F.col("prediction").cast("int")
+            )
         clustered = clustered.drop("features").checkpoint(eager=True)
     finally:
         vectors.unpersist()
