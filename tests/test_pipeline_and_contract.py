@@ -29,6 +29,8 @@ def test_pipeline_writes_every_layer(spark, tmp_dir):
     assert gold.count() == 9 and gold.filter("prediction IS NULL").count() == 0
     assert scan(spark, loc["recommendations"]).count() == 9
     assert scan(spark, loc["demand_alerts"]).count() == 30
+    vectors = scan(spark, loc["gold_vectors"])
+    assert vectors.count() == 9 and "features" in vectors.columns
     sweep = scan(spark, loc["kmeans_sweep"]).collect()
     assert sum(r["chosen"] for r in sweep) == 1
 
@@ -39,7 +41,7 @@ def test_entry_contract(spark):
     assert df.count() > 0
     queries, sql = mod.queries(), mod.oracle_sql()
     assert set(sql) <= set(queries)
-    assert set(queries) - set(sql) == {"kmeans_sweep", "gold_kmeans", "kmeans_cluster_summary"}
+    assert set(queries) - set(sql) == {"kmeans_sweep", "gold_kmeans", "kmeans_cluster_summary", "distribution_summary"}
 
 
 ENTRY = None

@@ -141,3 +141,25 @@ def test_profile_and_distribution(spark):
     assert sum(r["trips"] for r in hist) == len(pdf)
     corr = profile.feature_correlation(silver, ["trip_distance", "fare_amount"]).first()["corr"]
     assert abs(corr - pd.Series(pdf["trip_distance"]).corr(pdf["fare_amount"])) < 1e-9
+
+
+def test_distribution_summary_within_sketch_error(spark):
+    from zonepulse.operators import profile
+
+    silver = inputs.silver_trips(spark, SF_MID)
+    accuracy = 10_000  # coarse on purpose so the error bound is exercised
+    got = profile.distribution_summary(silver, ["fare_amount", "trip_distance"], accuracy=accuracy).collect()
+    pdf = silver.select("fare_amount", "trip_distance").toPandas()
+    n = len(pdf)
+    slack = 2 * n / accuracy + 1
+    for r in got:
+        values = sorted(pdf[r["column"]].tolist())
+        target = math.ceil(r["quantile"] * n)  # 1-based rank of the exact answer
+        lo = sum(v < r["value"] for v in values) + 1
+        hi = sum(v <= r["value"] for v in values)
+        assert r["value"] in values
+        assert lo - slack <= target <= hi + slack, (r, lo, hi, target)
+    exact_small = profile.distribution_summary(inputs.silver_trips(spark, SF_SMALL), ["fare_amount"]).collect()
+    small = sorted(inputs.silver_trips(spark, SF_SMALL).select("fare_amount").toPandas()["fare_amount"])
+    for r in exact_small:  # few rows: the sketch keeps every value
+        assert r["value"] == brute_percentile_disc(small, r["quantile"])

@@ -167,9 +167,11 @@ def cluster_zones(
     scale: bool = False,
     canonical_labels: bool = True,
     key: str = "pickup_location_id",
+    keep_features: bool = False,
 ) -> tuple[DataFrame, Sweep]:
     """M7: zones with an int ``prediction`` from the best K of the sweep
-    (the sweep's model is reused, not refitted)."""
+    (the sweep's model is reused, not refitted). ``keep_features`` keeps
+    the assembled ``features`` vector column."""
     stable = stable_layout(zone_frame, key)
     vectors = assemble_features(stable, scale=scale).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -180,7 +182,9 @@ def cluster_zones(
             clustered = sweep.best_model.transform(vectors).withColumn(
                 "prediction", F.col("prediction").cast("int")
             )
-        clustered = clustered.drop("features").checkpoint(eager=True)
+        if not keep_features:
+            clustered = clustered.drop("features")
+        clustered = clustered.checkpoint(eager=True)
     finally:
         vectors.unpersist()
     if canonical_labels:

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from zonepulse.functions.quantiles import percentile_disc
 
 # Quantiles reported by the distribution summary.
 SUMMARY_QUANTILES = (0.25, 0.5, 0.75, 0.9)
+SKETCH_ACCURACY = 100_000
 
 
 def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -64,20 +64,34 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def distribution_summary(
-    df: DataFrame, columns: Sequence[str], quantiles: Sequence[float] = SUMMARY_QUANTILES
+    df: DataFrame,
+    columns: Sequence[str],
+    quantiles: Sequence[float] = SUMMARY_QUANTILES,
+    accuracy: int = SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Exact discrete quantiles of each column, one scan, one row per
-    (column, quantile)."""
+    """Quantiles of each column, one scan, one row per (column,
+    quantile).
+
+    Continuous columns have about as many distinct values as rows, so an
+    exact ``percentile_disc`` would hold them all in one final task. A
+    quantile sketch (``percentile_approx``) has bounded memory and merges
+    map-side; its rank error is at most ``rows / accuracy`` and it returns
+    the exact element while the column has no more than about
+    ``accuracy / 2`` rows."""
+    qs = F.array(*[F.lit(float(q)) for q in quantiles])
     exprs = [
         F.struct(
             F.lit(c).alias("column"),
-            F.lit(float(q)).alias("quantile"),
-            percentile_disc(c, q).cast("double").alias("value"),
+            qs.alias("quantiles"),
+            F.percentile_approx(F.col(c).cast("double"), qs, accuracy).alias("values"),
         )
         for c in columns
-        for q in quantiles
     ]
-    return df.agg(F.array(*exprs).alias("_q")).select(F.inline("_q"))
+    return (
+        df.agg(F.array(*exprs).alias("_q"))
+        .select(F.inline("_q"))
+        .select("column", F.inline(F.arrays_zip(F.col("quantiles").alias("quantile"), F.col("values").alias("value"))))
+    )
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:

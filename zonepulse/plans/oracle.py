@@ -9,8 +9,6 @@ exact (both engines perform the same IEEE operations).
 
 from __future__ import annotations
 
-D = "CAST({} AS DOUBLE)"
-
 RAW_B = """raw AS (
   SELECT l_orderkey AS trip_id,
          l_quantity AS trip_distance,
@@ -256,17 +254,6 @@ def _profile() -> str:
     return with_(RAW_B) + "\nUNION ALL\n".join(parts)
 
 
-def _distribution() -> str:
-    parts = []
-    for col in ["trip_distance", "fare_amount", "avg_speed_mph"]:
-        for q in (0.25, 0.5, 0.75, 0.9):
-            parts.append(
-                f"SELECT '{col}' AS \"column\", CAST({q} AS DOUBLE) AS quantile, "
-                f"CAST(quantile_disc({col}, {q}) AS DOUBLE) AS value FROM silver"
-            )
-    return SB + "\nUNION ALL\n".join(parts)
-
-
 def _correlation() -> str:
     parts = []
     for i, a in enumerate(FEATURES):
@@ -420,7 +407,6 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM silver) AS silver_rows",
     "preview": SB + f"SELECT * FROM silver ORDER BY {SILVER_COLS} LIMIT 10",
     "data_profile": _profile(),
-    "distribution_summary": _distribution(),
     "distance_histogram": SB
     + "SELECT CAST(floor(trip_distance / CAST(5.0 AS DOUBLE)) * CAST(5.0 AS DOUBLE) AS DOUBLE) AS bin_start, "
     "count(*) AS trips FROM silver WHERE trip_distance IS NOT NULL AND NOT isnan(trip_distance) GROUP BY 1",

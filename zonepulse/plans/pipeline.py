@@ -58,10 +58,12 @@ def build_gold(
     ks: Sequence[int] = K_RANGE,
     seed: int = SEED,
     scale: bool = False,
-) -> tuple[DataFrame, Sweep]:
-    """G6 -> M1..M7 -> J1 -> P6."""
-    clustered, sweep = cluster_zones(zone_features(silver), ks=ks, seed=seed, scale=scale)
-    return gold_projection(attach_zone_names(clustered, zone_dim)), sweep
+) -> tuple[DataFrame, DataFrame, Sweep]:
+    """G6 -> M1..M7 -> J1 -> P6. Returns (gold, clustered zones with their
+    feature vectors, sweep)."""
+    clustered, sweep = cluster_zones(zone_features(silver), ks=ks, seed=seed, scale=scale, keep_features=True)
+    gold = gold_projection(attach_zone_names(clustered.drop("features"), zone_dim))
+    return gold, clustered, sweep
 
 
 def run_pipeline(
@@ -80,7 +82,7 @@ def run_pipeline(
     the current layer."""
     ensure_checkpoint_dir(spark)
     loc = {name: os.path.join(out_base, name) for name in (
-        "silver", "hourly_demand", "dow_demand", "kmeans_sweep", "gold", "recommendations",
+        "silver", "hourly_demand", "dow_demand", "kmeans_sweep", "gold_vectors", "gold", "recommendations",
         "demand_alerts",
     )}
 
@@ -92,8 +94,9 @@ def run_pipeline(
     write_table(hourly.orderBy("hour_of_day"), loc["hourly_demand"])
     write_table(dow.orderBy("day_of_week"), loc["dow_demand"])
 
-    gold, sweep = build_gold(silver, zone_dim, ks=ks, seed=seed, scale=scale)
+    gold, vectors, sweep = build_gold(silver, zone_dim, ks=ks, seed=seed, scale=scale)
     write_table(sweep_frame(spark, sweep), loc["kmeans_sweep"])
+    write_table(vectors, loc["gold_vectors"])  # K5: zones, features vector, cluster
     gold = write_and_check(spark, gold, loc["gold"])
 
     write_table(insights.recommendations(gold), loc["recommendations"])

@@ -20,6 +20,18 @@ DEFAULT_CONF = {
 }
 
 
+# Extra defaults for cluster runs (not applied to local sessions): many
+# shuffle partitions that AQE coalesces towards the advisory size, larger
+# scan splits, and skew splitting for partitions far above the median.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "zonepulse",
@@ -34,7 +46,9 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
+    local = master is not None and master.startswith("local")
+    settings = {**DEFAULT_CONF, **({} if local else CLUSTER_CONF), **(conf or {})}
+    for key, value in settings.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
