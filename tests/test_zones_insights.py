@@ -48,7 +48,7 @@ def test_percentile_disc_is_an_element(spark, n, q):
 
 
 def test_hotspot_threshold_is_inclusive(spark):
-    gold = inputs.surrogate_gold(spark, SF_MID)
+    gold = inputs.demand_band_gold(spark, SF_MID)
     thr = insights.trips_threshold(gold).first()[0]
     hot = insights.hotspots(gold, cluster=0).collect()
     assert all(r["total_trips"] >= thr and r["prediction"] == 0 for r in hot)
@@ -65,7 +65,7 @@ def test_alert_threshold_and_ties(spark):
 
 def test_cluster_totals_add_up(spark):
     silver = inputs.silver_trips(spark, SF_MID)
-    gold = inputs.surrogate_gold(spark, SF_MID)
+    gold = inputs.demand_band_gold(spark, SF_MID)
     total = insights.cluster_summary(gold).agg(F.sum("total_trips_cluster")).first()[0]
     assert total == silver.count()
     by_hour = insights.cluster_hourly_demand(silver, gold, cluster=0).agg(F.sum("trip_count")).first()[0]
@@ -74,7 +74,7 @@ def test_cluster_totals_add_up(spark):
 
 
 def test_top_zones_per_cluster_matches_pandas(spark):
-    gold = inputs.surrogate_gold(spark, SF_MID)
+    gold = inputs.demand_band_gold(spark, SF_MID)
     got = {(r["prediction"], r["zone_rank"], r["pickup_location_id"]) for r in insights.top_zones_per_cluster(gold, 3).collect()}
     pdf = gold.select("prediction", "pickup_location_id", "total_trips").toPandas()
     pdf = pdf.sort_values(["prediction", "total_trips", "pickup_location_id"], ascending=[True, False, True])
@@ -84,7 +84,7 @@ def test_top_zones_per_cluster_matches_pandas(spark):
 
 
 def test_cluster_roles_rank_every_cluster(spark):
-    gold = inputs.surrogate_gold(spark, SF_MID)
+    gold = inputs.demand_band_gold(spark, SF_MID)
     roles = insights.cluster_roles(gold).orderBy("demand_rank").collect()
     means = [r["mean_trips_per_zone"] for r in roles]
     assert means == sorted(means, reverse=True)

@@ -17,8 +17,8 @@ from zonepulse.sources.adapters import trips_from_events, trips_from_lineitem, z
 from zonepulse.sources.tables import read_table
 
 FIXTURES = ("lineitem", "events")
-# Clusters of the surrogate gold used for SQL-checkable cluster insights.
-SURROGATE_CLUSTERS = 5
+# Bands of the demand-band gold used for SQL-checkable cluster insights.
+DEMAND_BANDS = 5
 
 
 def raw_trips(spark: SparkSession, sf_dir: str, fixture: str = "lineitem") -> DataFrame:
@@ -42,20 +42,24 @@ def gold_from_predictions(clustered: DataFrame, zone_dim: DataFrame) -> DataFram
     return gold_projection(attach_zone_names(clustered, zone_dim))
 
 
-def surrogate_gold(
-    spark: SparkSession, sf_dir: str, fixture: str = "lineitem", clusters: int = SURROGATE_CLUSTERS
+def demand_band_gold(
+    spark: SparkSession, sf_dir: str, fixture: str = "lineitem", bands: int = DEMAND_BANDS
 ) -> DataFrame:
-    """Gold with ``prediction = pickup_location_id mod clusters``: the same
-    shape as the K-Means gold, but computable by an SQL oracle, so every
-    cluster insight can be checked exactly.
+    """Gold whose ``prediction`` is the zone's equal-width band of trip
+    volume (0 = busiest band): a deterministic, data-derived grouping with
+    the K-Means gold's shape that an SQL engine reproduces exactly, so every
+    cluster insight can be checked against SQL.
 
     Like a stored gold table, the result is materialised once (a reliable
     checkpoint in the shared checkpoint folder): the insights read it
     several times and must not re-aggregate the trips each time.
     """
     features = zone_features(silver_trips(spark, sf_dir, fixture))
-    clustered = features.withColumn(
-        "prediction", F.pmod(F.col("pickup_location_id"), F.lit(clusters)).cast("int")
-    )
+    span = features.agg(F.max("total_trips").alias("hi"), F.min("total_trips").alias("lo"))
+    limits = span.select(F.struct("hi", "lo").alias("s")).scalar()
+    hi, lo = limits.getField("hi"), limits.getField("lo")
+    share = F.try_divide((hi - F.col("total_trips")).cast("double"), (hi - lo).cast("double"))
+    band = F.least(F.floor(share * F.lit(float(bands))).cast("int"), F.lit(bands - 1))
+    clustered = features.withColumn("prediction", F.coalesce(band, F.lit(0)))
     ensure_checkpoint_dir(spark)
     return gold_from_predictions(clustered, zones(spark, sf_dir)).checkpoint(eager=True)

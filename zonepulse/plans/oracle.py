@@ -89,9 +89,12 @@ ZF = """zf AS (
          avg(trip_duration_min) AS avg_duration_min
   FROM silver GROUP BY pickup_location_id)"""
 
-GOLD = """gold AS (
+GOLD = """span AS (SELECT max(total_trips) AS hi, min(total_trips) AS lo FROM zf),
+gold AS (
   SELECT zf.pickup_location_id, z.zone_name, z.borough,
-         CAST(zf.pickup_location_id % 5 AS INTEGER) AS prediction,
+         COALESCE(LEAST(CAST(floor(CAST((SELECT hi FROM span) - zf.total_trips AS DOUBLE)
+                  / CAST(NULLIF((SELECT hi FROM span) - (SELECT lo FROM span), 0) AS DOUBLE) * 5.0) AS INTEGER), 4), 0)
+           AS prediction,
          zf.total_trips, zf.avg_trip_distance, zf.avg_fare_amount, zf.avg_tip_amount,
          zf.avg_speed, zf.avg_duration_min
   FROM zf LEFT JOIN zones z ON zf.pickup_location_id = z.zone_id)"""
@@ -127,7 +130,7 @@ def with_(*ctes: str) -> str:
 
 SB = with_(RAW_B, DERIVED, SILVER)  # silver, fixture B
 SA = with_(RAW_A, DERIVED, SILVER)  # silver, fixture A
-GB = with_(RAW_B, DERIVED, SILVER, ZONES, ZF, GOLD)  # surrogate gold, fixture B
+GB = with_(RAW_B, DERIVED, SILVER, ZONES, ZF, GOLD)  # demand-band gold, fixture B
 
 DAY_NAME = (
     "CASE day_of_week WHEN 0 THEN 'Mon' WHEN 1 THEN 'Tue' WHEN 2 THEN 'Wed' WHEN 3 THEN 'Thu' "
@@ -332,8 +335,8 @@ ORACLE_SQL: dict[str, str] = {
     "top_zones_named": _top_named(RAW_B, 20),
     "top_zones_named_all": _top_named(RAW_B, None),
     "top_zones_named_events": _top_named(RAW_A, 20),
-    # cluster insights, surrogate gold
-    "gold_surrogate": GB + f"SELECT {GOLD_SELECT} FROM gold",
+    # cluster insights, demand-band gold
+    "gold_demand_bands": GB + f"SELECT {GOLD_SELECT} FROM gold",
     "cluster_keys": GB + "SELECT pickup_location_id, prediction FROM gold",
     "cluster_summary": GB
     + "SELECT prediction, count(*) AS num_zones, CAST(sum(total_trips) AS BIGINT) AS total_trips_cluster, "

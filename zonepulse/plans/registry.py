@@ -64,7 +64,7 @@ def _raw(spark, sf, fixture="lineitem"):
 
 
 def _gold(spark, sf, fixture="lineitem"):
-    return inputs.surrogate_gold(spark, sf, fixture)
+    return inputs.demand_band_gold(spark, sf, fixture)
 
 
 # -- sources / sinks ---------------------------------------------------------
@@ -213,7 +213,7 @@ def q_top_zones_named_events(spark, sf):
     return zones.top_zones_named(_silver(spark, sf, "events"), inputs.zones(spark, sf), 20)
 
 
-# -- cluster insights (surrogate gold) ------------------------------------------
+# -- cluster insights on the demand-band gold (SQL-checkable) -------------------
 
 def _on_gold(op, **kw):
     def run(spark, sf):
@@ -233,8 +233,8 @@ def _on_silver_gold(op, **kw):
     return run
 
 
-def q_gold_surrogate(spark, sf):
-    """Gold rows (surrogate clusters)."""
+def q_gold_demand_bands(spark, sf):
+    """Gold rows (clusters = demand bands)."""
     return _gold(spark, sf)
 
 
@@ -359,8 +359,8 @@ QUERIES: dict[str, Query] = {
     "top_zones_named": _q(q_top_zones_named),
     "top_zones_named_all": _q(q_top_zones_named_all),
     "top_zones_named_events": _q(q_top_zones_named_events),
-    # cluster insights on the surrogate gold
-    "gold_surrogate": _q(q_gold_surrogate),
+    # cluster insights on the demand-band gold
+    "gold_demand_bands": _q(q_gold_demand_bands),
     "cluster_keys": _q(q_cluster_keys),
     "cluster_summary": _q(_on_gold(insights.cluster_summary)),
     "cluster_summary_chart": _q(_on_gold(insights.cluster_summary_chart)),
