@@ -6,9 +6,9 @@ still depends on how rows are laid out in partitions. To make the labels,
 silhouettes and the chosen K reproducible, the zone frame is given a
 layout that depends only on the data: features rounded (removing
 summation-order noise of the averages), hash-partitioned on the zone key
-into a data-derived number of partitions, sorted within partitions, then
-checkpointed to the shared checkpoint folder (a lineage cut that survives
-executor loss and is reused by every fit and evaluation of the sweep).
+into a data-derived number of partitions, sorted within partitions; the rounded frame is
+stored once in the shared checkpoint folder (a lineage cut that survives
+executor loss) and the laid-out vectors are persisted for the sweep.
 Cluster ids are finally renumbered by demand so they mean the same thing
 on every run.
 """
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.operators.zones import FEATURE_COLUMNS
-from zonepulse.session import ensure_checkpoint_dir
+from zonepulse.session import materialize
 
 # The K range of the sweep, the seed, feature rounding.
 K_RANGE = (3, 4, 5, 6)
@@ -43,9 +43,8 @@ def stable_layout(
     digits: int = ROUND_DIGITS,
     rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
-    """Round features and fix the partition layout as a function of the
-    data only; checkpoint the result (reliable checkpoint, shared folder)."""
-    ensure_checkpoint_dir(zone_frame.sparkSession)
+    """Round features, store them once (shared checkpoint folder) and fix
+    the partition layout as a function of the data only."""
     rounded = zone_frame.select(
         key,
         *[
@@ -55,7 +54,7 @@ def stable_layout(
     )
     # One pass over the trips: materialise, then size the layout from the
     # stored copy. The hash layout below depends only on keys and ``parts``.
-    materialised = rounded.checkpoint(eager=True)
+    materialised = materialize(rounded, "zone-features")
     n = materialised.count()
     parts = max(1, math.ceil(n / rows_per_partition))
     return materialised.repartition(parts, key).sortWithinPartitions(key)
@@ -184,7 +183,7 @@ def cluster_zones(
             )
         if not keep_features:
             clustered = clustered.drop("features")
-        clustered = clustered.checkpoint(eager=True)
+        clustered = materialize(clustered, "zone-clusters")
     finally:
         vectors.unpersist()
     if canonical_labels:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators.clean import clean_trips
 from zonepulse.operators.zones import attach_zone_names, gold_projection, zone_features
-from zonepulse.session import ensure_checkpoint_dir
+from zonepulse.session import materialize
 from zonepulse.sources.adapters import trips_from_events, trips_from_lineitem, zones_from_suppliers
 from zonepulse.sources.tables import read_table
 
@@ -50,8 +50,8 @@ def demand_band_gold(
     the K-Means gold's shape that an SQL engine reproduces exactly, so every
     cluster insight can be checked against SQL.
 
-    Like a stored gold table, the result is materialised once (a reliable
-    checkpoint in the shared checkpoint folder): the insights read it
+    Like a stored gold table, the result is materialised once (written to
+    the shared checkpoint folder and read back): the insights read it
     several times and must not re-aggregate the trips each time.
     """
     features = zone_features(silver_trips(spark, sf_dir, fixture))
@@ -61,5 +61,4 @@ def demand_band_gold(
     share = F.try_divide((hi - F.col("total_trips")).cast("double"), (hi - lo).cast("double"))
     band = F.least(F.floor(share * F.lit(float(bands))).cast("int"), F.lit(bands - 1))
     clustered = features.withColumn("prediction", F.coalesce(band, F.lit(0)))
-    ensure_checkpoint_dir(spark)
-    return gold_from_predictions(clustered, zones(spark, sf_dir)).checkpoint(eager=True)
+    return materialize(gold_from_predictions(clustered, zones(spark, sf_dir)), "gold-bands")

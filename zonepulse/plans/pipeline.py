@@ -33,7 +33,7 @@ from zonepulse.operators import clean, demand, insights
 from zonepulse.operators.cluster import K_RANGE, SEED, Sweep, cluster_zones, sweep_frame
 from zonepulse.operators.zones import attach_zone_names, gold_projection, zone_features
 from zonepulse.plans import inputs
-from zonepulse.session import build_session, ensure_checkpoint_dir
+from zonepulse.session import build_session, ensure_checkpoint_dir, materialize
 from zonepulse.sources.sinks import readback_check, write_and_check, write_table
 from zonepulse.sources.tables import scan
 
@@ -88,7 +88,7 @@ def run_pipeline(
 
     silver = write_silver(clean.clean_trips(raw), loc["silver"], partition_by=partition_by)
 
-    temporal = demand.temporal_demand(silver).checkpoint(eager=True)
+    temporal = materialize(demand.temporal_demand(silver), "temporal-demand")
     hourly = temporal.filter(F.col("grain") == "hour").select("hour_of_day", "trip_count")
     dow = temporal.filter(F.col("grain") == "dow").select("day_of_week", "trip_count")
     write_table(hourly.orderBy("hour_of_day"), loc["hourly_demand"])

@@ -100,3 +100,17 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     import uuid
 
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as Parquet to a fresh folder under the
+    shared checkpoint folder and reading it back.
+
+    One job computes ``df`` once (``DataFrame.checkpoint`` computes an
+    uncached plan twice: once for its count, once to write the files), the
+    copy is columnar with statistics, and a lost executor recomputes only
+    from the stored copy.
+    """
+    target = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.parquet(target)
