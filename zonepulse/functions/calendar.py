@@ -41,3 +41,33 @@ def time_parts(ts: str | Column) -> dict[str, Column]:
         "day_of_week": F.weekday(col),
         "hour_of_day": F.hour(col),
     }
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def epoch_micros(ts: str | Column, dtype: str = "timestamp_ntz") -> Column:
+    """Microseconds since 1970-01-01 00:00, independent of the session
+    time zone: a TIMESTAMP_NTZ wall clock is read as UTC, a TIMESTAMP is an
+    instant already."""
+    col = F.col(ts) if isinstance(ts, str) else ts
+    if dtype == "timestamp":
+        return F.unix_micros(col)
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), col)
+
+
+def epoch_seconds(ts: str | Column, dtype: str = "timestamp_ntz") -> Column:
+    """Whole seconds since the epoch (floor), session-time-zone independent."""
+    return F.floor(epoch_micros(ts, dtype) / F.lit(1_000_000))
+
+
+def instant_from_ntz(ts: str | Column) -> Column:
+    """TIMESTAMP instant of a TIMESTAMP_NTZ wall clock read as UTC."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def ntz_from_instant(ts: str | Column) -> Column:
+    """TIMESTAMP_NTZ wall clock (UTC) of a TIMESTAMP instant."""
+    col = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_add("MICROSECOND", F.unix_micros(col), _epoch_ntz())

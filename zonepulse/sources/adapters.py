@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonepulse.functions.calendar import time_parts
+from zonepulse.functions.calendar import epoch_micros, epoch_seconds, time_parts
 
 RAW_COLUMNS = [
     "trip_id",
@@ -87,7 +87,8 @@ def next_event_time(
     one-row-per-(key, bucket) frame; that frame's window per key holds at
     most (time span / bucket width) rows.
     """
-    bucket = F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds * 1_000_000))
+    micros = epoch_micros(ts, dict(events.dtypes)[ts])
+    bucket = F.floor(micros / F.lit(bucket_seconds * 1_000_000))
     staged = events.withColumn("_bucket", bucket)
     in_bucket = Window.partitionBy(key, "_bucket").orderBy(F.col(ts), F.col(tiebreak))
     staged = staged.withColumn("_next_in_bucket", F.lead(ts).over(in_bucket))
@@ -105,12 +106,14 @@ def next_event_time(
 
 def trips_from_events(events: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
     """Fixture A: an event is a pickup in zone ``user_id``; the trip lasts
-    until the same user's next event (whole seconds between epoch seconds).
+    until the same user's next event (difference of whole epoch seconds,
+    independent of the session time zone).
     The dropoff zone is the integer ``k`` of the JSON ``props``."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     with_next = next_event_time(events, bucket_seconds=bucket_seconds)
-    start = F.unix_seconds(F.col("ts").cast("timestamp"))
-    end = F.unix_seconds(F.col("next_ts").cast("timestamp"))
+    ts_type = dict(events.dtypes)["ts"]
+    start = epoch_seconds("ts", ts_type)
+    end = epoch_seconds("next_ts", ts_type)
     return with_next.select(
         F.col("event_id").cast("bigint").alias("trip_id"),
         F.col("value").cast("double").alias("trip_distance"),

@@ -17,10 +17,12 @@ alerting rows with their batch id and readers keep one row per
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from zonepulse.functions.calendar import instant_from_ntz, ntz_from_instant
 from zonepulse.functions.quantiles import threshold_frame
 from zonepulse.session import scratch_dir
 
@@ -28,13 +30,16 @@ WINDOW = "1 hour"
 WATERMARK = "2 hours"
 ALERT_QUANTILE = 0.90
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+ALERT_SCHEMA = "pickup_location_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, trip_count bigint"
 
 
 def pickups(events: DataFrame) -> DataFrame:
-    """Pickup events with a valid zone; event time as TIMESTAMP (needed for
-    the watermark)."""
+    """Pickup events with a valid zone; event time as a TIMESTAMP instant
+    (needed for the watermark), reading NTZ wall clocks as UTC so windows
+    do not depend on the session time zone."""
+    ts = F.col("ts") if dict(events.dtypes)["ts"] == "timestamp" else instant_from_ntz("ts")
     return events.filter(F.col("user_id").isNotNull() & (F.col("user_id") > F.lit(0))).select(
-        F.col("user_id").alias("pickup_location_id"), F.col("ts").cast("timestamp").alias("event_time")
+        F.col("user_id").alias("pickup_location_id"), ts.alias("event_time")
     )
 
 
@@ -50,8 +55,8 @@ def window_counts(pickup_events: DataFrame, window: str = WINDOW, watermark: str
 def _present(counts: DataFrame) -> DataFrame:
     return counts.select(
         "pickup_location_id",
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        ntz_from_instant("w.start").alias("window_start"),
+        ntz_from_instant("w.end").alias("window_end"),
         "trip_count",
     )
 
@@ -123,16 +128,12 @@ def run_alert_stream(
     sink = scratch_dir(spark, "alerts-sink")
     ckpt = scratch_dir(spark, "alerts-ckpt")
     if threshold is None:
-        return spark.createDataFrame(
-            [], "pickup_location_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, trip_count bigint"
-        )
+        return spark.createDataFrame([], ALERT_SCHEMA)
     query = start_alert_stream(spark, source_dir, int(threshold), sink, ckpt, file_glob)
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     try:
         return read_alerts(spark, sink)
-    except Exception:  # nothing alerted: the sink folder was never written
-        return spark.createDataFrame(
-            [], "pickup_location_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, trip_count bigint"
-        )
+    except AnalysisException:  # nothing alerted: the sink folder holds no files
+        return spark.createDataFrame([], ALERT_SCHEMA)
