@@ -31,7 +31,3 @@ def finite_or_null(c: str | Column) -> Column:
     """Replace +inf by NULL (inf can only arrive with the input data)."""
     col = _c(c)
     return F.when(col == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(col)
-
-
-def round_half_up(c: str | Column, digits: int) -> Column:
-    return F.round(_c(c), digits)

@@ -279,6 +279,15 @@ ORACLE_SQL: dict[str, str] = {
     "scan_zones": with_(ZONES) + "SELECT * FROM zones",
     "write_silver": SB + "SELECT * FROM silver",
     "bronze_clone": "SELECT * FROM lineitem",
+    "write_hourly_demand": SB + "SELECT hour_of_day, count(*) AS trip_count FROM silver GROUP BY hour_of_day",
+    "write_dow_demand": SB + "SELECT day_of_week, count(*) AS trip_count FROM silver GROUP BY day_of_week",
+    "write_gold": GB + f"SELECT {GOLD_SELECT} FROM gold",
+    "write_recommendations": GB
+    + "SELECT zone_name, borough, prediction, total_trips, "
+    + r("avg_fare_amount")
+    + ", "
+    + r("avg_duration_min")
+    + " FROM gold",
     # cleaning
     "clean_trips": SB + "SELECT * FROM silver",
     "clean_trips_events": SA + "SELECT * FROM silver",

@@ -19,7 +19,7 @@ from zonepulse.operators.cluster import cluster_zones, sweep_frame
 from zonepulse.plans import inputs
 from zonepulse.plans.pipeline import write_silver
 from zonepulse.session import scratch_dir
-from zonepulse.sources.sinks import bronze_clone
+from zonepulse.sources.sinks import bronze_clone, write_and_check
 from zonepulse.sources.tables import read_table, table_location
 from zonepulse.streaming import alerts as stream_alerts
 
@@ -93,6 +93,36 @@ def q_bronze_clone(spark, sf):
     return bronze_clone(spark, table_location(sf, "lineitem"), target)
 
 
+def _write_read(spark, df, name):
+    target = os.path.join(scratch_dir(spark, name), name)
+    return write_and_check(spark, df, target)
+
+
+def q_write_hourly_demand(spark, sf):
+    """K3: hourly demand from the one-pass grouping-set aggregate, written
+    and read back."""
+    temporal = demand.temporal_demand(_silver(spark, sf))
+    hourly = temporal.filter(F.col("grain") == "hour").select("hour_of_day", "trip_count")
+    return _write_read(spark, hourly, "hourly_demand")
+
+
+def q_write_dow_demand(spark, sf):
+    """K4: weekday demand, written and read back."""
+    temporal = demand.temporal_demand(_silver(spark, sf))
+    dow = temporal.filter(F.col("grain") == "dow").select("day_of_week", "trip_count")
+    return _write_read(spark, dow, "dow_demand")
+
+
+def q_write_gold(spark, sf):
+    """K6: named gold zones (demand-band clusters), written and read back."""
+    return _write_read(spark, _gold(spark, sf), "gold")
+
+
+def q_write_recommendations(spark, sf):
+    """K7: the recommendation table, written and read back."""
+    return _write_read(spark, insights.recommendations(_gold(spark, sf)), "recommendations")
+
+
 # -- cleaning ----------------------------------------------------------------
 
 def q_clean_trips(spark, sf):
@@ -322,6 +352,10 @@ QUERIES: dict[str, Query] = {
     "scan_zones": _q(q_scan_zones, keep=True),
     "write_silver": _q(q_write_silver, keep=True),
     "bronze_clone": _q(q_bronze_clone, keep=True),
+    "write_hourly_demand": _q(q_write_hourly_demand),
+    "write_dow_demand": _q(q_write_dow_demand),
+    "write_gold": _q(q_write_gold),
+    "write_recommendations": _q(q_write_recommendations),
     # cleaning
     "clean_trips": _q(q_clean_trips, keep=True),
     "clean_trips_events": _q(q_clean_trips_events, keep=True),
