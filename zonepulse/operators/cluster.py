@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -108,24 +109,36 @@ def distinct_points(vectors: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS
     return vectors.select(*columns).distinct().count()
 
 
+def _fit_and_score(vectors: DataFrame, k: int, seed: int) -> tuple[float | None, KMeansModel]:
+    model = fit_kmeans(vectors, k, seed)
+    return silhouette(model.transform(vectors)), model
+
+
 def k_sweep(
-    vectors: DataFrame, ks: Sequence[int] = K_RANGE, seed: int = SEED, columns: Sequence[str] = FEATURE_COLUMNS
+    vectors: DataFrame,
+    ks: Sequence[int] = K_RANGE,
+    seed: int = SEED,
+    columns: Sequence[str] = FEATURE_COLUMNS,
+    parallelism: int | None = None,
 ) -> Sweep:
     """M5 + M6: fit every K, score by silhouette, keep the best model
     (highest silhouette; the smallest K wins ties). Each fit and each
-    evaluation is a distributed job over the persisted vectors.
+    evaluation is a distributed job over the persisted vectors; the K are
+    independent and seeded, so they are submitted concurrently from
+    ``parallelism`` driver threads (as ``CrossValidator(parallelism=...)``
+    does) without changing any result.
 
     A K larger than the number of distinct points cannot be fitted (Spark
     fails); such a K is reported with no score."""
+    points = distinct_points(vectors, columns)
+    fittable = [k for k in ks if k <= points]
+    workers = max(1, min(parallelism or len(fittable) or 1, len(fittable) or 1))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        fitted = dict(zip(fittable, pool.map(lambda k: _fit_and_score(vectors, k, seed), fittable)))
     results: list[tuple[int, float | None]] = []
     best: tuple[int, float, KMeansModel] | None = None
-    points = distinct_points(vectors, columns)
-    for k in ks:
-        if k > points:
-            results.append((k, None))
-            continue
-        model = fit_kmeans(vectors, k, seed)
-        score = silhouette(model.transform(vectors))
+    for k in ks:  # ascending order of the caller: the first maximum wins
+        score, model = fitted.get(k, (None, None))
         results.append((k, score))
         if score is not None and (best is None or score > best[1]):
             best = (k, score, model)
