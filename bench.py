@@ -28,7 +28,7 @@ sys.path.insert(0, ROOT)
 from zonepulse.operators import clean, demand, insights  # noqa: E402
 from zonepulse.operators.zones import top_zones_named, zone_features  # noqa: E402
 from zonepulse.plans import inputs  # noqa: E402
-from zonepulse.plans.pipeline import build_gold, write_silver  # noqa: E402
+from zonepulse.plans.medallion import build_gold, write_silver  # noqa: E402
 from zonepulse.plans.registry import QUERIES  # noqa: E402
 from zonepulse.session import build_session, scratch_dir  # noqa: E402
 from zonepulse.sources.sinks import write_and_check  # noqa: E402

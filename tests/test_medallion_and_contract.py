@@ -8,7 +8,7 @@ import pytest
 
 from conftest import ROOT, SF_SMALL
 from zonepulse.plans import inputs
-from zonepulse.plans.pipeline import run_pipeline
+from zonepulse.plans.medallion import run_medallion
 from zonepulse.sources.tables import scan
 
 
@@ -21,7 +21,7 @@ def load_entry():
 
 def test_pipeline_writes_every_layer(spark, tmp_dir):
     raw = inputs.raw_trips(spark, SF_SMALL)
-    loc = run_pipeline(spark, raw, inputs.zones(spark, SF_SMALL), tmp_dir)
+    loc = run_medallion(spark, raw, inputs.zones(spark, SF_SMALL), tmp_dir)
     assert scan(spark, loc["silver"]).count() == 4903  # recorded silver rows, fixture B sf0.001
     assert scan(spark, loc["hourly_demand"]).count() == 24
     assert scan(spark, loc["dow_demand"]).count() == 7

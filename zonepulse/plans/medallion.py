@@ -3,7 +3,7 @@ recommendations, each layer written (full overwrite) and read back.
 
 Run it as a job::
 
-    python -m zonepulse.plans.pipeline --sf-dir /data/sf1 --out /shared/zonepulse --fixture lineitem
+    python -m zonepulse.plans.medallion --sf-dir /data/sf1 --out /shared/zonepulse --fixture lineitem
 
 Layout choices for scale:
 
@@ -66,7 +66,7 @@ def build_gold(
     return gold, clustered, sweep
 
 
-def run_pipeline(
+def run_medallion(
     spark: SparkSession,
     raw: DataFrame,
     zone_dim: DataFrame,
@@ -116,7 +116,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     spark = build_session(args.master)
     raw = inputs.raw_trips(spark, args.sf_dir, args.fixture)
     parts = [c for c in args.partition_by.split(",") if c] or None
-    loc = run_pipeline(spark, raw, inputs.zones(spark, args.sf_dir), args.out, partition_by=parts, scale=args.scale)
+    loc = run_medallion(spark, raw, inputs.zones(spark, args.sf_dir), args.out, partition_by=parts, scale=args.scale)
     for name, path in loc.items():
         print(f"{name}\t{path}\t{scan(spark, path).count()} rows")
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from zonepulse.operators import clean, demand, insights, profile, zones
 from zonepulse.operators.cluster import cluster_zones, sweep_frame
 from zonepulse.plans import inputs
-from zonepulse.plans.pipeline import write_silver
+from zonepulse.plans.medallion import write_silver
 from zonepulse.session import scratch_dir
 from zonepulse.sources.sinks import bronze_clone, write_and_check
 from zonepulse.sources.tables import read_table, table_location

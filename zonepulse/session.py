@@ -58,7 +58,11 @@ def build_session(
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    try:
+        master = spark.sparkContext.master
+    except Exception:  # Spark Connect sessions expose no SparkContext
+        master = spark.conf.get("spark.master", "") or ""
+    return master.startswith("local")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -66,26 +70,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster the folder must be shared storage named by
     ``spark.checkpoint.dir``; a machine-local temporary folder is only used
-    for local-mode sessions (tests, benchmarks).
+    for local-mode sessions (tests, benchmarks). The folder also hosts the
+    job-owned copies written by ``materialize`` and the stream sinks.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, configuration only
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
+    configured = (sc.getConf().get("spark.checkpoint.dir", None) if sc is not None else None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if configured:
+    if not configured:
+        if not _is_local(spark):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at shared storage "
+                "(HDFS/S3/ABFS) so lineage cuts survive executor loss"
+            )
+        configured = tempfile.mkdtemp(prefix="zonepulse-ckpt-")
+    if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if not _is_local(spark):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at shared storage "
-            "(HDFS/S3/ABFS) so lineage cuts survive executor loss"
-        )
-    folder = tempfile.mkdtemp(prefix="zonepulse-ckpt-")
-    sc.setCheckpointDir(folder)
-    return sc.getCheckpointDir() or folder
+    return configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
