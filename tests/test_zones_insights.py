@@ -163,3 +163,22 @@ def test_distribution_summary_within_sketch_error(spark):
     small = sorted(inputs.silver_trips(spark, SF_SMALL).select("fare_amount").toPandas()["fare_amount"])
     for r in exact_small:  # few rows: the sketch keeps every value
         assert r["value"] == brute_percentile_disc(small, r["quantile"])
+
+
+def test_skew_safe_lead_with_a_hot_user(spark):
+    import datetime as dt
+
+    # user 1 holds most events over many days; users 2 and 3 are sparse;
+    # equal timestamps are ordered by event id
+    base = dt.datetime(2024, 3, 1)
+    rows = []
+    for i in range(3000):
+        rows.append((i, base + dt.timedelta(minutes=7 * (i // 2)), 1))
+    rows += [(10_000 + i, base + dt.timedelta(hours=13 * i), 2 + i % 2) for i in range(40)]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    plain = events.select("event_id", F.lead("ts").over(w).alias("expected"))
+    ours = next_event_time(events, bucket_seconds=3600).select("event_id", "next_ts")
+    joined = ours.join(plain, "event_id")
+    assert joined.count() == len(rows)
+    assert joined.filter(~F.col("next_ts").eqNullSafe(F.col("expected"))).count() == 0

@@ -84,15 +84,19 @@ def start_alert_stream(
     window: str = WINDOW,
     watermark: str = WATERMARK,
     available_now: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Start the alert stream over Parquet files arriving in ``source_dir``.
 
     ``available_now`` processes what is there and stops (a bounded run);
     otherwise the query keeps running as new files arrive.
+    ``max_files_per_trigger`` bounds the size of each micro-batch (a backlog
+    is then worked off in several batches instead of one huge one).
     """
-    events = (
-        spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob).parquet(source_dir)
-    )
+    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    events = reader.parquet(source_dir)
     counts = window_counts(pickups(events), window, watermark)
 
     def emit(batch: DataFrame, batch_id: int) -> None:
