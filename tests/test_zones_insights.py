@@ -97,10 +97,10 @@ def test_skew_safe_lead_equals_plain_window(spark):
     events = read_table(spark, SF_MID, "events")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = events.select("event_id", F.lead("ts").over(w).alias("expected"))
-    for bucket in (3600, 86400, 7 * 86400):
-        ours = next_event_time(events, bucket_seconds=bucket).select("event_id", "next_ts")
+    for parts in (1, 3, 16, 64):
+        ours = next_event_time(events, partitions=parts).select("event_id", "next_ts")
         diff = ours.join(plain, "event_id").filter(~F.col("next_ts").eqNullSafe(F.col("expected")))
-        assert diff.count() == 0, bucket
+        assert diff.count() == 0, parts
         assert ours.count() == events.count()
 
 
@@ -168,8 +168,8 @@ def test_distribution_summary_within_sketch_error(spark):
 def test_skew_safe_lead_with_a_hot_user(spark):
     import datetime as dt
 
-    # user 1 holds most events over many days; users 2 and 3 are sparse;
-    # equal timestamps are ordered by event id
+    # user 1 holds most events (pairs share a timestamp, ordered by event
+    # id); users 2 and 3 are sparse. The hot user spans many partitions.
     base = dt.datetime(2024, 3, 1)
     rows = []
     for i in range(3000):
@@ -178,7 +178,29 @@ def test_skew_safe_lead_with_a_hot_user(spark):
     events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint")
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     plain = events.select("event_id", F.lead("ts").over(w).alias("expected"))
-    ours = next_event_time(events, bucket_seconds=3600).select("event_id", "next_ts")
+    ours = next_event_time(events, partitions=16).select("event_id", "next_ts")
     joined = ours.join(plain, "event_id")
     assert joined.count() == len(rows)
     assert joined.filter(~F.col("next_ts").eqNullSafe(F.col("expected"))).count() == 0
+
+
+def test_event_trips_do_not_depend_on_exchange_reuse(spark):
+    """Every step must see the same range partition ids even when Spark
+    does not reuse the range exchange (it samples bounds per exchange)."""
+    from zonepulse.sources.adapters import trips_from_events
+
+    events = read_table(spark, SF_MID, "events")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    secs = lambda c: F.floor(F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), c) / 1e6)
+    expected = events.select(
+        F.col("event_id").alias("trip_id"), (secs(F.lead("ts").over(w)) - secs(F.col("ts"))).alias("want")
+    )
+    previous = spark.conf.get("spark.sql.exchange.reuse")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = trips_from_events(events, partitions=16).select("trip_id", "trip_duration", "fare_amount")
+        diff = got.join(expected, "trip_id").filter(~F.col("trip_duration").eqNullSafe(F.col("want")))
+        assert diff.count() == 0
+        assert got.count() == events.count()
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", previous)

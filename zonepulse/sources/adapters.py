@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonepulse.functions.calendar import epoch_micros, epoch_seconds, time_parts
+from zonepulse.functions.calendar import epoch_seconds, time_parts
+from zonepulse.session import materialize
 
 RAW_COLUMNS = [
     "trip_id",
@@ -72,45 +73,70 @@ def next_event_time(
     key: str = "user_id",
     ts: str = "ts",
     tiebreak: str = "event_id",
-    bucket_seconds: int = 86400,
+    partitions: int | None = None,
     out: str = "next_ts",
 ) -> DataFrame:
     """Add the timestamp of the same key's next event (ordered by ``ts``,
     then ``tiebreak``); NULL for the key's last event.
 
-    Equivalent to ``lead(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)``
-    but skew-safe: a plain window on ``key`` sends every event of a hot key
-    (a third of all rows, say) through one task. Here the window runs per
-    (key, time bucket), so a hot key is split across as many tasks as it
-    has active buckets. The last event of each bucket then takes the first
-    event of the key's next active bucket, found on the small
-    one-row-per-(key, bucket) frame; that frame's window per key holds at
-    most (time span / bucket width) rows.
+    Equivalent to ``lead(ts) OVER (PARTITION BY key ORDER BY ts, tiebreak)``,
+    which would send every event of a hot key (a third of all rows, say)
+    through one task. Here the rows are range-partitioned on
+    (key, ts, tiebreak) — Spark samples the bounds, so a hot key, or a hot
+    key on one busy day, is cut into many balanced partitions — and
+    ``lead`` runs inside each range partition. The last row of a partition
+    takes the first row of the next non-empty partition, looked up in a
+    frame with one row per partition (bounded by ``partitions``, hence
+    broadcast). The range-partitioned rows are stored once so that every
+    step sees the same partition ids.
     """
-    micros = epoch_micros(ts, dict(events.dtypes)[ts])
-    bucket = F.floor(micros / F.lit(bucket_seconds * 1_000_000))
-    staged = events.withColumn("_bucket", bucket)
-    in_bucket = Window.partitionBy(key, "_bucket").orderBy(F.col(ts), F.col(tiebreak))
-    staged = staged.withColumn("_next_in_bucket", F.lead(ts).over(in_bucket))
-    firsts = staged.groupBy(key, "_bucket").agg(F.min(F.col(ts)).alias("_first_ts"))
-    by_key = Window.partitionBy(key).orderBy("_bucket")
-    following = firsts.select(
-        key, "_bucket", F.lead("_first_ts").over(by_key).alias("_next_bucket_first")
+    spark = events.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(key), F.col(ts), F.col(tiebreak)]
+    # Range bounds come from sampling seeded by the RDD id, so two separate
+    # range exchanges may cut differently: the partition ids are fixed once
+    # by storing the range-partitioned rows (shared checkpoint folder), and
+    # every later step reads that copy.
+    ranged = materialize(
+        events.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "events-by-range"
     )
-    return (
-        staged.join(following, [key, "_bucket"], "left")
-        .withColumn(out, F.coalesce(F.col("_next_in_bucket"), F.col("_next_bucket_first")))
-        .drop("_bucket", "_next_in_bucket", "_next_bucket_first")
+    in_part = Window.partitionBy("_pid").orderBy(*order)
+    staged = ranged.select(
+        "*",
+        F.lead(key).over(in_part).alias("_lead_key"),
+        F.lead(ts).over(in_part).alias("_lead_ts"),
+        F.lag(F.lit(1)).over(in_part).isNull().alias("_is_first"),
+        F.lead(F.lit(1)).over(in_part).isNull().alias("_is_last"),
+    )
+    # first row of every non-empty partition, then the next partition's
+    # first row for each partition: at most ``n`` rows
+    firsts = staged.filter("_is_first").select("_pid", F.col(key).alias("_fk"), F.col(ts).alias("_ft"))
+    across = Window.orderBy("_pid")  # one row per partition: bounded by n
+    handoff = firsts.select(
+        "_pid",
+        F.lead("_fk").over(across).alias("_next_key"),
+        F.lead("_ft").over(across).alias("_next_ts"),
+    )
+    joined = staged.join(F.broadcast(handoff), "_pid", "left")
+    same_as_lead = F.col("_lead_key").eqNullSafe(F.col(key))
+    same_as_next = F.col("_next_key").eqNullSafe(F.col(key))
+    last_in_part = F.col("_is_last")
+    nxt = (
+        F.when(~last_in_part & same_as_lead, F.col("_lead_ts"))
+        .when(last_in_part & same_as_next, F.col("_next_ts"))
+    )
+    return joined.withColumn(out, nxt).drop(
+        "_pid", "_lead_key", "_lead_ts", "_is_first", "_is_last", "_next_key", "_next_ts"
     )
 
 
-def trips_from_events(events: DataFrame, bucket_seconds: int = 86400) -> DataFrame:
+def trips_from_events(events: DataFrame, partitions: int | None = None) -> DataFrame:
     """Fixture A: an event is a pickup in zone ``user_id``; the trip lasts
     until the same user's next event (difference of whole epoch seconds,
     independent of the session time zone).
     The dropoff zone is the integer ``k`` of the JSON ``props``."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    with_next = next_event_time(events, bucket_seconds=bucket_seconds)
+    with_next = next_event_time(events, partitions=partitions)
     ts_type = dict(events.dtypes)["ts"]
     start = epoch_seconds("ts", ts_type)
     end = epoch_seconds("next_ts", ts_type)
