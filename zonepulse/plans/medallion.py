@@ -15,7 +15,7 @@ Layout choices for scale:
   into every month folder (millions of small files at 100 TB).
 * the three temporal aggregates are computed in one pass (grouping sets)
   and materialised once before being split into two tables.
-* gold is built from a checkpointed zone frame (see ``operators.cluster``)
+* gold is built from a zone frame stored once in the checkpoint folder (see ``operators.cluster``)
   and read back before the insights use it; later steps read the stored
   tables, never re-aggregate the trips.
 """

@@ -98,7 +98,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for job-owned outputs
-    (stream sinks, stream checkpoints)."""
+    (stored copies, stream sinks, stream checkpoints)."""
     base = ensure_checkpoint_dir(spark)
     if base.startswith("file:"):
         base = base[len("file:"):]
