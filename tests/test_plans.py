@@ -39,7 +39,7 @@ def test_large_dimension_path_salts_hot_keys(spark):
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = dimension_join(facts, dim, "k", "zone_id", "left", max_rows=0, salt_buckets=8, hot_share=0.05)
+        joined = dimension_join(facts, dim, "k", "zone_id", "left", max_rows=0, rows_per_salt=500, hot_share=0.05)
         text = plan_text(joined)
         assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
         assert "_salt" in text

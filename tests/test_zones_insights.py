@@ -12,7 +12,7 @@ from conftest import SF_MID, SF_SMALL
 from zonepulse.functions.quantiles import threshold_frame
 from zonepulse.operators import insights, zones
 from zonepulse.plans import inputs
-from zonepulse.plans.joins import dimension_join, hot_keys
+from zonepulse.plans.joins import dimension_join, hot_keys, salts_for
 from zonepulse.sources.adapters import next_event_time, unique_zones
 from zonepulse.sources.tables import read_table
 
@@ -112,7 +112,8 @@ def test_salted_join_equals_broadcast_join(spark):
     )
     dim = spark.range(0, 40).select(F.col("id").alias("zone_id"), (F.col("id") * 10).alias("label"))
     assert 7 in hot_keys(facts, "pickup_location_id", 0.05)
-    salted = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left", max_rows=0, salt_buckets=8, hot_share=0.05)
+    assert salts_for(3334, 500) == 7 and salts_for(10, 500) == 2
+    salted = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left", max_rows=0, rows_per_salt=500, hot_share=0.05)
     broadcast = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left")
     a = sorted(tuple(r) for r in salted.select("trip_id", "pickup_location_id", "label").collect())
     b = sorted(tuple(r) for r in broadcast.select("trip_id", "pickup_location_id", "label").collect())

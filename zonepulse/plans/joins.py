@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 # (Spark's own broadcast limit is 8 GB; stay far below on purpose).
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# A key is "hot" when it holds more than this share of the fact rows.
+# A key is "hot" when it holds more than this share of the fact rows; it is
+# spread over enough salts for about ROWS_PER_SALT fact rows per salt.
 HOT_KEY_SHARE = 0.01
-SALT_BUCKETS = 64
+ROWS_PER_SALT = 5_000_000
+MAX_SALTS = 100_000
 
 
 def _row_bytes(df: DataFrame) -> int:
@@ -38,8 +40,9 @@ def broadcast_ok(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes:
     return n <= max_rows and n * _row_bytes(dim) <= max_bytes
 
 
-def hot_keys(fact: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> list:
-    """Keys holding more than ``share`` of the fact rows.
+def hot_key_counts(fact: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> dict:
+    """Keys holding more than ``share`` of the fact rows, with their row
+    counts.
 
     There are at most ``1 / share`` such keys, so bringing them to the
     driver is bounded. The count is a partial (map-side) aggregation.
@@ -48,8 +51,18 @@ def hot_keys(fact: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> list:
     # The bound is a scalar subquery over a one-row global count; the filter
     # keeps at most 1/share keys.
     limit = fact.agg((F.count(F.lit(1)) * F.lit(share)).alias("_lim")).scalar()
-    rows = counts.filter(F.col("_n") > limit).select(key).collect()
-    return [r[0] for r in rows if r[0] is not None]
+    rows = counts.filter(F.col("_n") > limit).collect()
+    return {r[0]: r[1] for r in rows if r[0] is not None}
+
+
+def hot_keys(fact: DataFrame, key: str, share: float = HOT_KEY_SHARE) -> list:
+    return list(hot_key_counts(fact, key, share))
+
+
+def salts_for(count: int, rows_per_salt: int = ROWS_PER_SALT, max_salts: int = MAX_SALTS) -> int:
+    """Number of salts for a hot key: about ``rows_per_salt`` fact rows per
+    salt, so the largest join task stays bounded however big the key is."""
+    return int(min(max_salts, max(2, -(-count // rows_per_salt))))
 
 
 def dimension_join(
@@ -60,16 +73,16 @@ def dimension_join(
     how: str = "left",
     drop_dim_key: bool = True,
     max_rows: int = BROADCAST_MAX_ROWS,
-    salt_buckets: int = SALT_BUCKETS,
+    rows_per_salt: int = ROWS_PER_SALT,
     hot_share: float = HOT_KEY_SHARE,
 ) -> DataFrame:
     """``fact`` joined to a dimension that is unique on ``dim_key``.
 
     * small dimension (checked): broadcast hash join, no shuffle of the fact;
-    * otherwise: shuffle join; hot fact keys are spread over
-      ``salt_buckets`` salts and only their dimension rows are replicated,
-      so the largest task holds about ``hot share / salt_buckets`` of the
-      fact instead of the whole hot key.
+    * otherwise: shuffle join; every hot fact key is spread over
+      ``ceil(rows / rows_per_salt)`` salts and only its dimension row is
+      replicated that many times, so the largest join task holds about
+      ``rows_per_salt`` rows of any key instead of the whole hot key.
     """
     dim_key = dim_key or fact_key
     same_name = dim_key == fact_key
@@ -82,19 +95,24 @@ def dimension_join(
     if broadcast_ok(dim, max_rows=max_rows):
         joined = fact.join(F.broadcast(dim), fact[fact_key] == dim[dim_key_col], how)
     else:
-        hot = hot_keys(fact, fact_key, hot_share)
+        hot = hot_key_counts(fact, fact_key, hot_share)
         if not hot:
             joined = fact.join(dim, fact[fact_key] == dim[dim_key_col], how)
         else:
-            is_hot_fact = F.col(fact_key).isin(hot)
+            # literal map hot key -> number of salts (at most 1/hot_share entries)
+            salts = F.create_map(
+                *[F.lit(x) for k, n in hot.items() for x in (k, salts_for(n, rows_per_salt))]
+            )
             row_hash = F.xxhash64(*[F.col(c) for c in fact.columns])
+            fact_salts = salts[F.col(fact_key)]
             salted_fact = fact.withColumn(
-                "_salt", F.when(is_hot_fact, F.pmod(row_hash, F.lit(salt_buckets))).otherwise(F.lit(0))
+                "_salt", F.when(fact_salts.isNotNull(), F.pmod(row_hash, fact_salts)).otherwise(F.lit(0))
             )
-            salts = F.when(
-                F.col(dim_key_col).isin(hot), F.sequence(F.lit(0), F.lit(salt_buckets - 1))
-            ).otherwise(F.array(F.lit(0)))
-            salted_dim = dim.withColumn("_salt", F.explode(salts))
+            dim_salts = salts[F.col(dim_key_col)]
+            copies = F.when(
+                dim_salts.isNotNull(), F.sequence(F.lit(0).cast("bigint"), (dim_salts - 1).cast("bigint"))
+            ).otherwise(F.array(F.lit(0).cast("bigint")))
+            salted_dim = dim.withColumn("_salt", F.explode(copies))
             cond = (salted_fact[fact_key] == salted_dim[dim_key_col]) & (
                 salted_fact["_salt"] == salted_dim["_salt"]
             )
