@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions.calendar import epoch_seconds, time_parts
+from zonepulse.plans.joins import dimension_join
 from zonepulse.session import materialize
 
 RAW_COLUMNS = [
@@ -156,9 +157,9 @@ def trips_from_events(events: DataFrame, partitions: int | None = None) -> DataF
 def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Zone dimension for both fixtures: supplier -> zone, nation -> borough.
 
-    ``nation`` is a fixed-size dimension (one row per nation), so the join
-    broadcasts it. Duplicate ``zone_id`` rows are collapsed to the smallest
-    (name, borough) so that no later join can fan out.
+    The nation side goes through the checked dimension join (broadcast
+    after its size is verified). Duplicate ``zone_id`` rows are collapsed
+    to the smallest (name, borough) so that no later join can fan out.
     """
     s = supplier.select(
         F.col("s_suppkey").cast("bigint").alias("zone_id"),
@@ -166,7 +167,7 @@ def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
         F.col("s_nationkey").alias("_nk"),
     )
     n = nation.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("borough"))
-    joined = s.join(F.broadcast(n), "_nk", "left").drop("_nk")
+    joined = dimension_join(s, n, "_nk", "_nk", "left").drop("_nk")
     return unique_zones(joined)
 
 
