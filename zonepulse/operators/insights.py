@@ -173,6 +173,7 @@ def cluster_roles(gold: DataFrame) -> DataFrame:
     # it once (identical subqueries are reused).
     row = stats.select(F.struct("_p75", "_p50", "_dist").alias("s")).scalar()
     p75, p50, dist = row.getField("_p75"), row.getField("_p50"), row.getField("_dist")
+    # per_cluster has K rows, so this single-partition window is bounded by K
     rank = F.dense_rank().over(Window.orderBy(F.desc("mean_trips_per_zone")))
     tier = (
         F.when(F.col("mean_trips_per_zone") >= p75, F.lit(TIER_HIGH))
