@@ -1,6 +1,10 @@
 from zonepulse.functions.calendar import (
     WEEKDAY_LABELS,
     WEEKDAY_ORDER,
+    epoch_micros,
+    epoch_seconds,
+    instant_from_ntz,
+    ntz_from_instant,
     time_parts,
     weekday_label_map,
     weekday_name,
@@ -12,11 +16,15 @@ from zonepulse.functions.measures import (
     finite_or_null,
     speed_mph,
 )
-from zonepulse.functions.quantiles import percentile_disc, threshold_frame, threshold_value
+from zonepulse.functions.quantiles import percentile_approx, percentile_disc, threshold_frame, threshold_value
 
 __all__ = [
     "WEEKDAY_LABELS",
     "WEEKDAY_ORDER",
+    "epoch_micros",
+    "epoch_seconds",
+    "instant_from_ntz",
+    "ntz_from_instant",
     "time_parts",
     "weekday_label_map",
     "weekday_name",
@@ -25,6 +33,7 @@ __all__ = [
     "duration_minutes",
     "finite_or_null",
     "speed_mph",
+    "percentile_approx",
     "percentile_disc",
     "threshold_frame",
     "threshold_value",

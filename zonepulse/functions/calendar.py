@@ -50,11 +50,21 @@ def _epoch_ntz() -> Column:
 def epoch_micros(ts: str | Column, dtype: str = "timestamp_ntz") -> Column:
     """Microseconds since 1970-01-01 00:00, independent of the session
     time zone: a TIMESTAMP_NTZ wall clock is read as UTC, a TIMESTAMP is an
-    instant already."""
+    instant already.
+
+    Built from calendar parts (days since the epoch, hour, minute, seconds
+    with fraction), which never consult the session zone;
+    ``timestamp_diff`` on NTZ values does, and shifts wall clocks that fall
+    in a daylight-saving gap."""
     col = F.col(ts) if isinstance(ts, str) else ts
     if dtype == "timestamp":
         return F.unix_micros(col)
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), col)
+    return (
+        F.unix_date(F.to_date(col)).cast("long") * F.lit(86_400_000_000)
+        + F.hour(col).cast("long") * F.lit(3_600_000_000)
+        + F.minute(col).cast("long") * F.lit(60_000_000)
+        + (F.date_part(F.lit("SECOND"), col) * F.lit(1_000_000)).cast("long")
+    )
 
 
 def epoch_seconds(ts: str | Column, dtype: str = "timestamp_ntz") -> Column:

@@ -20,18 +20,28 @@ def percentile_disc(column: str, q: float) -> Column:
     return F.expr(f"percentile_disc({float(q)!r}) WITHIN GROUP (ORDER BY `{column}`)")
 
 
-def threshold_frame(df: DataFrame, column: str, q: float, name: str = "threshold") -> DataFrame:
-    """One-row frame with the exact ``q``-quantile, cast back to the
-    column's type (so a count threshold stays an integer)."""
+def percentile_approx(column: str, q: float, relative_error: float) -> Column:
+    """Aggregate expression: approximate ``q``-quantile with the given
+    relative rank error (the in-plan form of ``approxQuantile``)."""
+    return F.percentile_approx(F.col(column), float(q), max(1, int(round(1.0 / relative_error))))
+
+
+def threshold_frame(
+    df: DataFrame, column: str, q: float, name: str = "threshold", relative_error: float = 0.0
+) -> DataFrame:
+    """One-row frame with the ``q``-quantile, cast back to the column's
+    type (so a count threshold stays an integer). ``relative_error`` 0 is
+    exact (``percentile_disc``); a positive value uses a bounded sketch."""
     dtype = dict(df.dtypes)[column]
-    return df.agg(percentile_disc(column, q).cast(dtype).alias(name))
+    agg = percentile_disc(column, q) if relative_error <= 0 else percentile_approx(column, q, relative_error)
+    return df.agg(agg.cast(dtype).alias(name))
 
 
-def threshold_value(df: DataFrame, column: str, q: float) -> Column:
-    """Scalar-subquery column with the exact ``q``-quantile.
+def threshold_value(df: DataFrame, column: str, q: float, relative_error: float = 0.0) -> Column:
+    """Scalar-subquery column with the ``q``-quantile.
 
     Spark runs the subquery once per query and substitutes the value, so the
     filter stays a plain predicate: no cross join, no driver round-trip in
     user code.
     """
-    return threshold_frame(df, column, q).scalar()
+    return threshold_frame(df, column, q, relative_error=relative_error).scalar()

@@ -54,16 +54,19 @@ def zones_by_cluster(gold: DataFrame) -> DataFrame:
     )
 
 
-def trips_threshold(gold: DataFrame, q: float = HOTSPOT_QUANTILE) -> DataFrame:
-    """Exact discrete ``q``-quantile of zone trip totals over ALL
-    zones (one row; NULL when gold is empty)."""
-    return threshold_frame(gold, "total_trips", q, "trips_threshold")
+def trips_threshold(gold: DataFrame, q: float = HOTSPOT_QUANTILE, relative_error: float = 0.0) -> DataFrame:
+    """Discrete ``q``-quantile of zone trip totals over ALL zones (one
+    row; NULL when gold is empty). Exact by default; ``relative_error=0.01``
+    gives the approximate variant."""
+    return threshold_frame(gold, "total_trips", q, "trips_threshold", relative_error)
 
 
-def hotspots(gold: DataFrame, cluster: int = DEFAULT_CLUSTER, q: float = HOTSPOT_QUANTILE) -> DataFrame:
+def hotspots(
+    gold: DataFrame, cluster: int = DEFAULT_CLUSTER, q: float = HOTSPOT_QUANTILE, relative_error: float = 0.0
+) -> DataFrame:
     """Zones of ``cluster`` with ``total_trips >=`` the all-zone
     ``q``-quantile (inclusive), busiest first."""
-    limit = threshold_value(gold, "total_trips", q)
+    limit = threshold_value(gold, "total_trips", q, relative_error)
     return gold.filter(
         (F.col("prediction") == F.lit(cluster)) & (F.col("total_trips") >= limit)
     ).orderBy(F.desc("total_trips"), "pickup_location_id")
