@@ -141,3 +141,43 @@ def run_alert_stream(
         return read_alerts(spark, sink)
     except AnalysisException:  # nothing alerted: the sink folder holds no files
         return spark.createDataFrame([], ALERT_SCHEMA)
+
+
+def main(argv=None) -> None:
+    """Run the alert stream as a job::
+
+        python -m zonepulse.streaming.alerts --history /data/events --source /landing/events \\
+            --sink /shared/alerts --checkpoint /shared/alerts-ckpt [--once]
+    """
+    import argparse
+
+    from zonepulse.session import build_session
+
+    parser = argparse.ArgumentParser(description="zonepulse demand-alert stream")
+    parser.add_argument("--history", required=True, help="Parquet events used for the threshold")
+    parser.add_argument("--source", required=True, help="folder where new Parquet event files arrive")
+    parser.add_argument("--sink", required=True)
+    parser.add_argument("--checkpoint", required=True, help="stream checkpoint (shared storage)")
+    parser.add_argument("--quantile", type=float, default=ALERT_QUANTILE)
+    parser.add_argument("--max-files-per-trigger", type=int, default=None)
+    parser.add_argument("--once", action="store_true", help="process what is there, then stop")
+    parser.add_argument("--master", default=None)
+    args = parser.parse_args(argv)
+    spark = build_session(args.master, app_name="zonepulse-alerts")
+    threshold = window_threshold(spark.read.parquet(args.history), args.quantile).first()["threshold"]
+    if threshold is None:
+        raise SystemExit("empty history: no threshold")
+    query = start_alert_stream(
+        spark,
+        args.source,
+        int(threshold),
+        args.sink,
+        args.checkpoint,
+        available_now=args.once,
+        max_files_per_trigger=args.max_files_per_trigger,
+    )
+    query.awaitTermination()
+
+
+if __name__ == "__main__":
+    main()
