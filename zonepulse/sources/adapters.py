@@ -20,6 +20,8 @@ from zonepulse.functions.calendar import epoch_seconds, time_parts
 from zonepulse.plans.joins import dimension_join
 from zonepulse.session import materialize
 
+ROWS_PER_RANGE_PARTITION = 5_000_000
+
 RAW_COLUMNS = [
     "trip_id",
     "trip_distance",
@@ -92,7 +94,13 @@ def next_event_time(
     step sees the same partition ids.
     """
     spark = events.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # about ROWS_PER_RANGE_PARTITION events per partition (a Parquet row
+    # count is answered from file metadata), never fewer than the session's
+    # shuffle partitions
+    n = partitions or max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")),
+        -(-events.count() // ROWS_PER_RANGE_PARTITION),
+    )
     order = [F.col(key), F.col(ts), F.col(tiebreak)]
     # Range bounds come from sampling seeded by the RDD id, so two separate
     # range exchanges may cut differently: the partition ids are fixed once
