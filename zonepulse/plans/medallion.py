@@ -7,12 +7,14 @@ Run it as a job::
 
 Layout choices for scale:
 
-* silver is written as plain Parquet files, each sorted by
-  ``year, month, day`` (no shuffle): Parquet row-group statistics then let
-  time-filtered reads skip data. ``partition_by`` (for example
-  ``["year", "month"]``) is available when the raw input is already
-  clustered by time; with time-mixed input it would make every task write
-  into every month folder (millions of small files at 100 TB).
+* silver is written as plain Parquet files with no shuffle: every
+  downstream step of the reference aggregates the whole table, so neither
+  a sort nor a folder layout pays for itself. For time-filtered consumers,
+  ``sort_by=("year", "month", "day")`` sorts within each file (row-group
+  statistics then skip data, still no shuffle) and ``partition_by`` (for
+  example ``["year", "month"]``) suits raw input that is already clustered
+  by time; with time-mixed input it would make every task write into every
+  month folder (millions of small files at 100 TB).
 * the three temporal aggregates are computed in one pass (grouping sets)
   and materialised once before being split into two tables.
 * gold is built from a zone frame stored once in the checkpoint folder (see ``operators.cluster``)
@@ -37,14 +39,14 @@ from zonepulse.session import build_session, ensure_checkpoint_dir, materialize
 from zonepulse.sources.sinks import readback_check, write_and_check, write_table
 from zonepulse.sources.tables import scan
 
-SILVER_SORT = ("year", "month", "day")
+TIME_SORT = ("year", "month", "day")
 
 
 def write_silver(
     silver: DataFrame,
     target: str,
     partition_by: Sequence[str] | None = None,
-    sort_by: Sequence[str] | None = SILVER_SORT,
+    sort_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """K2 + K8: write silver and return the verified, re-scanned table."""
     laid_out = silver.sortWithinPartitions(*sort_by) if sort_by else silver

@@ -80,9 +80,8 @@ def q_scan_zones(spark, sf):
 
 
 def q_write_silver(spark, sf):
-    """K2 + K8: write silver (files sorted by year, month, day) to a fresh
-    folder under the checkpoint folder, verify, and return the re-scanned
-    table."""
+    """K2 + K8: write silver to a fresh folder under the checkpoint folder,
+    verify, and return the re-scanned table."""
     target = os.path.join(scratch_dir(spark, "silver"), "silver_trips")
     return write_silver(_silver(spark, sf), target)
 
