@@ -9,9 +9,9 @@ The steps follow the pipeline: silver is built and stored once, the demand
 aggregates read the stored silver, K-Means builds and stores gold, the
 insights read stored gold (+ silver). A few queries also run end to end
 from the raw tables (``raw:`` keys). Every result is executed in full with
-the ``noop`` sink (no collect to the driver). The suite runs twice in one
-session: a cold pass (JIT, code generation) and the reported warm pass;
-Spark start-up is excluded.
+the ``noop`` sink (no collect to the driver). The suite runs three times
+in one session: a cold pass (JIT, code generation), then two warm passes
+whose per-step minimum is reported; Spark start-up is excluded.
 """
 
 from __future__ import annotations
@@ -121,9 +121,12 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="zonepulse-bench", shuffle_partitions=cpus * 2)
 
     # Pass 1 (cold): includes JIT and code generation for every plan shape.
-    # Pass 2 (warm): the reported numbers, steady-state execution.
+    # Passes 2 and 3 (warm): the reported number of each step is the faster
+    # of the two, which damps machine noise between rounds.
     cold, _ = run_suite(spark, sf_dir)
-    warm, best_k = run_suite(spark, sf_dir)
+    warm_a, best_k = run_suite(spark, sf_dir)
+    warm_b, _ = run_suite(spark, sf_dir)
+    warm = {name: min(warm_a[name], warm_b[name]) for name in warm_a}
 
     sf_match = re.search(r"sf([0-9.]+)", sf_dir)
     print(
