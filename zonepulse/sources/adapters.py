@@ -145,7 +145,10 @@ def trips_from_events(events: DataFrame, partitions: int | None = None) -> DataF
     independent of the session time zone).
     The dropoff zone is the integer ``k`` of the JSON ``props``."""
     k = F.get_json_object("props", "$.k").cast("bigint")
-    with_next = next_event_time(events, partitions=partitions)
+    # only the columns the trips need: the lookup stores a copy, and column
+    # pruning cannot reach through a write
+    used = events.select("event_id", "ts", "user_id", "value", "props")
+    with_next = next_event_time(used, partitions=partitions)
     ts_type = dict(events.dtypes)["ts"]
     start = epoch_seconds("ts", ts_type)
     end = epoch_seconds("next_ts", ts_type)
