@@ -89,10 +89,15 @@ def fit_kmeans(vectors: DataFrame, k: int, seed: int = SEED, max_iter: int = 20)
     return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="features").fit(vectors)
 
 
-def silhouette(predictions: DataFrame) -> float | None:
+def silhouette(predictions: DataFrame, model: KMeansModel | None = None) -> float | None:
     """M4: mean silhouette (squared Euclidean); None with fewer than two
-    clusters, where it is undefined."""
-    if predictions.select("prediction").distinct().limit(2).count() < 2:
+    non-empty clusters, where it is undefined. With the fitted ``model`` the
+    cluster sizes come from its training summary (no extra job)."""
+    if model is not None and model.hasSummary:
+        non_empty = sum(1 for size in model.summary.clusterSizes if size > 0)
+    else:
+        non_empty = predictions.select("prediction").distinct().limit(2).count()
+    if non_empty < 2:
         return None
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
     return float(evaluator.evaluate(predictions))
@@ -111,7 +116,7 @@ def distinct_points(vectors: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS
 
 def _fit_and_score(vectors: DataFrame, k: int, seed: int) -> tuple[float | None, KMeansModel]:
     model = fit_kmeans(vectors, k, seed)
-    return silhouette(model.transform(vectors)), model
+    return silhouette(model.transform(vectors), model), model
 
 
 def k_sweep(
