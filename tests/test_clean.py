@@ -124,3 +124,10 @@ def test_speed_sanity_is_top_k(spark):
     top = clean.speed_sanity(silver, 5).collect()
     fastest = silver.agg(F.max("avg_speed_mph")).first()[0]
     assert len(top) == 5 and top[0]["avg_speed_mph"] == fastest
+
+
+def test_column_contract(spark):
+    df = spark.createDataFrame([trip(1)], RAW_SCHEMA)
+    with pytest.raises(ValueError, match="hour_of_day"):
+        clean.clean_trips(df.drop("hour_of_day"))
+    assert clean.clean_trips(df.drop("total_amount", "trip_id")).count() == 1

@@ -41,6 +41,32 @@ SILVER_COLUMNS = [
 ]
 
 
+# The raw-trip column contract (``total_amount`` optional).
+REQUIRED_RAW = [
+    "trip_distance",
+    "trip_duration",
+    "pickup_location_id",
+    "dropoff_location_id",
+    "year",
+    "month",
+    "day",
+    "day_of_week",
+    "hour_of_day",
+    "fare_amount",
+    "tip_amount",
+]
+OPTIONAL_RAW = ["total_amount"]
+
+
+def check_raw_columns(df: DataFrame) -> DataFrame:
+    """Fail early, naming every missing required column (schema only, no
+    job); optional columns may be absent."""
+    missing = [c for c in REQUIRED_RAW if c not in df.columns]
+    if missing:
+        raise ValueError(f"raw trips lack required columns: {missing}")
+    return df
+
+
 # -- predicates (Column-level, reused by the filters and by the funnel) -----
 
 def distance_ok(lo: float = MIN_DISTANCE, hi: float = MAX_DISTANCE) -> Column:
@@ -137,7 +163,8 @@ def silver_projection(df: DataFrame, columns: list[str] | None = None) -> DataFr
 def clean_trips(raw: DataFrame) -> DataFrame:
     """raw trips -> silver trips (one fused filter/project stage)."""
     return (
-        raw.transform(filter_distance)
+        raw.transform(check_raw_columns)
+        .transform(filter_distance)
         .transform(filter_duration)
         .transform(filter_total_amount)
         .transform(filter_locations)
