@@ -17,11 +17,12 @@ def spark():
     from zonepulse.session import build_session
 
     ckpt = tempfile.mkdtemp(prefix="zonepulse-test-ckpt-")
+    warehouse = tempfile.mkdtemp(prefix="zonepulse-test-warehouse-")
     session = build_session(
         "local[4]",
         app_name="zonepulse-tests",
         shuffle_partitions=4,
-        conf={"spark.checkpoint.dir": ckpt},
+        conf={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": warehouse},
     )
     yield session
     session.stop()
