@@ -90,3 +90,45 @@ def test_salted_join_equals_plain_join(spark, keys):
     assert sorted(tuple(r) for r in salted.select("trip_id", "k", "name").collect()) == sorted(
         tuple(r) for r in plain.select("trip_id", "k", "name").collect()
     )
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(st.tuples(st.integers(1, 4), st.integers(0, 23), st.integers(0, 59)), min_size=1, max_size=40),
+    st.integers(1, 3),
+)
+def test_stream_equals_batch_over_files(spark, rows, per_trigger):
+    import os
+    import tempfile
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from zonepulse.streaming import alerts
+
+    root = tempfile.mkdtemp(prefix="zonepulse-prop-stream-")
+    src = os.path.join(root, "src")
+    os.makedirs(src)
+    day = dt.datetime(2024, 2, 1)
+    events = sorted((day.replace(hour=h, minute=m), u) for u, h, m in rows)
+    chunks = [events[i:i + 7] for i in range(0, len(events), 7)]  # files arrive in time order
+    for n, chunk in enumerate(chunks):
+        table = pa.table({
+            "event_id": pa.array([n * 100 + i for i in range(len(chunk))], pa.int64()),
+            "ts": pa.array([t for t, _ in chunk], pa.timestamp("us")),
+            "user_id": pa.array([u for _, u in chunk], pa.int64()),
+            "event_type": pa.array(["view"] * len(chunk), pa.string()),
+            "value": pa.array([1.0] * len(chunk), pa.float64()),
+            "props": pa.array(['{"k": 1}'] * len(chunk), pa.string()),
+        })
+        pq.write_table(table, os.path.join(src, f"part-{n:03d}.parquet"))
+    history = spark.read.schema(alerts.EVENT_SCHEMA).parquet(src)
+    threshold = alerts.window_threshold(history).first()["threshold"]
+    query = alerts.start_alert_stream(
+        spark, src, int(threshold), os.path.join(root, "sink"), os.path.join(root, "ckpt"),
+        max_files_per_trigger=per_trigger,
+    )
+    query.awaitTermination()
+    streamed = sorted(tuple(r) for r in alerts.read_alerts(spark, os.path.join(root, "sink")).collect())
+    batch = sorted(tuple(r) for r in alerts.batch_window_alerts(history).collect())
+    assert streamed == batch
