@@ -1,8 +1,10 @@
 """Layer inputs built from the shipped test tables.
 
 ``fixture="lineitem"`` (fixture B, the volume fixture) or
-``fixture="events"`` (fixture A, real timestamps). Everything here is
-lazy: it only declares plans over the Parquet scans.
+``fixture="events"`` (fixture A, real timestamps). Plans are declared
+lazily over the Parquet scans, with three eager steps: size checks before
+a broadcast, the stored range copy behind the fixture-A next-event lookup,
+and the stored demand-band gold.
 """
 
 from __future__ import annotations
