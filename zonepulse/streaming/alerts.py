@@ -85,6 +85,7 @@ def start_alert_stream(
     watermark: str = WATERMARK,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    schema: str = EVENT_SCHEMA,
 ) -> StreamingQuery:
     """Start the alert stream over Parquet files arriving in ``source_dir``.
 
@@ -92,8 +93,9 @@ def start_alert_stream(
     otherwise the query keeps running as new files arrive.
     ``max_files_per_trigger`` bounds the size of each micro-batch (a backlog
     is then worked off in several batches instead of one huge one).
+    ``schema`` needs ``ts`` (TIMESTAMP_NTZ or TIMESTAMP) and ``user_id``.
     """
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob)
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     events = reader.parquet(source_dir)
