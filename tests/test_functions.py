@@ -52,3 +52,15 @@ def test_approximate_threshold_variant(spark):
     assert exact == 75
     assert abs(approx - exact) <= 1
     assert threshold_frame(df.filter(F.lit(False)), "x", 0.75).first()[0] is None
+
+
+def test_schema_profile_lists_columns_in_order(spark):
+    from zonepulse.operators.profile import schema_profile
+
+    df = spark.createDataFrame([(1, "a", 2.0)], "id bigint, name string, x double")
+    rows = schema_profile(spark, df).orderBy("position").collect()
+    assert [(r.column, r.position, r.data_type) for r in rows] == [
+        ("id", 0, "bigint"),
+        ("name", 1, "string"),
+        ("x", 2, "double"),
+    ]
