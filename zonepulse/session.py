@@ -41,7 +41,9 @@ def build_session(
     """Create (or reuse) a session with the library defaults.
 
     ``master`` is only set when given, so ``spark-submit`` keeps control of
-    it on a cluster.
+    it on a cluster; unless the master is local, ``CLUSTER_CONF`` is added
+    (many shuffle partitions for AQE to coalesce, larger scan splits, skew
+    splitting). Explicit ``conf`` entries win over both default sets.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
