@@ -64,3 +64,16 @@ def test_schema_profile_lists_columns_in_order(spark):
         ("name", 1, "string"),
         ("x", 2, "double"),
     ]
+
+
+def test_session_settings_for_local_and_cluster():
+    from zonepulse.session import CLUSTER_CONF, session_settings
+
+    local = session_settings("local[8]", 16)
+    assert local["spark.sql.adaptive.enabled"] == "true"
+    assert local["spark.sql.shuffle.partitions"] == "16"
+    assert "spark.sql.files.maxPartitionBytes" not in local
+    cluster = session_settings(None, conf={"spark.sql.shuffle.partitions": "8000"})
+    assert cluster["spark.sql.files.maxPartitionBytes"] == CLUSTER_CONF["spark.sql.files.maxPartitionBytes"]
+    assert cluster["spark.sql.shuffle.partitions"] == "8000"  # explicit values win
+    assert cluster["spark.ui.enabled"] == "false"

@@ -32,6 +32,18 @@ CLUSTER_CONF = {
 }
 
 
+def session_settings(
+    master: str | None, shuffle_partitions: int | None = None, conf: dict[str, str] | None = None
+) -> dict[str, str]:
+    """The configuration ``build_session`` applies: library defaults, the
+    cluster defaults unless the master is local, then explicit values."""
+    local = master is not None and master.startswith("local")
+    settings = {**DEFAULT_CONF, **({} if local else CLUSTER_CONF), **(conf or {})}
+    if shuffle_partitions:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    return settings
+
+
 def build_session(
     master: str | None = None,
     app_name: str = "zonepulse",
@@ -48,12 +60,8 @@ def build_session(
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    local = master is not None and master.startswith("local")
-    settings = {**DEFAULT_CONF, **({} if local else CLUSTER_CONF), **(conf or {})}
-    for key, value in settings.items():
+    for key, value in session_settings(master, shuffle_partitions, conf).items():
         builder = builder.config(key, value)
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
