@@ -76,4 +76,5 @@ def test_session_settings_for_local_and_cluster():
     cluster = session_settings(None, conf={"spark.sql.shuffle.partitions": "8000"})
     assert cluster["spark.sql.files.maxPartitionBytes"] == CLUSTER_CONF["spark.sql.files.maxPartitionBytes"]
     assert cluster["spark.sql.shuffle.partitions"] == "8000"  # explicit values win
-    assert cluster["spark.ui.enabled"] == "false"
+    assert local["spark.ui.enabled"] == "false"
+    assert "spark.ui.enabled" not in cluster  # the cluster's own setting holds

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +16,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
 }
+# Local sessions (tests, benchmarks) only.
+LOCAL_CONF = {"spark.ui.enabled": "false"}
 
 
 # Extra defaults for cluster runs (not applied to local sessions): many
@@ -38,7 +39,7 @@ def session_settings(
     """The configuration ``build_session`` applies: library defaults, the
     cluster defaults unless the master is local, then explicit values."""
     local = master is not None and master.startswith("local")
-    settings = {**DEFAULT_CONF, **({} if local else CLUSTER_CONF), **(conf or {})}
+    settings = {**DEFAULT_CONF, **(LOCAL_CONF if local else CLUSTER_CONF), **(conf or {})}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     return settings
@@ -108,16 +109,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint folder for job-owned outputs
-    (stored copies, stream sinks, stream checkpoints)."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-        return tempfile.mkdtemp(prefix=f"{name}-", dir=base)
-    import uuid
-
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    (stored copies, stream sinks, stream checkpoints).
+
+    The folder is made through Spark's own file system layer, so a path
+    without a scheme means the cluster's default file system, never the
+    driver's disk, and it is removed when the driver ends.
+    """
+    target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the writer makes the folder
+        return target
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    fs.deleteOnExit(path)
+    return fs.makeQualified(path).toString()
 
 
 def materialize(df, name: str = "stage"):
