@@ -3,7 +3,12 @@ membership filter and a lookup that survives hot groups."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import tempfile
+import zipfile
+from pathlib import Path
+
+import zonepulse
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonepulse.session import materialize
@@ -19,6 +24,20 @@ FILTER_BITS = 1 << 26
 stored = materialize
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application:
+    an archive of its sources that Spark's own file distribution carries."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_zonepulse_shipped", False):
+        root = Path(zonepulse.__file__).parent
+        archive = Path(tempfile.mkdtemp(prefix="zonepulse-code-")) / "zonepulse.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, source.relative_to(root.parent))
+        sc.addPyFile(str(archive))
+        sc._zonepulse_shipped = True
+
+
 def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import chat, dedup, mixing, secrets, sharding
+from zonepulse.llm import chat, dedup, mixing, packing, secrets, sharding, tokens, topk
 from zonepulse.llm.common import read
 
 SHARDS = 40
@@ -16,10 +16,20 @@ PROBE = [(-7, 0, "user"), (-7, 1, "assistant")]
 PROBE_TEXT = "</s>[INST] ok [/INST]"
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of every document; a token that crosses a line's
+    end counts where most of its bytes are."""
+    return tokens.token_counts(read(spark, sf_dir, "documents")).drop("field")
+
+
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(secrets.scan(read(spark, sf_dir, "documents")))
 
@@ -32,6 +42,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(read(spark, sf_dir, "documents"))
 
 
+def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents")))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = spark.sql(
@@ -41,16 +55,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_virtual_slots": op2_virtual_slots,
+    "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_format": op10_chat_format,
 }
 
 _CLEAN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op6_mix_sources": r"""
         WITH d AS (
             SELECT doc_id, source,
