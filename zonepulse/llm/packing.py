@@ -40,9 +40,9 @@ WINDOW = 1024
 END_ID = 0
 #: Costs of a cut, in tokens of padding.
 SENTENCE = 4
-INSIDE = 24
+INSIDE = 12
 #: Sentences longer than this also offer cuts inside, so many tokens apart.
-LONG = 128
+LONG = 32
 STRETCH = 1 << 18
 
 
