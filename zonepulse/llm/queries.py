@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import chat, dedup, mixing, packing, secrets, sharding, tokens, topk
+from zonepulse.llm import chat, dedup, mixing, packing, secrets, sharding, tokens, topk, toxicity
 from zonepulse.llm.common import read
 
 SHARDS = 40
@@ -26,6 +26,11 @@ def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(read(spark, sf_dir, "documents"), SHARDS)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.predictions(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
 def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
 
@@ -57,6 +62,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_virtual_slots": op2_virtual_slots,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
