@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import ship
+from zonepulse.llm.common import ship, stored
 from zonepulse.llm.hashing import LETTERS, LOWER, text_slices, word_hashes
 
 #: Labelled rows that are fetched for training, by hash of the id: the bound.
@@ -276,12 +276,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col:
         F.col("doc_id").cast("long").alias("l_id"), (F.col("toxic") > 0).cast("int").alias("y")
     )
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    own = F.col(id_col).cast("long").alias("d_id")
+    order = [F.xxhash64("d_id"), "d_id", "y"]
+    # First which rows, from ids alone, then their texts: no text shuffles.
+    chosen = (
+        docs.where(~held_out(id_col)).select(own).join(truth, F.col("d_id") == F.col("l_id")).select("d_id", "y")
+    )
+    chosen = stored(chosen.orderBy(*order).limit(sample), "toxicity-sample").distinct()
     rows = (
-        docs.where(~held_out(id_col))
-        .select(F.col(id_col).cast("long").alias("d_id"), F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
-        .join(truth, F.col("d_id") == F.col("l_id"))
-        .select(F.xxhash64("d_id").alias("h"), "d_id", "text", "lang", "y")
-        .orderBy("h", "d_id", "text", "y")
+        docs.select(own, F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
+        .join(F.broadcast(chosen), "d_id")
+        .orderBy(*order, "text")
         .limit(sample)
         .toArrow()
     )
