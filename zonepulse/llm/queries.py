@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import chat, dedup, mixing, packing, secrets, sharding, tokens, topk, toxicity
+from zonepulse.llm import chat, dedup, mixing, ngram_join, packing, secrets, sharding, tokens, topk, toxicity
 from zonepulse.llm.common import read
 
 SHARDS = 40
@@ -43,6 +43,10 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(read(spark, sf_dir, "documents"))
 
 
+def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.exact_groups(read(spark, sf_dir, "documents"))
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_exact_topk": op4_exact_topk,
     "op5_secret_scan": op5_secret_scan,
     "op6_mix_sources": op6_mix_sources,
+    "op7_ngram_join": op7_ngram_join,
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_format": op10_chat_format,
