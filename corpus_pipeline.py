@@ -4,30 +4,56 @@ source mixing and packing, each an operator of ``zonepulse.llm``.
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes each stage's rows as Parquet in the shared folder and hands the stored
 copy to the next stage, so a lost executor costs one stage's tasks at most.
+All stages but the last return the columns of documents. Null texts, empty
+tables, repeated rows and further columns are handled as each operator's
+module says.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from zonepulse.llm import dedup, mixing, ngram_join, packing, toxicity
 from zonepulse.llm.common import read, stored
-from zonepulse.llm.dedup import dedup
-from zonepulse.llm.mixing import mix
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays."""
-    return dedup(docs)
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents at or above their language's threshold go; the classifier
+    learns from the labelled ones among ``docs`` outside the hold-out."""
+    return toxicity.reject(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the smallest id stays."""
+    return dedup.dedup(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group connected by a Jaccard similarity of 0.8 or more over
+    five-word shingles the document with the smallest id stays."""
+    return ngram_join.dedup_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Whole documents, repeated or left out until sources near their targets."""
-    return mix(docs)
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of at most 1024 tokens, ids included."""
+    return packing.pack(docs)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mix_sources", mix_sources)]
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_join", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: The classifier, the similarity join and the tokenizer have no SQL form.
+#: The classifier, the similarity join and the tokenizer have no SQL form;
+#: tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
