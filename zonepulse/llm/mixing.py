@@ -72,6 +72,14 @@ def _fraction(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+def _row_key(id_col: str, source_col: str, text_col: str) -> Column:
+    """128 bits of id, source and text, never null."""
+    parts = F.struct(
+        F.col(id_col).cast("string").alias("i"), F.col(source_col).cast("string").alias("s"), F.md5(text_of(text_col).cast("binary")).alias("t")
+    )
+    return F.unhex(F.md5(F.to_json(parts).cast("binary")))
+
+
 def with_copies(
     docs: DataFrame,
     source_col: str = "source",
@@ -81,16 +89,15 @@ def with_copies(
     weights: tuple[int, ...] = WEIGHTS,
     budget: float = BUDGET,
     cap: int = CAP,
-    carry: bool = False,
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies for every row; with
-    ``carry`` also ``row``, a struct of all columns of ``docs``."""
+    """doc_id, source, size, source_size, target, copies and row_key for every
+    row. No text leaves its task."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         words(text_col).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("~")).cast("binary")).alias("h"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
+        _row_key(id_col, source_col, text_col).alias("row_key"),
     )
     order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("h")]
     rows = stored(
@@ -119,7 +126,7 @@ def with_copies(
         "source_size",
         "target",
         F.least(copies, F.lit(cap)).cast("long").alias("copies"),
-        *(["row"] if carry else []),
+        "row_key",
     )
 
 
@@ -130,11 +137,19 @@ def taken(docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mixture itself: whole rows, repeated as often as they are emitted."""
+def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The mixture itself: whole rows, repeated as often as they are emitted.
+    Texts shuffle once, by a hash of the row; rows equal in id, source and text
+    are repeats of one row and share its other columns."""
+    copies = with_copies(docs, source_col=source_col, id_col=id_col, text_col=text_col, **options)
+    copies = copies.groupBy("row_key").agg(F.sum("copies").alias("copies")).where("copies > 0")
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key(id_col, source_col, text_col).alias("row_key")
+    )
     return (
-        with_copies(docs, carry=True, **options)
-        .where(F.col("copies") > 0)
+        rows.join(copies, "row_key")
+        .groupBy("row_key")
+        .agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
         .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth"))
         .select("row.*")
     )
