@@ -12,7 +12,7 @@ import pyarrow as pa
 BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once (a longer text is one piece).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 #: Words are what stands between white space of the contracts.
 SPACED = np.array([not (b == 0x20 or 9 <= b <= 13) for b in range(256)])

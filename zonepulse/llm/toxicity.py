@@ -50,6 +50,8 @@ PREFIX_BYTES = 4
 #: Mini-batches, whatever the number of labelled rows.
 STEPS = 1_500
 BATCH = 32
+#: A mini-batch of long texts ends early, after so many words.
+BATCH_WORDS = 30_000
 RATE = 0.05
 THRESHOLD = 0.3
 
@@ -65,6 +67,10 @@ class Model:
     scale: float = 1.0
     offset: float = 0.0
     constant: float | None = None  # the score of all texts, if nothing was learned
+    #: Once trained: the row of each bucket in tables that keep only what was
+    #: seen often enough (row 0 is zero).
+    word_row: np.ndarray | None = None
+    stem_row: np.ndarray | None = None
     threshold: float = THRESHOLD
     thresholds: dict[str, float] = field(default_factory=dict)
 
@@ -108,6 +114,8 @@ def _spaced(model: Model, words: np.ndarray, stems: np.ndarray, begins: np.ndarr
     at = begins[:-1] + pad * np.arange(len(lengths))
     x = np.zeros((len(words) + pad * len(lengths) + pad, DIM), np.float32)
     rows = np.arange(len(words)) + pad * np.repeat(np.arange(len(lengths)), lengths)
+    if model.word_row is not None:
+        words, stems = model.word_row[words], model.stem_row[stems]
     x[rows] = model.words[words] + model.stems[stems]
     return x, at
 
@@ -141,6 +149,16 @@ def scores(model: Model, texts: pa.Array) -> np.ndarray:
     return np.concatenate(made) if made else np.zeros(0)
 
 
+def _batches(order: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
+    cuts, first, words = [], 0, 0
+    for k, n in enumerate(lengths):
+        if k > first and (k - first == BATCH or words + n > BATCH_WORDS):
+            cuts.append(k)
+            first, words = k, 0
+        words += n
+    return np.split(order, cuts)
+
+
 def _train(model: Model, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int, seed: int) -> None:
     """Adagrad over mini-batches; through a maximum the gradient reaches only
     the words under it."""
@@ -159,7 +177,7 @@ def _train(model: Model, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.
     done = 0
     while some and done < steps:
         order = rng.permutation(some)
-        for batch in np.split(order, range(BATCH, len(order), BATCH))[: steps - done]:
+        for batch in _batches(order, [len(texts[i][0]) for i in order])[: steps - done]:
             done += 1
             kept = [rng.random(len(texts[i][0])) >= DROPPED for i in batch]
             batch, kept = batch[[k.any() for k in kept]], [k for k in kept if k.any()]
@@ -208,6 +226,13 @@ def _train(model: Model, texts: list[tuple[np.ndarray, np.ndarray]], labels: np.
             bias_grad = float(error.sum())
             bias_square += bias_grad**2
             model.out_bias -= RATE * bias_grad / bias_square**0.5
+    model.words, model.word_row = _kept(model.words, known[0])
+    model.stems, model.stem_row = _kept(model.stems, known[1])
+
+
+def _kept(table: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.where(known, np.cumsum(known), 0).astype(np.int32)
+    return np.concatenate((np.zeros((1, table.shape[1]), table.dtype), table[known])), rows
 
 
 def _calibrate(model: Model, logits: np.ndarray, labels: np.ndarray) -> None:
