@@ -1,14 +1,12 @@
 from zonepulse.functions.calendar import (
-    WEEKDAY_LABELS,
-    WEEKDAY_ORDER,
+    WEEKDAYS,
     epoch_micros,
     epoch_seconds,
     instant_from_ntz,
+    label_weekdays,
     ntz_from_instant,
     time_parts,
-    weekday_label_map,
-    weekday_name,
-    weekday_rank,
+    weekday_position,
 )
 from zonepulse.functions.measures import (
     duration_hours,
@@ -19,16 +17,14 @@ from zonepulse.functions.measures import (
 from zonepulse.functions.quantiles import percentile_approx, percentile_disc, threshold_frame, threshold_value
 
 __all__ = [
-    "WEEKDAY_LABELS",
-    "WEEKDAY_ORDER",
+    "WEEKDAYS",
+    "label_weekdays",
+    "weekday_position",
     "epoch_micros",
     "epoch_seconds",
     "instant_from_ntz",
     "ntz_from_instant",
     "time_parts",
-    "weekday_label_map",
-    "weekday_name",
-    "weekday_rank",
     "duration_hours",
     "duration_minutes",
     "finite_or_null",

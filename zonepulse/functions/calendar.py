@@ -2,33 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Weekday number (0 = Monday ... 6 = Sunday, the convention of
-# Spark's ``weekday()``) and its label, in natural order.
-WEEKDAY_LABELS = {0: "Mon", 1: "Tue", 2: "Wed", 3: "Thu", 4: "Fri", 5: "Sat", 6: "Sun"}
-WEEKDAY_ORDER = ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"]
+# Weekday labels in natural order. A label's place in the list
+# is its number (0 = Monday, the convention of Spark's ``weekday()``).
+WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
 
 
-def weekday_label_map(labels: dict[int, str] | None = None) -> Column:
-    """Map literal ``int -> string`` (constant-folded by Catalyst)."""
-    labels = WEEKDAY_LABELS if labels is None else labels
-    return F.create_map(*[F.lit(x) for kv in labels.items() for x in kv])
+def _labels() -> Column:
+    return F.array(*[F.lit(day) for day in WEEKDAYS])
 
 
-def weekday_name(day_of_week: str | Column = "day_of_week") -> Column:
-    """Label of a 0-based weekday; unmapped values and NULL give NULL."""
-    col = F.col(day_of_week) if isinstance(day_of_week, str) else day_of_week
-    return weekday_label_map()[col]
+def label_weekdays(counts: DataFrame, measure: str, *keys: str) -> DataFrame:
+    """Weekday counts with ``day_name`` in place of ``day_of_week``. Labels
+    meet the few aggregated rows, not the trips; numbers without a label
+    (and NULL) share the NULL label, so their counts add up."""
+    by_number = F.map_from_arrays(F.sequence(F.lit(0), F.lit(len(WEEKDAYS) - 1)), _labels())
+    named = counts.withColumn("day_name", by_number[F.col("day_of_week")])
+    return named.groupBy("day_name", *keys).agg(F.sum(measure).alias(measure))
 
 
-def weekday_rank(day_name: str | Column = "day_name", order: list[str] | None = None) -> Column:
-    """1-based position of a label in the display order (0 if absent,
-    NULL for NULL) — a sort key for Mon..Sun ordering."""
-    col = F.col(day_name) if isinstance(day_name, str) else day_name
-    order = WEEKDAY_ORDER if order is None else order
-    return F.array_position(F.array(*[F.lit(d) for d in order]), col)
+def weekday_position(day_name: str = "day_name") -> Column:
+    """Sort key Monday to Sunday: 1 to 7, 0 for an unknown label, NULL first."""
+    return F.array_position(_labels(), F.col(day_name))
 
 
 def time_parts(ts: str | Column) -> dict[str, Column]:

@@ -6,7 +6,7 @@ still depends on how rows are laid out in partitions. To make the labels,
 silhouettes and the chosen K reproducible, the zone frame is given a
 layout that depends only on the data: features rounded (removing
 summation-order noise of the averages), hash-partitioned on the zone key
-into a data-derived number of partitions, sorted within partitions; the rounded frame is
+into a fixed number of buckets whatever the row count, sorted within partitions; the rounded frame is
 stored once in the shared checkpoint folder (a lineage cut that survives
 executor loss) and the laid-out vectors are persisted for the sweep.
 Cluster ids are finally renumbered by demand so they mean the same thing
@@ -15,7 +15,6 @@ on every run.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -34,7 +33,11 @@ from zonepulse.session import materialize
 K_RANGE = (3, 4, 5, 6)
 SEED = 42
 ROUND_DIGITS = 9
-ROWS_PER_PARTITION = 250_000
+# Hash buckets of the fit. Seeding depends on the layout, so the number is
+# fixed: raise it for very many zones, knowing that this changes the model.
+FIT_PARTITIONS = 16
+# Silhouettes are compared after rounding: summation order moves the last bits.
+SCORE_DIGITS = 9
 
 
 def stable_layout(
@@ -42,10 +45,10 @@ def stable_layout(
     key: str = "pickup_location_id",
     columns: Sequence[str] = FEATURE_COLUMNS,
     digits: int = ROUND_DIGITS,
-    rows_per_partition: int = ROWS_PER_PARTITION,
+    partitions: int = FIT_PARTITIONS,
 ) -> DataFrame:
     """Round features, store them once (shared checkpoint folder) and fix
-    the partition layout as a function of the data only."""
+    the partition layout as a function of the keys only."""
     rounded = zone_frame.select(
         key,
         *[
@@ -53,12 +56,7 @@ def stable_layout(
             for c in columns
         ],
     )
-    # One pass over the trips: materialise, then size the layout from the
-    # stored copy. The hash layout below depends only on keys and ``parts``.
-    materialised = materialize(rounded, "zone-features")
-    n = materialised.count()
-    parts = max(1, math.ceil(n / rows_per_partition))
-    return materialised.repartition(parts, key).sortWithinPartitions(key)
+    return materialize(rounded, "zone-features").repartition(partitions, key).sortWithinPartitions(key)
 
 
 def assemble_features(
@@ -68,9 +66,10 @@ def assemble_features(
     handle_invalid: str = "skip",
     scale: bool = False,
 ) -> DataFrame:
-    """M1 (+ R6): feature vector. ``handle_invalid='skip'`` drops zones with
-    a NULL feature (for example all fares NULL) instead of failing the job;
-    ``'error'`` reproduces the strict behaviour. ``scale`` standardises
+    """M1 (+ R6): feature vector of the complete rows. ``handle_invalid='skip'``
+    leaves out zones with a NULL feature (for example all fares NULL), which
+    cannot enter a distance; ``cluster_zones`` puts them back without a
+    cluster. ``'error'`` reproduces the strict behaviour. ``scale`` standardises
     each feature (mean 0, unit variance) so that ``total_trips`` does not
     dominate the distances."""
     raw_col = f"{output}_raw" if scale else output
@@ -100,7 +99,7 @@ def silhouette(predictions: DataFrame, model: KMeansModel | None = None) -> floa
     if non_empty < 2:
         return None
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    return float(evaluator.evaluate(predictions))
+    return round(float(evaluator.evaluate(predictions)), SCORE_DIGITS)
 
 
 @dataclass
@@ -108,6 +107,8 @@ class Sweep:
     results: list[tuple[int, float | None]]
     best_k: int
     best_model: KMeansModel | None
+    #: Zones with a NULL feature: kept, but in no cluster.
+    incomplete: int = 0
 
 
 def distinct_points(vectors: DataFrame, columns: Sequence[str] = FEATURE_COLUMNS) -> int:
@@ -162,7 +163,7 @@ def relabel_by_demand(clustered: DataFrame, key: str = "pickup_location_id") ->
     """Renumber clusters 0..K-1 by mean ``total_trips`` (descending), ties
     by the smallest member zone id, so that ids are independent of K-Means
     internals. The mapping frame has K rows (broadcast by construction)."""
-    stats = clustered.groupBy("prediction").agg(
+    stats = clustered.where("prediction IS NOT NULL").groupBy("prediction").agg(
         F.avg("total_trips").alias("_mean"), F.min(key).alias("_first")
     )
     # K rows: a single-partition window is bounded by K.
@@ -185,11 +186,13 @@ def cluster_zones(
     canonical_labels: bool = True,
     key: str = "pickup_location_id",
     keep_features: bool = False,
+    partitions: int = FIT_PARTITIONS,
 ) -> tuple[DataFrame, Sweep]:
     """M7: zones with an int ``prediction`` from the best K of the sweep
-    (the sweep's model is reused, not refitted). ``keep_features`` keeps
-    the assembled ``features`` vector column."""
-    stable = stable_layout(zone_frame, key)
+    (the sweep's model is reused, not refitted). Zones with a NULL feature
+    stay, with a NULL ``prediction``; ``Sweep.incomplete`` counts them.
+    ``keep_features`` keeps the assembled ``features`` vector column."""
+    stable = stable_layout(zone_frame, key, partitions=partitions)
     vectors = assemble_features(stable, scale=scale).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sweep = k_sweep(vectors, ks, seed)
@@ -199,9 +202,10 @@ def cluster_zones(
             clustered = sweep.best_model.transform(vectors).withColumn(
                 "prediction", F.col("prediction").cast("int")
             )
-        if not keep_features:
-            clustered = clustered.drop("features")
-        clustered = materialize(clustered, "zone-clusters")
+        labelled = clustered.select(key, *(["features"] if keep_features else []), "prediction")
+        # Both sides have one row per zone.
+        clustered = materialize(stable.join(labelled, key, "left"), "zone-clusters")
+        sweep.incomplete = clustered.where("prediction IS NULL").count()
     finally:
         vectors.unpersist()
     if canonical_labels:

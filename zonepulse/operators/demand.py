@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.functions.calendar import weekday_name, weekday_rank
+from zonepulse.functions.calendar import label_weekdays, weekday_position
 
 # Fixed value: the evening rush hours, inclusive at both ends.
 RUSH_HOUR_START, RUSH_HOUR_END = 16, 19
@@ -39,24 +39,30 @@ def hour_dow_heatmap(silver: DataFrame) -> DataFrame:
 
 
 def temporal_demand(silver: DataFrame) -> DataFrame:
-    """G1, G2 and G3 from ONE scan and ONE shuffle via grouping sets.
+    """G1, G2 and G3 from one scan: the trips are counted to at most 168
+    (weekday, hour) cells, and only those are rolled up by grouping sets.
 
     ``grain`` is ``hour``, ``dow`` or ``dow_hour``; the key columns not in
-    the grain are NULL. Use this when all three are needed (the pipeline
-    does): three separate actions would scan silver three times.
-    """
+    the grain are NULL."""
+    return roll_up_temporal(hour_dow_heatmap(silver))
+
+
+def roll_up_temporal(cells: DataFrame) -> DataFrame:
+    """The three grains from counts by weekday and hour (or finer)."""
     grain = (
         F.when(F.grouping("day_of_week") == 1, F.lit("hour"))
         .when(F.grouping("hour_of_day") == 1, F.lit("dow"))
         .otherwise(F.lit("dow_hour"))
     )
     return (
-        silver.groupingSets(
+        cells.groupBy("day_of_week", "hour_of_day")
+        .agg(F.sum("trip_count").alias("trip_count"))
+        .groupingSets(
             [["hour_of_day"], ["day_of_week"], ["day_of_week", "hour_of_day"]],
             "day_of_week",
             "hour_of_day",
         )
-        .agg(F.count(F.lit(1)).alias("trip_count"), grain.alias("grain"))
+        .agg(F.sum("trip_count").alias("trip_count"), grain.alias("grain"))
         .select("grain", "day_of_week", "hour_of_day", "trip_count")
     )
 
@@ -92,21 +98,12 @@ def hourly_zone_demand(silver: DataFrame) -> DataFrame:
 def dow_demand_named(silver: DataFrame) -> DataFrame:
     """Trips per weekday label, ordered Mon..Sun; an unmapped weekday
     becomes a NULL label and sorts first."""
-    return (
-        silver.withColumn("day_name", weekday_name("day_of_week"))
-        .groupBy("day_name")
-        .agg(F.count(F.lit(1)).alias("trip_count"))
-        .orderBy(weekday_rank("day_name"))
-    )
+    return label_weekdays(_count_by(silver, "day_of_week"), "trip_count").orderBy(weekday_position())
 
 
 def heatmap_named(silver: DataFrame) -> DataFrame:
     """Trips per (weekday label, hour)."""
-    return (
-        silver.withColumn("day_name", weekday_name("day_of_week"))
-        .groupBy("day_name", "hour_of_day")
-        .agg(F.count(F.lit(1)).alias("trip_count"))
-    )
+    return label_weekdays(hour_dow_heatmap(silver), "trip_count", "hour_of_day")
 
 
 def hourly_per_day(silver: DataFrame) -> DataFrame:

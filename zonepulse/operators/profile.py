@@ -1,19 +1,19 @@
-"""Inspection and profiling (I1-I3, R2, R3, R5): every profile is ONE
-aggregation pass that returns a small frame, never a collect of rows."""
+"""Inspection and profiling (I1-I3, R2, R3, R5): every profile aggregates in
+Spark and returns a small frame, never a collect of rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from zonepulse.session import materialize
 
 # Quantiles reported by the distribution summary.
 SUMMARY_QUANTILES = (0.25, 0.5, 0.75, 0.9)
-SKETCH_ACCURACY = 100_000
 
 
 def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -67,31 +67,46 @@ def distribution_summary(
     df: DataFrame,
     columns: Sequence[str],
     quantiles: Sequence[float] = SUMMARY_QUANTILES,
-    accuracy: int = SKETCH_ACCURACY,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Quantiles of each column, one scan, one row per (column,
-    quantile).
-
-    Continuous columns have about as many distinct values as rows, so an
-    exact ``percentile_disc`` would hold them all in one final task. A
-    quantile sketch (``percentile_approx``) has bounded memory and merges
-    map-side; its rank error is at most ``rows / accuracy`` and it returns
-    the exact element while the column has no more than about
-    ``accuracy / 2`` rows."""
-    qs = F.array(*[F.lit(float(q)) for q in quantiles])
-    exprs = [
-        F.struct(
-            F.lit(c).alias("column"),
-            qs.alias("quantiles"),
-            F.percentile_approx(F.col(c).cast("double"), qs, accuracy).alias("values"),
-        )
-        for c in columns
-    ]
-    return (
-        df.agg(F.array(*exprs).alias("_q"))
-        .select(F.inline("_q"))
-        .select("column", F.inline(F.arrays_zip(F.col("quantiles").alias("quantile"), F.col("values").alias("value"))))
+    """Exact discrete quantiles of each column, one row per (column,
+    quantile), however many distinct values there are.
+
+    ``percentile_disc`` would merge all distinct values in one task. Here the
+    (column, value) counts are range partitioned and stored; a table of one
+    row per (column, partition) says which partition holds each rank, and
+    only that partition is summed up value by value. NULLs do not count; a
+    column without values gives NULL quantiles."""
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    )
+    counts = df.select(cells.alias("c")).select("c.*").where(F.col("value").isNotNull())
+    counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    ranged = materialize(
+        counts.repartitionByRange(n, "column", "value").withColumn("part", F.spark_partition_id()), "value-counts"
+    )
+    parts = ranged.groupBy("column", "part").agg(F.sum("n").alias("n"))
+    # One row per (column, partition): each window holds at most n rows.
+    of_column = Window.partitionBy("column")
+    before = F.sum("n").over(of_column.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    held = parts.select("column", "part", "n", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(of_column).alias("total"))
+    asked = held.withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
+    rank = F.greatest(F.lit(1), F.ceil(F.col("quantile") * F.col("total")))
+    asked = asked.withColumn("rank", rank).where("rank > before AND rank <= before + n").drop("n", "total")
+    # len(columns) x len(quantiles) rows, hence broadcast.
+    hit = ranged.join(F.broadcast(asked), ["column", "part"])
+    upto = F.sum("n").over(Window.partitionBy("column", "quantile").orderBy("value"))
+    found = (
+        hit.withColumn("upto", F.col("before") + upto)
+        .where("upto >= rank")
+        .groupBy("column", "quantile")
+        .agg(F.min("value").alias("value"))
     )
+    wanted = spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column"))
+    wanted = wanted.withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
+    return wanted.join(F.broadcast(found), ["column", "quantile"], "left").select("column", "quantile", "value")
 
 
 def histogram(df: DataFrame, column: str, width: float) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from zonepulse.operators.clean import clean_trips
 from zonepulse.operators.zones import attach_zone_names, gold_projection, zone_features
 from zonepulse.session import materialize
-from zonepulse.sources.adapters import trips_from_events, trips_from_lineitem, zones_from_suppliers
+from zonepulse.sources.adapters import trips_from_events, trips_from_lineitem, unique_zones, zone_rows_from_suppliers
 from zonepulse.sources.tables import read_table
 
 FIXTURES = ("lineitem", "events")
@@ -35,8 +35,13 @@ def silver_trips(spark: SparkSession, sf_dir: str, fixture: str = "lineitem") ->
     return clean_trips(raw_trips(spark, sf_dir, fixture))
 
 
+def zone_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone dimension as stored, possibly with repeated ids."""
+    return zone_rows_from_suppliers(read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation"))
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return zones_from_suppliers(read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation"))
+    return unique_zones(zone_rows(spark, sf_dir))
 
 
 def gold_from_predictions(clustered: DataFrame, zone_dim: DataFrame) -> DataFrame:

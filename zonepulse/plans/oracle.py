@@ -427,3 +427,61 @@ ORACLE_SQL: dict[str, str] = {
     "window_alerts_batch": WINDOW_ALERTS,
     "stream_demand_alerts": WINDOW_ALERTS,
 }
+
+
+# -- clustering: vectors, and what every right labelling has in common ---------
+
+def _features(expr: str = "{c}") -> str:
+    return ", ".join(r(f"CAST({expr.format(c=c)} AS DOUBLE)", f"f_{c}") for c in FEATURES)
+
+
+ZB = with_(RAW_B, DERIVED, SILVER, ZF)
+_POINTS = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in FEATURES)
+_SQUARE = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATURES)
+
+ORACLE_SQL |= {
+    "assemble_features": ZB + f"SELECT pickup_location_id, {_features()} FROM zf",
+    "scaled_features": ZB
+    + f"SELECT pickup_location_id, {_features('({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER ()')} FROM zf",
+    "write_gold_vectors": GB + f"SELECT pickup_location_id, prediction, {_features()} FROM gold",
+    "silhouette": GB.rstrip()
+    + f""",
+p AS (SELECT pickup_location_id AS id, prediction AS label, {_POINTS} FROM gold),
+d AS (
+  SELECT a.id, a.label, b.label AS other, sum({_SQUARE}) AS total, count(*) AS n
+  FROM p a JOIN p b ON true GROUP BY a.id, a.label, b.label),
+s AS (
+  SELECT id, label,
+         max(CASE WHEN other = label THEN n END) AS own,
+         max(CASE WHEN other = label THEN total / NULLIF(n - 1, 0) END) AS inside,
+         min(CASE WHEN other <> label THEN total / n END) AS outside
+  FROM d GROUP BY id, label)
+SELECT ROUND(avg(CASE WHEN own = 1 THEN 0 ELSE (outside - inside) / greatest(inside, outside) END), 6) AS silhouette
+FROM s""",
+    "kmeans_sweep": ZB
+    + "SELECT k, k <= (SELECT count(*) FROM (SELECT DISTINCT "
+    + ", ".join(FEATURES)
+    + " FROM zf)) AS scored, true AS chosen_is_best FROM (VALUES (3), (4), (5), (6)) AS t(k)",
+    "gold_kmeans": GB
+    + "SELECT pickup_location_id, zone_name, borough, true AS labelled, total_trips, "
+    + ", ".join(r(c) for c in FEATURES[1:])
+    + " FROM gold",
+    "kmeans_assign": ZB
+    + "SELECT count(*) AS zones, CAST(sum(total_trips) AS BIGINT) AS trips, CAST(0 AS BIGINT) AS violations FROM zf",
+    "kmeans_cluster_summary": ZB
+    + "SELECT CAST(count(*) AS BIGINT) AS num_zones, CAST(sum(total_trips) AS BIGINT) AS total_trips, "
+    + r("avg(avg_trip_distance)", "avg_distance")
+    + " FROM zf",
+    "schema_profile": """
+SELECT column_name AS "column", CAST(ordinal_position - 1 AS INTEGER) AS position,
+       CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+            WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS data_type,
+       true AS nullable
+FROM information_schema.columns WHERE table_name = 'lineitem'""",
+    "distribution_summary": SB
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST({q} AS DOUBLE) AS quantile, quantile_disc({c}, {q}) AS value FROM silver"
+        for c in ("trip_distance", "fare_amount", "avg_speed_mph")
+        for q in (0.25, 0.5, 0.75, 0.9)
+    ),
+}

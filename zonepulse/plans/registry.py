@@ -11,10 +11,11 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.operators import clean, demand, insights, profile, zones
+from zonepulse.operators import clean, cluster, demand, insights, profile, zones
 from zonepulse.operators.cluster import cluster_zones, sweep_frame
 from zonepulse.plans import inputs
 from zonepulse.plans.medallion import write_silver
@@ -98,18 +99,13 @@ def _write_read(spark, df, name):
 
 
 def q_write_hourly_demand(spark, sf):
-    """K3: hourly demand from the one-pass grouping-set aggregate, written
-    and read back."""
-    temporal = demand.temporal_demand(_silver(spark, sf))
-    hourly = temporal.filter(F.col("grain") == "hour").select("hour_of_day", "trip_count")
-    return _write_read(spark, hourly, "hourly_demand")
+    """K3: hourly demand, written and read back."""
+    return _write_read(spark, demand.hourly_demand(_silver(spark, sf)), "hourly_demand")
 
 
 def q_write_dow_demand(spark, sf):
     """K4: weekday demand, written and read back."""
-    temporal = demand.temporal_demand(_silver(spark, sf))
-    dow = temporal.filter(F.col("grain") == "dow").select("day_of_week", "trip_count")
-    return _write_read(spark, dow, "dow_demand")
+    return _write_read(spark, demand.dow_demand(_silver(spark, sf)), "dow_demand")
 
 
 def q_write_gold(spark, sf):
@@ -229,17 +225,17 @@ def q_zone_names(spark, sf):
 
 def q_top_zones_named(spark, sf):
     """Top-20 zones with names."""
-    return zones.top_zones_named(_silver(spark, sf), inputs.zones(spark, sf), 20)
+    return zones.top_zones_named(_silver(spark, sf), inputs.zone_rows(spark, sf), 20)
 
 
 def q_top_zones_named_all(spark, sf):
     """All zones with names, busiest first."""
-    return zones.top_zones_named(_silver(spark, sf), inputs.zones(spark, sf), None)
+    return zones.top_zones_named(_silver(spark, sf), inputs.zone_rows(spark, sf), None)
 
 
 def q_top_zones_named_events(spark, sf):
     """J3 on fixture A (ties at the cut, unmatched names)."""
-    return zones.top_zones_named(_silver(spark, sf, "events"), inputs.zones(spark, sf), 20)
+    return zones.top_zones_named(_silver(spark, sf, "events"), inputs.zone_rows(spark, sf), 20)
 
 
 # -- cluster insights on the demand-band gold (SQL-checkable) -------------------
@@ -277,23 +273,99 @@ def q_cluster_keys(spark, sf):
     return insights.cluster_keys(_gold(spark, sf))
 
 
-# -- clustering (checked by invariants, no SQL oracle) ---------------------------
+# -- clustering -----------------------------------------------------------------
+# K-Means labels differ between engines, so these queries return what any
+# right labelling has in common; tests/test_cluster.py checks the labels.
+
+def _kmeans(spark, sf):
+    return cluster_zones(zones.zone_features(_silver(spark, sf)), keep_features=True)
+
+
+def _vector_columns(df):
+    """One double column per feature out of the vector column."""
+    values = vector_to_array("features")
+    return [values[i].alias(f"f_{name}") for i, name in enumerate(zones.FEATURE_COLUMNS)]
+
+
+def q_assemble_features(spark, sf):
+    """M1: the feature vector of every zone, read back from the vector."""
+    vectors = cluster.assemble_features(zones.zone_features(_silver(spark, sf)))
+    return vectors.select("pickup_location_id", *_vector_columns(vectors))
+
+
+def q_scaled_features(spark, sf):
+    """The standardised feature vector of every zone."""
+    vectors = cluster.assemble_features(zones.zone_features(_silver(spark, sf)), scale=True)
+    return vectors.select("pickup_location_id", *_vector_columns(vectors))
+
+
+def q_write_gold_vectors(spark, sf):
+    """K5: zones with feature vector and cluster (demand bands), written and
+    read back."""
+    vectors = cluster.assemble_features(_gold(spark, sf)).select("pickup_location_id", "features", "prediction")
+    stored = _write_read(spark, vectors, "gold_vectors")
+    return stored.select("pickup_location_id", "prediction", *_vector_columns(stored))
+
+
+def q_silhouette(spark, sf):
+    """M4: mean silhouette (squared Euclidean) of the demand-band clusters."""
+    vectors = cluster.assemble_features(_gold(spark, sf))
+    score = cluster.silhouette(vectors.select("features", F.col("prediction").cast("double").alias("prediction")))
+    return spark.range(1).select(F.lit(score).cast("double").alias("silhouette"))
+
 
 def q_kmeans_sweep(spark, sf):
-    """M5/M6: silhouette for K in 3..6 and the chosen K."""
-    _, sweep = cluster_zones(zones.zone_features(_silver(spark, sf)))
-    return sweep_frame(spark, sweep)
+    """M5/M6: every K of the sweep, whether it could be scored (it can when
+    there are that many distinct points), and whether the chosen K scores
+    highest."""
+    _, sweep = _kmeans(spark, sf)
+    rows = sweep_frame(spark, sweep)
+    best = rows.agg(F.max("silhouette").alias("s")).scalar()
+    top = rows.where("chosen").agg(F.max("silhouette").alias("s")).scalar()
+    return rows.select(
+        "k", F.coalesce(F.col("silhouette").between(-1, 1), F.lit(False)).alias("scored"), (top == best).alias("chosen_is_best")
+    )
 
 
 def q_gold_kmeans(spark, sf):
-    """M1-M7 + J1 + P6: K-Means gold with canonical cluster ids."""
-    clustered, _ = cluster_zones(zones.zone_features(_silver(spark, sf)))
-    return inputs.gold_from_predictions(clustered, inputs.zones(spark, sf))
+    """M1-M7 + J1 + P6: K-Means gold; ``labelled`` in place of the label."""
+    clustered, _ = _kmeans(spark, sf)
+    gold = inputs.gold_from_predictions(clustered, inputs.zones(spark, sf))
+    return gold.withColumn("labelled", F.col("prediction").isNotNull()).drop("prediction")
+
+
+def q_kmeans_assign(spark, sf):
+    """M2/M3/M7: zones and trips that got a label, and zones whose label is
+    not that of a nearest centre."""
+    clustered, sweep = cluster_zones(zones.zone_features(_silver(spark, sf)), canonical_labels=False, keep_features=True)
+    if sweep.best_model is None:
+        far = F.lit(False)
+    else:
+        centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in sweep.best_model.clusterCenters()])
+        squares = F.transform(
+            centres,
+            lambda c: F.aggregate(F.zip_with(c, vector_to_array("features"), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x),
+        )
+        least = F.array_min(squares)
+        far = F.element_at(squares, F.col("prediction") + 1) > least + F.greatest(F.lit(1.0), least) * 1e-9
+    labelled = F.col("prediction").isNotNull()
+    return clustered.agg(
+        F.count_if(labelled).alias("zones"),
+        F.sum(F.when(labelled, F.col("total_trips"))).alias("trips"),
+        F.count_if(labelled & far).alias("violations"),
+    )
 
 
 def q_kmeans_cluster_summary(spark, sf):
-    """G8 on the K-Means gold."""
-    return insights.cluster_summary(q_gold_kmeans(spark, sf))
+    """G8 on the K-Means gold, summed over the clusters: zones and trips, and
+    the mean of zone mean distances weighted back by zones."""
+    clustered, _ = _kmeans(spark, sf)
+    per = insights.cluster_summary(inputs.gold_from_predictions(clustered, inputs.zones(spark, sf)))
+    return per.agg(
+        F.sum("num_zones").alias("num_zones"),
+        F.sum("total_trips_cluster").alias("total_trips"),
+        (F.sum(F.col("avg_distance") * F.col("num_zones")) / F.sum("num_zones")).alias("avg_distance"),
+    )
 
 
 # -- profiling -----------------------------------------------------------------
@@ -315,9 +387,13 @@ def q_data_profile(spark, sf):
     return profile.data_profile(_raw(spark, sf))
 
 
+def q_schema_profile(spark, sf):
+    """Schema of the raw table."""
+    return profile.schema_profile(spark, read_table(spark, sf, "lineitem"))
+
+
 def q_distribution_summary(spark, sf):
-    """Quantiles of distance, fare and speed (bounded quantile sketch;
-    checked against brute force in tests, no exact SQL oracle)."""
+    """Exact discrete quantiles of distance, fare and speed."""
     return profile.distribution_summary(_silver(spark, sf), ["trip_distance", "fare_amount", "avg_speed_mph"])
 
 
@@ -412,14 +488,20 @@ QUERIES: dict[str, Query] = {
     "cluster_daypart_share": _q(_on_silver_gold(insights.cluster_daypart_share)),
     "cluster_recommendations": _q(_on_silver_gold(insights.cluster_recommendations)),
     # clustering
+    "assemble_features": _q(q_assemble_features),
+    "scaled_features": _q(q_scaled_features),
+    "write_gold_vectors": _q(q_write_gold_vectors),
+    "silhouette": _q(q_silhouette),
+    "kmeans_assign": _q(q_kmeans_assign),
     "kmeans_sweep": _q(q_kmeans_sweep),
     "gold_kmeans": _q(q_gold_kmeans),
     "kmeans_cluster_summary": _q(q_kmeans_cluster_summary),
     # profiling
     "row_count": _q(q_row_count),
     "preview": _q(q_preview, keep=True),
+    "schema_profile": _q(q_schema_profile, keep=True),
     "data_profile": _q(q_data_profile, keep=("min", "max")),
-    "distribution_summary": _q(q_distribution_summary, keep=("value",)),  # sketch: no SQL oracle
+    "distribution_summary": _q(q_distribution_summary, keep=("value",)),
     "distance_histogram": _q(q_distance_histogram),
     "feature_correlation": _q(q_feature_correlation),
     # streaming

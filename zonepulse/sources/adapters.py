@@ -165,12 +165,11 @@ def trips_from_events(events: DataFrame, partitions: int | None = None) -> DataF
     )
 
 
-def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+def zone_rows_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """Zone dimension for both fixtures: supplier -> zone, nation -> borough.
 
     The nation side goes through the checked dimension join (broadcast
-    after its size is verified). Duplicate ``zone_id`` rows are collapsed
-    to the smallest (name, borough) so that no later join can fan out.
+    after its size is verified). Ids may repeat: see ``unique_zones``.
     """
     s = supplier.select(
         F.col("s_suppkey").cast("bigint").alias("zone_id"),
@@ -178,12 +177,18 @@ def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
         F.col("s_nationkey").alias("_nk"),
     )
     n = nation.select(F.col("n_nationkey").alias("_nk"), F.col("n_name").alias("borough"))
-    joined = dimension_join(s, n, "_nk", "_nk", "left").drop("_nk")
-    return unique_zones(joined)
+    return dimension_join(s, n, "_nk", "_nk", "left").drop("_nk")
+
+
+def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    return unique_zones(zone_rows_from_suppliers(supplier, nation))
 
 
 def unique_zones(zones: DataFrame) -> DataFrame:
     """Enforce one row per ``zone_id`` deterministically (trap: a duplicated
-    dimension key would duplicate gold rows and double-count trips)."""
-    first = F.min(F.struct("zone_name", "borough")).alias("_z")
-    return zones.groupBy("zone_id").agg(first).select("zone_id", "_z.zone_name", "_z.borough")
+    dimension key would duplicate gold rows and double-count trips): the
+    smallest (name, borough), where a row with a name beats one without."""
+    ranked = F.struct(
+        F.col("zone_name").isNull().alias("unnamed"), "zone_name", F.col("borough").isNull().alias("unplaced"), "borough"
+    )
+    return zones.groupBy("zone_id").agg(F.min(ranked).alias("_z")).select("zone_id", "_z.zone_name", "_z.borough")
