@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonepulse.functions.quantiles import threshold_frame, threshold_value
+from zonepulse.functions.quantiles import percentile_disc, threshold_frame, threshold_value
 from zonepulse.operators.demand import hourly_zone_demand
 from zonepulse.plans.joins import dimension_join
 
@@ -48,9 +48,10 @@ def cluster_summary_chart(gold: DataFrame) -> DataFrame:
 
 
 def zones_by_cluster(gold: DataFrame) -> DataFrame:
-    """T5 / P10: every zone, by cluster, busiest first within a cluster."""
-    return gold.select("prediction", "zone_name", "borough", "total_trips").orderBy(
-        "prediction", F.desc("total_trips"), "zone_name"
+    """T5 / P10: every zone, by cluster, busiest first within a cluster (ties
+    by zone id)."""
+    return gold.orderBy("prediction", F.desc("total_trips"), "pickup_location_id").select(
+        "prediction", "zone_name", "borough", "total_trips"
     )
 
 
@@ -90,7 +91,8 @@ def _zone_cells(silver: DataFrame, *keys: str) -> DataFrame:
 
 def _cells_with_cluster(silver: DataFrame, gold: DataFrame, *keys: str, how: str = "inner") -> DataFrame:
     cells = _zone_cells(silver, *keys)
-    return dimension_join(cells, cluster_keys(gold), "pickup_location_id", how=how)
+    # Cells have at most 168 rows per zone, so no key can be hot.
+    return dimension_join(cells, cluster_keys(gold), "pickup_location_id", how=how, few_rows_per_key=True)
 
 
 def cluster_hourly_demand(silver: DataFrame, gold: DataFrame, cluster: int = DEFAULT_CLUSTER) -> DataFrame:
@@ -99,7 +101,7 @@ def cluster_hourly_demand(silver: DataFrame, gold: DataFrame, cluster: int = DEF
     members = cluster_keys(gold).filter(F.col("prediction") == F.lit(cluster))
     cells = _zone_cells(silver, "hour_of_day")
     return (
-        dimension_join(cells, members, "pickup_location_id", how="inner")
+        dimension_join(cells, members, "pickup_location_id", how="inner", few_rows_per_key=True)
         .groupBy("hour_of_day")
         .agg(F.sum("trip_count").alias("trip_count"))
         .orderBy("hour_of_day")
@@ -123,10 +125,11 @@ def demand_alerts(silver: DataFrame, q: float = ALERT_QUANTILE) -> DataFrame:
 
 
 def recommendations(gold: DataFrame) -> DataFrame:
-    """The recommendation table, busiest zones first."""
-    return gold.select(
+    """The recommendation table, busiest zones first (ties by zone
+    id). Fixed values: the output columns."""
+    return gold.orderBy(F.desc("total_trips"), "pickup_location_id").select(
         "zone_name", "borough", "prediction", "total_trips", "avg_fare_amount", "avg_duration_min"
-    ).orderBy(F.desc("total_trips"), "zone_name", "prediction")
+    )
 
 
 def top_zones_per_cluster(gold: DataFrame, n: int = 5) -> DataFrame:
@@ -163,8 +166,8 @@ def cluster_roles(gold: DataFrame) -> DataFrame:
     mean. Works on K rows after one aggregation of gold.
     """
     stats = gold.agg(
-        F.expr("percentile_disc(0.75) WITHIN GROUP (ORDER BY total_trips)").alias("_p75"),
-        F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY total_trips)").alias("_p50"),
+        percentile_disc("total_trips", 0.75).alias("_p75"),
+        percentile_disc("total_trips", 0.5).alias("_p50"),
         F.avg("avg_trip_distance").alias("_dist"),
     )
     per_cluster = gold.groupBy("prediction").agg(
@@ -253,9 +256,10 @@ def cluster_recommendations(silver: DataFrame, gold: DataFrame) -> DataFrame:
     (R10) and day-part shares (R11)."""
     spark = gold.sparkSession
     roles = cluster_roles(gold)
-    # One (zone, weekday, hour) aggregation of the trips feeds both the
-    # peak hour and the day-part shares (its shuffle is reused).
+    # One aggregation of the trips to (zone, weekday, hour), summed once to
+    # at most K x 168 rows that feed the peak hour and the day-part shares.
     cells = _cells_with_cluster(silver, gold, "day_of_week", "hour_of_day")
+    cells = cells.groupBy("prediction", "day_of_week", "hour_of_day").agg(F.sum("trip_count").alias("trip_count"))
     peak = _peak_hours(cells, 1).groupBy("prediction").agg(F.min("hour_of_day").alias("peak_hour"))
     parts = _dayparts(cells).select("prediction", "weekend_share", "evening_rush_share")
     # Every input here has one row per cluster (K rows), so the joins are

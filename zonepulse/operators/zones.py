@@ -44,11 +44,24 @@ def zone_count(zone_frame: DataFrame) -> DataFrame:
     return zone_frame.agg(F.count(F.lit(1)).alias("zones"))
 
 
+def unique_zones(zones: DataFrame) -> DataFrame:
+    """Enforce one row per ``zone_id`` deterministically (trap: a duplicated
+    dimension key would duplicate gold rows and double-count trips): the
+    smallest (name, borough), where a row with a name beats one without."""
+    ranked = F.struct(
+        F.col("zone_name").isNull().alias("unnamed"), "zone_name", F.col("borough").isNull().alias("unplaced"), "borough"
+    )
+    return zones.groupBy("zone_id").agg(F.min(ranked).alias("_z")).select("zone_id", "_z.zone_name", "_z.borough")
+
+
 def attach_zone_names(df: DataFrame, zones: DataFrame, key: str = "pickup_location_id") -> DataFrame:
     """LEFT JOIN the zone dimension on ``key = zone_id``; zones without
     a dimension row keep NULL ``zone_name``/``borough``. ``zones`` must be
     unique on ``zone_id`` (see ``unique_zones``)."""
-    return dimension_join(df, zones.select("zone_id", "zone_name", "borough"), key, "zone_id", "left")
+    # df has one row per zone, so no key can be hot.
+    return dimension_join(
+        df, zones.select("zone_id", "zone_name", "borough"), key, "zone_id", "left", few_rows_per_key=True
+    )
 
 
 def gold_projection(df: DataFrame) -> DataFrame:
@@ -58,13 +71,13 @@ def gold_projection(df: DataFrame) -> DataFrame:
 
 def top_zones_named(silver: DataFrame, zones: DataFrame, n: int | None = TOP_ZONES) -> DataFrame:
     """The busiest ``n`` zones (all zones when ``n`` is None) with
-    their names, busiest first (ties by zone id)."""
+    their names, busiest first (ties by zone id). ``zones`` may repeat ids."""
     top = top_pickup_zones(silver, n)
     dim = zones.select("zone_id", "zone_name", "borough")
     if n is not None:
-        named = bounded_lookup(top, dim, "pickup_location_id", "zone_id")
+        named = bounded_lookup(top, dim, "pickup_location_id", "zone_id", unique=unique_zones)
     else:
-        named = dimension_join(top, dim, "pickup_location_id", "zone_id")
+        named = attach_zone_names(top, unique_zones(dim))
     return named.select("pickup_location_id", "zone_name", "borough", "trip_count").orderBy(
         F.desc("trip_count"), F.asc("pickup_location_id")
     )

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions.calendar import epoch_seconds, time_parts
+from zonepulse.operators.zones import unique_zones
 from zonepulse.plans.joins import dimension_join
 from zonepulse.session import materialize
 
@@ -109,22 +110,23 @@ def next_event_time(
     ranged = materialize(
         events.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "events-by-range"
     )
+    # One exchange brings each stored partition together again, in as many
+    # tasks as there are partitions; the window below needs no other.
     in_part = Window.partitionBy("_pid").orderBy(*order)
-    staged = ranged.select(
+    staged = ranged.repartition(n, "_pid").select(
         "*",
         F.lead(key).over(in_part).alias("_lead_key"),
         F.lead(ts).over(in_part).alias("_lead_ts"),
-        F.lag(F.lit(1)).over(in_part).isNull().alias("_is_first"),
         F.lead(F.lit(1)).over(in_part).isNull().alias("_is_last"),
     )
-    # first row of every non-empty partition, then the next partition's
-    # first row for each partition: at most ``n`` rows
-    firsts = staged.filter("_is_first").select("_pid", F.col(key).alias("_fk"), F.col(ts).alias("_ft"))
+    # The first row of every non-empty partition (a map-side minimum), then
+    # the next partition's first row for each partition: at most ``n`` rows.
+    firsts = ranged.groupBy("_pid").agg(F.min(F.struct(key, ts, tiebreak)).alias("_f"))
     across = Window.orderBy("_pid")  # one row per partition: bounded by n
     handoff = firsts.select(
         "_pid",
-        F.lead("_fk").over(across).alias("_next_key"),
-        F.lead("_ft").over(across).alias("_next_ts"),
+        F.lead(F.col("_f")[key]).over(across).alias("_next_key"),
+        F.lead(F.col("_f")[ts]).over(across).alias("_next_ts"),
     )
     joined = staged.join(F.broadcast(handoff), "_pid", "left")
     same_as_lead = F.col("_lead_key").eqNullSafe(F.col(key))
@@ -134,9 +136,7 @@ def next_event_time(
         F.when(~last_in_part & same_as_lead, F.col("_lead_ts"))
         .when(last_in_part & same_as_next, F.col("_next_ts"))
     )
-    return joined.withColumn(out, nxt).drop(
-        "_pid", "_lead_key", "_lead_ts", "_is_first", "_is_last", "_next_key", "_next_ts"
-    )
+    return joined.withColumn(out, nxt).drop("_pid", "_lead_key", "_lead_ts", "_is_last", "_next_key", "_next_ts")
 
 
 def trips_from_events(events: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -182,13 +182,3 @@ def zone_rows_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFram
 
 def zones_from_suppliers(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     return unique_zones(zone_rows_from_suppliers(supplier, nation))
-
-
-def unique_zones(zones: DataFrame) -> DataFrame:
-    """Enforce one row per ``zone_id`` deterministically (trap: a duplicated
-    dimension key would duplicate gold rows and double-count trips): the
-    smallest (name, borough), where a row with a name beats one without."""
-    ranked = F.struct(
-        F.col("zone_name").isNull().alias("unnamed"), "zone_name", F.col("borough").isNull().alias("unplaced"), "borough"
-    )
-    return zones.groupBy("zone_id").agg(F.min(ranked).alias("_z")).select("zone_id", "_z.zone_name", "_z.borough")

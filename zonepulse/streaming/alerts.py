@@ -26,6 +26,11 @@ from zonepulse.functions.calendar import instant_from_ntz, ntz_from_instant
 from zonepulse.functions.quantiles import threshold_frame
 from zonepulse.session import scratch_dir
 
+# State partitions of the stream, fixed when it first starts (Spark keeps the
+# number in the checkpoint), and files per micro-batch in the sink.
+STATE_PARTITIONS = 64
+SINK_FILES = 4
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
 ALERT_QUANTILE = 0.90
@@ -86,6 +91,8 @@ def start_alert_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     schema: str = EVENT_SCHEMA,
+    state_partitions: int = STATE_PARTITIONS,
+    sink_files: int = SINK_FILES,
 ) -> StreamingQuery:
     """Start the alert stream over Parquet files arriving in ``source_dir``.
 
@@ -94,7 +101,17 @@ def start_alert_stream(
     ``max_files_per_trigger`` bounds the size of each micro-batch (a backlog
     is then worked off in several batches instead of one huge one).
     ``schema`` needs ``ts`` (TIMESTAMP_NTZ or TIMESTAMP) and ``user_id``.
+
+    The stream has its own number of state partitions, not the session's
+    shuffle partitions (thousands on a cluster, each a state store visited
+    by every micro-batch); state lives in RocksDB, off the JVM heap, and
+    each batch appends at most ``sink_files`` files. The settings hold in a
+    session of the query's own.
     """
+    spark = spark.newSession()
+    spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     reader = spark.readStream.schema(schema).option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -103,7 +120,8 @@ def start_alert_stream(
 
     def emit(batch: DataFrame, batch_id: int) -> None:
         alerts = _present(batch.filter(F.col("trip_count") >= F.lit(threshold)))
-        alerts.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(sink_dir)
+        alerts = alerts.withColumn("batch_id", F.lit(batch_id)).coalesce(sink_files)
+        alerts.write.mode("append").parquet(sink_dir)
 
     writer = (
         counts.writeStream.outputMode("update")
