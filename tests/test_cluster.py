@@ -61,7 +61,17 @@ def test_reproducible_across_partitionings(spark, zone_frame):
     assert sweep_a.results == sweep_b.results
 
 
-def test_null_features_are_skipped_and_small_inputs_guarded(spark):
+def test_the_fit_layout_does_not_follow_the_row_count(spark, zone_frame):
+    n = cluster.stable_layout(zone_frame).rdd.getNumPartitions()
+    assert n == cluster.stable_layout(zone_frame.limit(3)).rdd.getNumPartitions() == cluster.FIT_PARTITIONS
+    for parts in (1, 5, 10):
+        a, b = (cluster.cluster_zones(zone_frame.repartition(k), partitions=parts) for k in (2, 9))
+        assert a[1].results == b[1].results and a[1].best_k == b[1].best_k
+        label = lambda x: sorted((r["pickup_location_id"], r["prediction"]) for r in x[0].collect())
+        assert label(a) == label(b)
+
+
+def test_zones_with_null_features_stay_and_small_inputs_are_guarded(spark):
     rows = [(1, 10, 1.0, 5.0, 1.0, 10.0, 5.0), (2, 20, 2.0, None, 1.0, 11.0, 6.0), (3, 30, 3.0, 7.0, 1.0, 12.0, 7.0),
             (4, 31, 3.1, 7.1, 1.0, 12.1, 7.1)]
     df = spark.createDataFrame(
@@ -70,14 +80,19 @@ def test_null_features_are_skipped_and_small_inputs_guarded(spark):
         "avg_tip_amount double, avg_speed double, avg_duration_min double",
     )
     clustered, sweep = cluster.cluster_zones(df, ks=(3, 4, 5, 6))
-    got = {r["pickup_location_id"] for r in clustered.collect()}
-    assert got == {1, 3, 4}  # zone 2 has a NULL fare: skipped, not a job failure
+    got = {r["pickup_location_id"]: r["prediction"] for r in clustered.collect()}
+    assert set(got) == {1, 2, 3, 4} and sweep.incomplete == 1
+    assert [z for z, p in got.items() if p is None] == [2]  # a NULL fare: in no cluster, but kept
     # three points: K=3 is the only K that can be fitted
     assert [k for k, s in sweep.results if s is None] == [4, 5, 6]
     assert sweep.best_k == 3
     # fewer points than every K: falls back to one cluster per point
     tiny, sweep2 = cluster.cluster_zones(df.filter("pickup_location_id <= 2"), ks=(3, 4))
-    assert tiny.count() == 1 and sweep2.best_k == 1
+    assert {r["pickup_location_id"]: r["prediction"] for r in tiny.collect()} == {1: 0, 2: None}
+    assert sweep2.best_k == 1
+    # no complete zone at all
+    none, sweep3 = cluster.cluster_zones(df.filter("pickup_location_id = 2"), ks=(3,))
+    assert [r["prediction"] for r in none.collect()] == [None] and sweep3.incomplete == 1
 
 
 def test_scaled_features_option(spark, zone_frame):

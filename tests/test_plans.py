@@ -39,10 +39,11 @@ def test_large_dimension_path_salts_hot_keys(spark):
     previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        joined = dimension_join(facts, dim, "k", "zone_id", "left", max_rows=0, rows_per_salt=500, hot_share=0.05)
+        joined = dimension_join(facts, dim, "k", "zone_id", "left", max_rows=0, rows_per_salt=500)
         text = plan_text(joined)
-        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
-        assert "_salt" in text
+        assert "SortMergeJoin LeftOuter" in text and "_salt" in text
+        # only the counted table of hot keys is broadcast, to either side
+        assert tree(joined).count("BroadcastHashJoin") == 2 and "_hot_key" in text
         assert joined.count() == 5000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
@@ -58,11 +59,38 @@ def test_alert_threshold_is_a_subquery_not_a_join(spark):
     assert "Subquery" in text and "Join" not in tree(insights.demand_alerts(inputs.silver_trips(spark, SF_SMALL)))
 
 
-def test_temporal_demand_is_one_scan_one_shuffle(spark):
+def test_temporal_demand_expands_cells_not_trips(spark):
     text = tree(demand.temporal_demand(inputs.silver_trips(spark, SF_SMALL)))
     assert text.count("Scan parquet") == 1
-    assert text.count("Exchange") == 1
-    assert "Expand" in text
+    below = text[text.index("Expand") :]
+    assert "Exchange" in below and "HashAggregate" in below  # the trips are counted first
+
+
+def test_labels_meet_counts_not_trips(spark):
+    for name in ("dow_demand_named", "heatmap_named"):
+        text = tree(QUERIES[name](spark, SF_SMALL))
+        assert text.count("Scan parquet") == 1 and "Expand" not in text
+        assert text.count("HashAggregate") == 4  # by number, then by label
+
+
+def test_next_event_lookup_shuffles_the_events_once_after_the_copy(spark):
+    from zonepulse.sources.adapters import next_event_time
+    from zonepulse.sources.tables import read_table
+
+    text = plan_text(next_event_time(read_table(spark, SF_SMALL, "events"), partitions=4), "simple")
+    assert text.count("REPARTITION_BY_NUM") == 1
+    # the other exchange carries one partial minimum per task and partition
+    assert text.count("Exchange hashpartitioning(_pid") == 2 and text.count("partial_min(") == 1
+
+
+def test_top_zones_do_not_shuffle_the_dimension(spark):
+    text = plan_text(QUERIES["top_zones_named"](spark, SF_SMALL), "simple")
+    semi = text[text.index("LeftSemi") :]
+    dimension = semi[semi.index("supplier") - 2_000 if "supplier" in semi else 0 :]
+    assert "BroadcastHashJoin" in text
+    lines = text.splitlines()
+    at = next(i for i, line in enumerate(lines) if "LeftSemi" in line)
+    assert not any("Exchange hashpartitioning(zone_id" in line for line in lines[at:]), dimension
 
 
 SKIP = {"stream_demand_alerts"}  # starts a stream; its batch twin is checked

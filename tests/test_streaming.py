@@ -75,3 +75,23 @@ def test_backlog_in_several_micro_batches_gives_the_same_alerts(spark, tmp_dir):
     counts = alerts._present(alerts.window_counts(alerts.pickups(history)))
     assert streamed == rows_of(counts)
     assert len(streamed) == 8  # 4 hours x 2 zones
+
+
+def test_stream_has_its_own_state_partitions_and_few_files(spark, tmp_dir):
+    src, sink, ckpt = (os.path.join(tmp_dir, n) for n in ("src", "sink", "ckpt"))
+    os.makedirs(src)
+    t = dt.datetime(2024, 1, 1)
+    for n in range(3):
+        rows = [(n * 100 + i, t.replace(hour=n, minute=i % 60), i + 1) for i in range(100)]
+        write_events(os.path.join(src, f"{n}.parquet"), rows)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        q = alerts.start_alert_stream(spark, src, 1, sink, ckpt, max_files_per_trigger=1, state_partitions=6, sink_files=2)
+        q.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert q.exception() is None
+    assert len([d for d in os.listdir(os.path.join(ckpt, "state", "0")) if d.isdigit()]) == 6
+    assert len([f for f in os.listdir(sink) if f.endswith(".parquet")]) <= 4 * 2  # three batches and one that only moves the watermark
+    assert alerts.read_alerts(spark, sink).count() == 300

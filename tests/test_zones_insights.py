@@ -12,7 +12,7 @@ from conftest import SF_MID, SF_SMALL
 from zonepulse.functions.quantiles import threshold_frame
 from zonepulse.operators import insights, zones
 from zonepulse.plans import inputs
-from zonepulse.plans.joins import dimension_join, hot_keys, salts_for
+from zonepulse.plans.joins import broadcast_ok, dimension_join, measured_size, salted_keys
 from zonepulse.sources.adapters import next_event_time, unique_zones
 from zonepulse.sources.tables import read_table
 
@@ -111,9 +111,8 @@ def test_salted_join_equals_broadcast_join(spark):
         F.col("id").alias("trip_id"),
     )
     dim = spark.range(0, 40).select(F.col("id").alias("zone_id"), (F.col("id") * 10).alias("label"))
-    assert 7 in hot_keys(facts, "pickup_location_id", 0.05)
-    assert salts_for(3334, 500) == 7 and salts_for(10, 500) == 2
-    salted = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left", max_rows=0, rows_per_salt=500, hot_share=0.05)
+    assert {r[0]: r[1] for r in salted_keys(facts, "pickup_location_id", 500).collect()} == {7: 7}
+    salted = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left", max_rows=0, rows_per_salt=500)
     broadcast = dimension_join(facts, dim, "pickup_location_id", "zone_id", "left")
     a = sorted(tuple(r) for r in salted.select("trip_id", "pickup_location_id", "label").collect())
     b = sorted(tuple(r) for r in broadcast.select("trip_id", "pickup_location_id", "label").collect())
@@ -144,26 +143,44 @@ def test_profile_and_distribution(spark):
     assert abs(corr - pd.Series(pdf["trip_distance"]).corr(pdf["fare_amount"])) < 1e-9
 
 
-def test_distribution_summary_within_sketch_error(spark):
+def test_distribution_summary_is_exact(spark):
     from zonepulse.operators import profile
 
     silver = inputs.silver_trips(spark, SF_MID)
-    accuracy = 10_000  # coarse on purpose so the error bound is exercised
-    got = profile.distribution_summary(silver, ["fare_amount", "trip_distance"], accuracy=accuracy).collect()
-    pdf = silver.select("fare_amount", "trip_distance").toPandas()
-    n = len(pdf)
-    slack = 2 * n / accuracy + 1
-    for r in got:
-        values = sorted(pdf[r["column"]].tolist())
-        target = math.ceil(r["quantile"] * n)  # 1-based rank of the exact answer
-        lo = sum(v < r["value"] for v in values) + 1
-        hi = sum(v <= r["value"] for v in values)
-        assert r["value"] in values
-        assert lo - slack <= target <= hi + slack, (r, lo, hi, target)
-    exact_small = profile.distribution_summary(inputs.silver_trips(spark, SF_SMALL), ["fare_amount"]).collect()
-    small = sorted(inputs.silver_trips(spark, SF_SMALL).select("fare_amount").toPandas()["fare_amount"])
-    for r in exact_small:  # few rows: the sketch keeps every value
-        assert r["value"] == brute_percentile_disc(small, r["quantile"])
+    columns = ["fare_amount", "trip_distance", "hour_of_day"]
+    pdf = silver.select(*columns).toPandas()
+    for parts in (1, 7):
+        got = profile.distribution_summary(silver, columns, (0.0, 0.25, 0.5, 0.9, 1.0), partitions=parts).collect()
+        assert len(got) == 15
+        for r in got:
+            assert r["value"] == brute_percentile_disc(sorted(pdf[r["column"]].tolist()), r["quantile"])
+    rows = spark.createDataFrame([(1.0, None), (None, None), (3.0, None), (3.0, None)], "a double, b double")
+    got = {(r["column"], r["quantile"]): r["value"] for r in profile.distribution_summary(rows, ["a", "b"], (0.3, 0.5)).collect()}
+    assert got == {("a", 0.3): 1.0, ("a", 0.5): 3.0, ("b", 0.3): None, ("b", 0.5): None}
+
+
+def test_named_zone_rows_win_over_nulls(spark):
+    rows = [(1, None, None), (1, "A", "X"), (2, None, "Y"), (2, None, None), (3, "B", None), (3, "B", "Z"), (4, None, None)]
+    got = unique_zones(spark.createDataFrame(rows, "zone_id bigint, zone_name string, borough string")).collect()
+    assert {tuple(r) for r in got} == {(1, "A", "X"), (2, None, "Y"), (3, "B", "Z"), (4, None, None)}
+
+
+def test_cells_give_what_the_trips_give(spark):
+    from zonepulse.operators import demand
+    from zonepulse.operators.zones import demand_cells, zone_features
+
+    silver = inputs.silver_trips(spark, SF_SMALL)
+    cells = demand_cells(silver)
+    gold = inputs.demand_band_gold(spark, SF_SMALL)
+    exact = [
+        demand.hourly_demand, demand.dow_demand_named, demand.heatmap_named, demand.temporal_demand, demand.top_pickup_zones,
+        demand.rush_hour_hotspots, demand.hourly_zone_demand, insights.demand_alerts, lambda x: insights.cluster_hourly_demand(x, gold),
+    ]
+    for f in exact:
+        assert sorted(map(str, f(cells).collect())) == sorted(map(str, f(silver).collect()))
+    a, b = ({r[0]: r for r in zone_features(x).collect()} for x in (cells, silver))
+    assert a.keys() == b.keys()
+    assert all(abs(x - y) < 1e-9 for z in a for x, y in zip(a[z], b[z]))
 
 
 def test_skew_safe_lead_with_a_hot_user(spark):
@@ -205,3 +222,38 @@ def test_event_trips_do_not_depend_on_exchange_reuse(spark):
         assert got.count() == events.count()
     finally:
         spark.conf.set("spark.sql.exchange.reuse", previous)
+
+
+def _largest_share(df):
+    sizes = [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_null_keys_and_keys_below_one_percent_are_spread(spark):
+    """Half the facts have no key; the rest is 112 keys of many rows each."""
+    facts = spark.range(0, 40_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 113).cast("bigint").alias("k"), F.col("id")
+    )
+    facts = facts.withColumn("tags", F.create_map(F.lit("a"), F.col("id")))  # maps cannot be hashed
+    dim = spark.range(0, 200).select(F.col("id").alias("zone_id"), (F.col("id") * 10).alias("label"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert salted_keys(facts, "k", 50).count() == 113
+        joined = dimension_join(facts, dim, "k", "zone_id", "left", max_rows=0, rows_per_salt=50)
+        assert _largest_share(joined) < 0.35  # four partitions
+        assert joined.where("k IS NULL AND label IS NULL").count() == 20_000
+        assert joined.where("label = k * 10").count() == 20_000
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+
+
+def test_wide_dimensions_are_measured_not_guessed(spark):
+    wide = spark.range(0, 1_000).select(F.col("id").alias("zone_id"), F.repeat(F.lit("x"), 300_000).alias("name"))
+    rows, size = measured_size(wide)
+    assert rows == 1_000 and size > 300_000_000 and not broadcast_ok(wide)
+    assert measured_size(wide.select("zone_id", F.array("name").alias("names"))) is None
+    assert broadcast_ok(wide.select("zone_id"))
+    assert measured_size(wide.limit(0)) == (0, 0)

@@ -19,23 +19,26 @@ RUSH_HOUR_START, RUSH_HOUR_END = 16, 19
 TOP_ZONES = 20
 
 
-def _count_by(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("trip_count"))
+def count_by(trips: DataFrame, *keys: str) -> DataFrame:
+    """Trips per ``keys``. ``trips`` may be trips or counts of trips by finer
+    keys (a ``trip_count`` column, for example ``zones.demand_cells``)."""
+    counted = "trip_count" in trips.columns
+    return trips.groupBy(*keys).agg((F.sum("trip_count") if counted else F.count(F.lit(1))).alias("trip_count"))
 
 
 def hourly_demand(silver: DataFrame) -> DataFrame:
     """G1: trips per hour of day, sorted by hour."""
-    return _count_by(silver, "hour_of_day").orderBy("hour_of_day")
+    return count_by(silver, "hour_of_day").orderBy("hour_of_day")
 
 
 def dow_demand(silver: DataFrame) -> DataFrame:
     """Trips per weekday (0 = Mon), sorted."""
-    return _count_by(silver, "day_of_week").orderBy("day_of_week")
+    return count_by(silver, "day_of_week").orderBy("day_of_week")
 
 
 def hour_dow_heatmap(silver: DataFrame) -> DataFrame:
     """Trips per (weekday, hour); sparse — empty cells are absent."""
-    return _count_by(silver, "day_of_week", "hour_of_day")
+    return count_by(silver, "day_of_week", "hour_of_day")
 
 
 def temporal_demand(silver: DataFrame) -> DataFrame:
@@ -72,7 +75,7 @@ def top_pickup_zones(silver: DataFrame, n: int | None = TOP_ZONES) -> DataFrame:
     None). Ties on ``trip_count`` are broken by the lower zone id so the
     cut is deterministic; ``orderBy + limit`` plans as a top-k
     (TakeOrderedAndProject), never a full sort."""
-    ranked = _count_by(silver, "pickup_location_id").orderBy(
+    ranked = count_by(silver, "pickup_location_id").orderBy(
         F.desc("trip_count"), F.asc("pickup_location_id")
     )
     return ranked if n is None else ranked.limit(n)
@@ -92,13 +95,13 @@ def rush_hour_hotspots(silver: DataFrame, n: int | None = TOP_ZONES) -> DataFram
 
 def hourly_zone_demand(silver: DataFrame) -> DataFrame:
     """Trips per (pickup zone, hour of day) — the alert grain."""
-    return _count_by(silver, "pickup_location_id", "hour_of_day")
+    return count_by(silver, "pickup_location_id", "hour_of_day")
 
 
 def dow_demand_named(silver: DataFrame) -> DataFrame:
     """Trips per weekday label, ordered Mon..Sun; an unmapped weekday
     becomes a NULL label and sorts first."""
-    return label_weekdays(_count_by(silver, "day_of_week"), "trip_count").orderBy(weekday_position())
+    return label_weekdays(count_by(silver, "day_of_week"), "trip_count").orderBy(weekday_position())
 
 
 def heatmap_named(silver: DataFrame) -> DataFrame:
@@ -108,7 +111,7 @@ def heatmap_named(silver: DataFrame) -> DataFrame:
 
 def hourly_per_day(silver: DataFrame) -> DataFrame:
     """Trips per calendar day and hour."""
-    return _count_by(silver, "year", "month", "day", "hour_of_day")
+    return count_by(silver, "year", "month", "day", "hour_of_day")
 
 
 def hourly_avg_demand(silver: DataFrame) -> DataFrame:
@@ -125,4 +128,4 @@ def hourly_avg_demand(silver: DataFrame) -> DataFrame:
 
 def monthly_demand(silver: DataFrame) -> DataFrame:
     """Trips per (year, month), sorted."""
-    return _count_by(silver, "year", "month").orderBy("year", "month")
+    return count_by(silver, "year", "month").orderBy("year", "month")

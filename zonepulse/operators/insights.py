@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonepulse.functions.quantiles import percentile_disc, threshold_frame, threshold_value
-from zonepulse.operators.demand import hourly_zone_demand
+from zonepulse.operators.demand import count_by, hourly_zone_demand
 from zonepulse.plans.joins import dimension_join
 
 # Quantiles and the default cluster of the reference's
@@ -86,7 +86,7 @@ def trips_with_cluster(silver: DataFrame, gold: DataFrame) -> DataFrame:
 
 
 def _zone_cells(silver: DataFrame, *keys: str) -> DataFrame:
-    return silver.groupBy("pickup_location_id", *keys).agg(F.count(F.lit(1)).alias("trip_count"))
+    return count_by(silver, "pickup_location_id", *keys)
 
 
 def _cells_with_cluster(silver: DataFrame, gold: DataFrame, *keys: str, how: str = "inner") -> DataFrame:

@@ -8,15 +8,16 @@ from pyspark.sql import functions as F
 from zonepulse.operators.demand import TOP_ZONES, top_pickup_zones
 from zonepulse.plans.joins import bounded_lookup, dimension_join
 
-# The zone feature columns, in model order.
-FEATURE_COLUMNS = [
-    "total_trips",
-    "avg_trip_distance",
-    "avg_fare_amount",
-    "avg_tip_amount",
-    "avg_speed",
-    "avg_duration_min",
-]
+# The zone feature columns, in model order; each mean with the
+# trip column it averages.
+ZONE_MEANS = {
+    "avg_trip_distance": "trip_distance",
+    "avg_fare_amount": "fare_amount",
+    "avg_tip_amount": "tip_amount",
+    "avg_speed": "avg_speed_mph",
+    "avg_duration_min": "trip_duration_min",
+}
+FEATURE_COLUMNS = ["total_trips", *ZONE_MEANS]
 GOLD_COLUMNS = [
     "pickup_location_id",
     "zone_name",
@@ -26,16 +27,31 @@ GOLD_COLUMNS = [
 ]
 
 
+def demand_cells(silver: DataFrame) -> DataFrame:
+    """Trips by (zone, weekday, hour) with the sum and the number of values of
+    every averaged measure: at most 168 rows per zone, from one scan. All
+    demand counts, the zone features, the alerts and the cluster views can be
+    made from it instead of from the trips."""
+    sums = [
+        f(source).alias(f"{kind}_{name}") for name, source in ZONE_MEANS.items() for kind, f in (("sum", F.sum), ("n", F.count))
+    ]
+    return silver.groupBy("pickup_location_id", "day_of_week", "hour_of_day").agg(
+        F.count(F.lit(1)).alias("trip_count"), *sums
+    )
+
+
 def zone_features(silver: DataFrame) -> DataFrame:
     """One row per pickup zone: trip count and mean trip measures
-    (``avg`` skips NULLs). Partial aggregation keeps a hot zone cheap."""
+    (NULLs do not count). Partial aggregation keeps a hot zone cheap.
+    ``silver`` may be the trips or their ``demand_cells``."""
+    if "trip_count" in silver.columns:
+        total = F.sum("trip_count")
+        means = {n: F.try_divide(F.sum(f"sum_{n}"), F.sum(f"n_{n}")) for n in ZONE_MEANS}
+    else:
+        total = F.count(F.lit(1))
+        means = {n: F.avg(source) for n, source in ZONE_MEANS.items()}
     return silver.groupBy("pickup_location_id").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.avg("trip_distance").alias("avg_trip_distance"),
-        F.avg("fare_amount").alias("avg_fare_amount"),
-        F.avg("tip_amount").alias("avg_tip_amount"),
-        F.avg("avg_speed_mph").alias("avg_speed"),
-        F.avg("trip_duration_min").alias("avg_duration_min"),
+        total.alias("total_trips"), *[mean.alias(n) for n, mean in means.items()]
     )
 
 

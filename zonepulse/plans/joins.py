@@ -104,7 +104,8 @@ def dimension_join(
         hot = materialize(salted_keys(fact, fact_key, rows_per_salt), "hot-keys")
         small = F.broadcast(hot) if broadcast_ok(hot) else hot
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        salts = F.when(F.col(f"`{fact_key}`").isNull(), F.lit(parts)).otherwise(F.coalesce("_salts", F.lit(1)))
+        # Several salts a partition, as hashing a few would fill some twice.
+        salts = F.when(F.col(f"`{fact_key}`").isNull(), F.lit(16 * parts)).otherwise(F.coalesce("_salts", F.lit(1)))
         salted_fact = (
             fact.withColumn("_spread", _spread(fact))
             .join(small, F.col(f"`{fact_key}`") == F.col("_hot_key"), "left")

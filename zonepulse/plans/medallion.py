@@ -15,8 +15,8 @@ Layout choices for scale:
   example ``["year", "month"]``) suits raw input that is already clustered
   by time; with time-mixed input it would make every task write into every
   month folder (millions of small files at 100 TB).
-* the three temporal aggregates are computed in one pass (grouping sets)
-  and materialised once before being split into two tables.
+* silver is scanned once: its (zone, weekday, hour) cells are stored, and the
+  demand tables, zone features, alerts and cluster views come from them.
 * gold is built from a zone frame stored once in the checkpoint folder (see ``operators.cluster``)
   and read back before the insights use it; later steps read the stored
   tables, never re-aggregate the trips.
@@ -29,17 +29,21 @@ import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from zonepulse.operators import clean, demand, insights
 from zonepulse.operators.cluster import K_RANGE, SEED, Sweep, cluster_zones, sweep_frame
-from zonepulse.operators.zones import attach_zone_names, gold_projection, zone_features
+from zonepulse.operators.zones import attach_zone_names, demand_cells, gold_projection, zone_features
 from zonepulse.plans import inputs
 from zonepulse.session import build_session, ensure_checkpoint_dir, materialize
 from zonepulse.sources.sinks import readback_check, write_and_check, write_table
 from zonepulse.sources.tables import scan
 
 TIME_SORT = ("year", "month", "day")
+TABLES = (
+    "silver", "hourly_demand", "dow_demand", "heatmap", "kmeans_sweep", "gold_vectors", "gold", "recommendations",
+    "demand_alerts", "cluster_summary", "cluster_roles", "cluster_peak_hours", "cluster_dayparts",
+    "cluster_recommendations",
+)
 
 
 def write_silver(
@@ -62,7 +66,7 @@ def build_gold(
     scale: bool = False,
 ) -> tuple[DataFrame, DataFrame, Sweep]:
     """G6 -> M1..M7 -> J1 -> P6. Returns (gold, clustered zones with their
-    feature vectors, sweep)."""
+    feature vectors, sweep). ``silver`` may be the trips or their cells."""
     clustered, sweep = cluster_zones(zone_features(silver), ks=ks, seed=seed, scale=scale, keep_features=True)
     gold = gold_projection(attach_zone_names(clustered.drop("features"), zone_dim))
     return gold, clustered, sweep
@@ -83,26 +87,27 @@ def run_medallion(
     uses it, so lineage stays short and a lost executor only recomputes
     the current layer."""
     ensure_checkpoint_dir(spark)
-    loc = {name: os.path.join(out_base, name) for name in (
-        "silver", "hourly_demand", "dow_demand", "kmeans_sweep", "gold_vectors", "gold", "recommendations",
-        "demand_alerts",
-    )}
+    loc = {name: os.path.join(out_base, name) for name in TABLES}
 
     silver = write_silver(clean.clean_trips(raw), loc["silver"], partition_by=partition_by)
+    cells = materialize(demand_cells(silver), "demand-cells")
 
-    temporal = materialize(demand.temporal_demand(silver), "temporal-demand")
-    hourly = temporal.filter(F.col("grain") == "hour").select("hour_of_day", "trip_count")
-    dow = temporal.filter(F.col("grain") == "dow").select("day_of_week", "trip_count")
-    write_table(hourly.orderBy("hour_of_day"), loc["hourly_demand"])
-    write_table(dow.orderBy("day_of_week"), loc["dow_demand"])
+    write_table(demand.hourly_demand(cells), loc["hourly_demand"])
+    write_table(demand.dow_demand(cells), loc["dow_demand"])
+    write_table(demand.hour_dow_heatmap(cells), loc["heatmap"])
 
-    gold, vectors, sweep = build_gold(silver, zone_dim, ks=ks, seed=seed, scale=scale)
+    gold, vectors, sweep = build_gold(cells, zone_dim, ks=ks, seed=seed, scale=scale)
     write_table(sweep_frame(spark, sweep), loc["kmeans_sweep"])
     write_table(vectors, loc["gold_vectors"])  # K5: zones, features vector, cluster
     gold = write_and_check(spark, gold, loc["gold"])
 
     write_table(insights.recommendations(gold), loc["recommendations"])
-    write_table(insights.demand_alerts(silver), loc["demand_alerts"])
+    write_table(insights.demand_alerts(cells), loc["demand_alerts"])
+    write_table(insights.cluster_summary(gold), loc["cluster_summary"])
+    write_table(insights.cluster_roles(gold), loc["cluster_roles"])
+    write_table(insights.cluster_peak_hours(cells, gold), loc["cluster_peak_hours"])
+    write_table(insights.cluster_daypart_share(cells, gold), loc["cluster_dayparts"])
+    write_table(insights.cluster_recommendations(cells, gold), loc["cluster_recommendations"])
     return loc
 
 
