@@ -14,12 +14,12 @@ sf = "/root/testdata/sf0.01"
 NOTES = {
     "clean_trips": "One narrow stage: bounds pushed into the Parquet scan, only used columns read, no exchange.",
     "demand_alerts": "Cells aggregated once (partial + final); the p90 threshold is a scalar subquery that reuses the cell shuffle (ReusedExchange); no join.",
-    "temporal_demand": "Hourly, weekday and weekday x hour counts from one scan and one shuffle (Expand + grouping sets).",
+    "temporal_demand": "Trips counted to at most 168 (weekday, hour) cells; only the cells are expanded for the grouping sets.",
     "cluster_hourly_demand": "Trips aggregated to (zone, hour) cells before the broadcast join with the cluster ids (checked size).",
     "trips_with_cluster": "Trip-sized LEFT join: the cluster side is broadcast after its size check; the trips are not shuffled.",
-    "top_zones_named": "Top-20 as TakeOrderedAndProject; the dimension is semi-joined down to the 20 keys before it is broadcast.",
+    "top_zones_named": "Top-20 as TakeOrderedAndProject; the stored dimension is semi-joined down to the 20 keys, then made unique and broadcast: it never shuffles as a whole.",
     "top_zones_per_cluster": "row_number() <= 5 per cluster: partial WindowGroupLimit before the shuffle.",
-    "clean_trips_events": "Skew-proof next event: range-partitioned copy read back, lead inside each partition, per-partition hand-off broadcast.",
+    "clean_trips_events": "Skew-proof next event: range-partitioned copy read back, one exchange by stored partition id for the window, per-partition minima as the broadcast hand-off.",
 }
 out = ["# Physical plans of key queries", "",
        "Executed plans (after AQE) at sf0.01, `local[8]`, generated from `DataFrame.explain()`; node details elided.", ""]

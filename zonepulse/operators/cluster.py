@@ -35,7 +35,7 @@ SEED = 42
 ROUND_DIGITS = 9
 # Hash buckets of the fit. Seeding depends on the layout, so the number is
 # fixed: raise it for very many zones, knowing that this changes the model.
-FIT_PARTITIONS = 16
+FIT_PARTITIONS = 8
 # Silhouettes are compared after rounding: summation order moves the last bits.
 SCORE_DIGITS = 9
 

@@ -28,7 +28,7 @@ from zonepulse.session import scratch_dir
 
 # State partitions of the stream, fixed when it first starts (Spark keeps the
 # number in the checkpoint), and files per micro-batch in the sink.
-STATE_PARTITIONS = 64
+STATE_PARTITIONS = 32
 SINK_FILES = 4
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 WINDOW = "1 hour"
