@@ -78,7 +78,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _CLEAN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
+
+
+def _matches(kind: str, place: int, pattern: str, group: int, least: int) -> str:
+    """All matches of a pattern with their offsets: lengths of the matches and
+    of the parts between them, summed up."""
+    quoted = pattern.replace("'", "''")
+    return rf"""
+        SELECT row, '{kind}' AS kind, {place} AS place, shown,
+               sum(length(before) + length(found)) OVER w - length(found) AS a,
+               sum(length(before) + length(found)) OVER w AS b
+        FROM (SELECT row, unnest(range(1, len(f) + 1)) AS i, unnest(p[1:len(f)]) AS before, unnest(f) AS found, unnest(g) AS shown
+              FROM (SELECT row, string_split_regex(t, '{quoted}') AS p, regexp_extract_all(t, '{quoted}') AS f,
+                           regexp_extract_all(t, '{quoted}', {group}) AS g FROM d))
+        WINDOW w AS (PARTITION BY row ORDER BY i) QUALIFY length(shown) >= {least}"""
+
+
+_SPANS = " UNION ALL ".join(_matches(r.kind, k, r.pattern, r.group, r.least) for k, r in enumerate(secrets.RULES))
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_secret_scan": f"""
+        WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
+        m AS ({_SPANS}),
+        s AS (
+            SELECT row, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) AS spans,
+                   count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                   count(*) FILTER (kind = 'hex') AS n_hex
+            FROM m GROUP BY row)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN s USING (row)""",
     "op4_exact_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS q FROM embeddings
