@@ -73,7 +73,8 @@ def _is_local(spark: SparkSession) -> bool:
         master = spark.sparkContext.master
     except Exception:  # Spark Connect sessions expose no SparkContext
         master = spark.conf.get("spark.master", "") or ""
-    return master.startswith("local")
+    # local-cluster runs executors in processes (and folders) of their own
+    return master.startswith("local") and not master.startswith("local-cluster")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
