@@ -33,6 +33,33 @@ def test_spans_match_brute_force(make_docs, bits):
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(r.spans.count(k + ":") for k in ("assign", "access", "hex"))
 
 
+@pytest.mark.parametrize(
+    "pattern, query",
+    [
+        (secrets.RULES[0].pattern, {"password", "passwd", "secret", "token", "apikey", "api_key"}),
+        ("AKIA[A-Z0-9]{14,}", {"akia"}),
+        ("[0-9a-f]{16,}", None),
+        ("abc?d", {"abcd", "abd"}),
+        ("x(abc|def)+y", {"abc", "def"}),
+        ("(abc|d.)e", None),
+        ("(?=q)gh[pousr]_[A-Z]{36}", None),
+        ("gh[ps]_[A-Z]{36}", {"ghp_", "ghs_"}),
+        ("(?:ab|cd){2}xyz", {"xyz"}),
+        ("-----BEGIN [A-Z ]*KEY", {"-----begin ", "key"}),
+        ("é123", {"123"}),
+        (r"\Qabc\E", None),
+    ],
+)
+def test_queries_come_from_the_expressions(pattern, query):
+    found = secrets.trigram_query(secrets.Rule("x", pattern))
+    if query is None:
+        assert found == []
+    elif pattern.startswith("-"):
+        assert found == [sorted(set().union(*[secrets._grams(w) for w in query]))]
+    else:
+        assert found == sorted(sorted(secrets._grams(w)) for w in query)
+
+
 def test_boolean_queries_and_postings(spark, make_docs):
     assert secrets.trigram_query(secrets.RULES[2]) == []  # no mandatory trigram: scans fully
     assert ["ken", "oke", "tok"] in secrets.trigram_query(secrets.RULES[0])

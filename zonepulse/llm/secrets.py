@@ -1,14 +1,14 @@
 """Secret scanning over a trigram inverted index, DataFrame operations only.
 
-Each rule is a regular expression with a Boolean trigram query: an OR of ANDs
-of trigrams that every match holds (``trigram_query`` derives it from the
-literals that a match must hold, one set per alternative). The index holds, for
-the trigrams of all queries, posting lists of text hashes, cut into blocks by
-hash so that no list outgrows a task. Queries intersect and unite postings
-block by block; the hashes they leave are candidates, folded into one filter of
-fixed size per rule, and the second scan verifies flagged texts with the regex
-in place, so no text ever shuffles. A rule without mandatory trigrams scans
-every text. A filter that fills up only sends more texts to the regex.
+Each rule is a regular expression. ``trigram_query`` derives its Boolean query
+from the parsed expression: an OR of ANDs of trigrams that every match holds.
+The index holds, for the trigrams of all queries, posting lists of text hashes,
+cut into blocks by hash so that no list outgrows a task. Queries intersect and
+unite postings block by block; the hashes they leave are candidates, folded
+into one filter of fixed size per rule, and the second scan verifies flagged
+texts with the regex in place, so no text ever shuffles. A rule without
+mandatory trigrams scans every text. A filter that fills up only sends more
+texts to the regex.
 
 Offsets are code points, end exclusive, from the lengths of matches and of the
 parts between them. Defined cases: a null text is empty and has no spans; equal
@@ -18,8 +18,12 @@ are just carried; other columns are ignored; an empty table gives an empty one.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from functools import reduce
+from itertools import product
+from re import _constants as node
+from re import _parser
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,39 +33,117 @@ from zonepulse.llm.common import FILTER_BITS, member_filter, probe, stored, text
 #: Rows per block of the index, and blocks at least.
 BLOCK_ROWS = 65_536
 MIN_BLOCKS = 1_024
+#: Alternatives that a derived query holds at most; beyond it gets weaker.
+ALTERNATIVES = 64
+#: Characters of a class that still counts as known text.
+CLASS = 4
 
 
 @dataclass(frozen=True)
 class Rule:
     kind: str
+    #: In the syntax that Java's and Python's expressions share.
     pattern: str
-    #: Literals (lower case) that a match must hold: one tuple per alternative.
-    literals: tuple[tuple[str, ...], ...] = ()
     #: Which group must have how many characters.
     group: int = 0
     least: int = 0
 
 
-# Fixed values of the contract; alternatives of the key words spelled out.
+# Fixed values of the contract.
 RULES = (
     Rule(
         "assign",
         r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
-        (("password",), ("passwd",), ("secret",), ("token",), ("apikey",), ("api_key",)),
         2,
         12,
     ),
-    Rule("access", r"AKIA[A-Z0-9]+", (("akia",),), 0, 18),
-    Rule("hex", r"[0-9a-f]+", (), 0, 16),
+    Rule("access", r"AKIA[A-Z0-9]+", 0, 18),
+    Rule("hex", r"[0-9a-f]+", 0, 16),
 )
 
+Query = set[frozenset[str]]
+#: The query that every text answers.
+ALL: Query = {frozenset()}
+
+
+def _grams(word: str) -> frozenset[str]:
+    return frozenset(word[i : i + 3] for i in range(len(word) - 2))
+
+
+def _either(clauses) -> Query:
+    """Without the clauses that another one implies."""
+    found = set(clauses)
+    return {c for c in found if not any(other < c for other in found)}
+
+
+def _both(a: Query, b: Query) -> Query:
+    """Where that would outgrow the limit, one side alone, the more telling:
+    a weaker query that still holds for every match."""
+    if len(a) * len(b) > ALTERNATIVES:
+        return max(a, b, key=lambda q: min(map(len, q)))
+    return _either(x | y for x in a for y in b)
+
+
+def _of_class(members) -> set[str] | None:
+    """The characters of a small class of ASCII characters, in lower case."""
+    found: set[str] = set()
+    for kind, value in members:
+        low, high = value if kind is node.RANGE else (value, value)
+        if kind not in (node.LITERAL, node.RANGE) or high > 127 or high - low >= 128:
+            return None
+        found |= {chr(c).lower() for c in range(low, high + 1)}
+    return found if len(found) <= CLASS else None
+
+
+def _item(kind, value) -> tuple[set[str] | None, Query]:
+    """(all texts the item can match, if few and known; what a match needs)."""
+    if kind is node.LITERAL:
+        return ({chr(value).lower()} if value < 128 else None), ALL
+    if kind is node.IN:
+        return _of_class(value), ALL
+    if kind is node.SUBPATTERN:
+        return _sequence(value[3])
+    if kind is node.ATOMIC_GROUP:
+        return _sequence(value)
+    if kind is node.BRANCH:
+        parts = [_sequence(x) for x in value[1]]
+        if all(words is not None for words, _ in parts):
+            return set().union(*[words for words, _ in parts]), ALL
+        need = _either(c for words, query in parts for c in (query if words is None else map(_grams, words)))
+        return None, need if len(need) <= ALTERNATIVES else ALL
+    if kind in (node.MAX_REPEAT, node.MIN_REPEAT, node.POSSESSIVE_REPEAT):
+        low, high, inner = value
+        words, query = _sequence(inner)
+        if low == 0:
+            return (words | {""}, ALL) if high == 1 and words is not None else (None, ALL)
+        return None, query if words is None else _either(map(_grams, words))
+    if kind in (node.AT, node.ASSERT, node.ASSERT_NOT):
+        return {""}, ALL
+    return None, ALL
+
+
+def _sequence(items) -> tuple[set[str] | None, Query]:
+    words, query, known = {""}, ALL, True
+    for kind, value in items:
+        more, need = _item(kind, value)
+        if more is not None and len(words) * len(more) <= ALTERNATIVES:
+            words = {a + b for a, b in product(words, more)}
+            continue
+        # The known run ends here; a new one begins behind or with the item.
+        query = _both(_both(query, _either(map(_grams, words))), need)
+        words, known = {""} if more is None else more, False
+    return (words, ALL) if known else (None, _both(query, _either(map(_grams, words))))
+
 
 def trigram_query(rule: Rule) -> list[list[str]]:
-    """OR of ANDs; empty if some alternative has no mandatory trigram."""
-    clauses = [
-        sorted({x[i : i + 3] for x in literals for i in range(len(x) - 2)}) for literals in rule.literals
-    ]
-    return clauses if all(clauses) else []
+    """OR of ANDs of lower-case trigrams that every match of the rule holds;
+    empty if there are none, or if the expression can't be read here."""
+    try:
+        words, query = _sequence(_parser.parse(rule.pattern))
+    except re.error:
+        return []
+    clauses = query if words is None else _either(map(_grams, words))
+    return sorted(map(sorted, clauses)) if all(clauses) else []
 
 
 def _text_hash() -> Column:
@@ -149,9 +231,10 @@ def scan(
     for i, rule in enumerate(rules):
         if trigram_query(rule):
             flagged = probe(flagged, "_h", member_filter(left.where(F.col("rule") == i), "h", bits), f"_maybe{i}", bits)
-            found.append(F.when(F.col(f"_maybe{i}"), spans(F.col("_text"), rule, i)).otherwise(none))
+            asked = F.col(f"_maybe{i}")
         else:
-            found.append(spans(F.col("_text"), rule, i))
+            asked = F.lit(True)
+        found.append(F.when(asked, spans(F.col("_text"), rule, i)).otherwise(none))
     return flagged.select("doc_id", F.array_sort(F.concat(*found)).alias("spans"))
 
 
