@@ -155,10 +155,13 @@ def postings(texts: DataFrame, rules: tuple[Rule, ...], rows: int) -> DataFrame:
     """block, gram, hashes: the inverted index over the queries' trigrams."""
     grams = sorted({g for r in rules for clause in trigram_query(r) for g in clause})
     blocks = max(MIN_BLOCKS, -(-rows // BLOCK_ROWS))
-    low = F.lower("_text")
-    found = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(g)), F.lit(g)) for g in grams]))
+    found = F.array_compact(F.array(*[F.when(F.contains("low", F.lit(g)), F.lit(g)) for g in grams]))
+    # The outer form: for the inner one Spark adds a filter that works the
+    # array out a second time.
     return (
-        texts.select(_text_hash().alias("h"), F.explode(found).alias("gram"))
+        texts.select(_text_hash().alias("h"), F.lower("_text").alias("low"))
+        .select("h", F.explode_outer(found).alias("gram"))
+        .where("gram IS NOT NULL")
         .groupBy(F.pmod(F.col("h"), F.lit(blocks)).alias("block"), "gram")
         .agg(F.collect_set("h").alias("hashes"))
     )
