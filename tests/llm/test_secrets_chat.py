@@ -2,6 +2,8 @@ import hashlib
 import re
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from zonepulse.llm import chat, secrets
 
@@ -60,6 +62,31 @@ def test_queries_come_from_the_expressions(pattern, query):
         assert found == sorted(sorted(secrets._grams(w)) for w in query)
 
 
+PIECES = ["abc", "X", "[ab]", "[0-9]", "(?i:key)", ".", "\\b"]
+PATTERNS = st.recursive(
+    st.sampled_from(PIECES),
+    lambda inner: st.one_of(
+        st.lists(inner, min_size=2, max_size=4).map("".join),
+        st.lists(inner, min_size=2, max_size=3).map(lambda x: f"({'|'.join(x)})"),
+        st.tuples(inner, st.sampled_from(["?", "*", "+", "{2}", "{0,3}", "+?"])).map(lambda x: f"(?:{x[0]}){x[1]}"),
+    ),
+    max_leaves=8,
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(PATTERNS, st.text("abckeyXKEY01 ", max_size=40), st.data())
+def test_no_match_escapes_its_query(pattern, around, data):
+    """Whatever the expression finds in a text, its query holds there."""
+    texts = [around]
+    if "\\b" not in pattern:
+        texts.append(around + data.draw(st.from_regex(re.compile(pattern, re.ASCII), alphabet=st.characters(max_codepoint=127))))
+    query = secrets.trigram_query(secrets.Rule("x", pattern))
+    for text in texts:
+        if re.search(pattern, text) and query:
+            assert any(all(g in text.lower() for g in clause) for clause in query)
+
+
 def test_boolean_queries_and_postings(spark, make_docs):
     assert secrets.trigram_query(secrets.RULES[2]) == []  # no mandatory trigram: scans fully
     assert ["ken", "oke", "tok"] in secrets.trigram_query(secrets.RULES[0])
