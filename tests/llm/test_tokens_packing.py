@@ -34,6 +34,16 @@ def test_ids_are_those_of_the_public_tokenizer(public):
         assert code.n_bytes[ids].sum() == len(text.encode())
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["a b" + " " * 1_200_000 + "c", "\n" * 1_200_000, " \n" * 600_000 + "x" + "\t" * 150_000 + "!", " " * 99_999 + "\x1c y" + "\u3000" * 100_001 + "é"],
+    ids=["before a word", "alone", "two runs", "about the limit"],
+)
+def test_white_space_of_any_length(public, text):
+    """Runs that the pattern's engine alone gives up on."""
+    assert tokens.encoder().ids(text).tolist() == public.encode(text, add_special_tokens=False).ids
+
+
 @settings(deadline=None, max_examples=80)
 @given(st.lists(st.integers(1, 6), max_size=30), st.lists(st.integers(0, 60), max_size=8), st.sampled_from(tokens.RULES))
 def test_attribution_matches_brute_force(lengths, cuts, rule):

@@ -24,8 +24,9 @@ encoded whole; strings of special tokens are ordinary text.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,13 @@ from zonepulse.llm.common import ship
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 RULES = ("first", "last", "most", "share")
+#: Runs of white space from this length on are encoded by themselves: the
+#: pattern steps back through a run, and its engine gives up at about a million.
+LONG_RUN = 100_000
+#: White space as the pattern's engine has it.
+_SPACE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+#: Tried at the begin of a run alone, so a search is linear.
+_RUN = re.compile(rf"(?<!{_SPACE}){_SPACE}{{{LONG_RUN},}}")
 
 
 def vocabulary_path(name: str) -> str:
@@ -56,6 +64,7 @@ class Encoder:
 
         with open(vocabulary_path(name), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        self._ranks = ranks
         self._encoding = tiktoken.Encoding(
             "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
@@ -67,8 +76,23 @@ class Encoder:
             self.n_bytes[i] = len(token)
             self.ends_sentence[i] = token.rstrip()[-1:] in (b".", b"!", b"?") or b"\n" in token
 
+    @cached_property
+    def _undivided(self):
+        """The same vocabulary over a text as one piece."""
+        import tiktoken
+
+        return tiktoken.Encoding("piece", pat_str="(?s:.+)", mergeable_ranks=self._ranks, special_tokens={})
+
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self._encoding.encode_ordinary(text), dtype=np.uint32)
+        out, at = [], 0
+        for run in _RUN.finditer(text) if len(text) >= LONG_RUN else ():
+            # The pattern makes a run one piece, but for its last character
+            # if something follows, which begins the next piece.
+            stop = run.end() - (run.end() < len(text))
+            out += self._encoding.encode_ordinary(text[at : run.start()])
+            out += self._undivided.encode_ordinary(text[run.start() : stop])
+            at = stop
+        return np.array(out + self._encoding.encode_ordinary(text[at:]), dtype=np.uint32)
 
 
 @lru_cache(maxsize=2)
