@@ -72,3 +72,26 @@ def test_reject_keeps_columns_and_empty_tables(spark, make_docs, clashing):
     none = make_docs([])
     empty = toxicity.train(none, labelled(spark, [], []))
     assert toxicity.predictions(none, empty).count() == 0 and toxicity.reject(none, empty).count() == 0
+
+
+def test_thresholds_count_all_labelled_rows(spark, make_docs):
+    texts, labels = made(480, 3)
+    langs = ["de" if i // 4 % 4 == 0 else "en" for i in range(480)]
+    docs = make_docs([(i, t, x, "a") for i, (t, x) in enumerate(zip(texts, langs))])
+    own = [i for i in range(480) if zlib.crc32(str(i).encode()) % 4 != 2]
+    toxic = {x: sum(labels[i] for i in own if langs[i] == x) for x in ("de", "en")}
+    assert toxicity.LEAST_TOXIC <= toxic["de"] < toxic["en"]
+    # More rows than the sample holds, and a sample of all.
+    for sample in (200, 8_000):
+        model = toxicity.train(docs, labelled(spark, range(480), map(int, labels)), sample=sample, steps=100)
+        assert set(model.thresholds) == {"de", "en"}
+
+
+def test_each_labelled_row_calibrates_once(spark, make_docs, monkeypatch):
+    texts, labels = made(240, 4)
+    docs = make_docs([*((i, t) for i, t in enumerate(texts)), *((7, texts[7]) for _ in range(50)), (None, "a")])
+    seen = {}
+    monkeypatch.setattr(toxicity, "_thresholds", lambda model, counts: seen.update(counts))
+    toxicity.train(docs, labelled(spark, [*range(240), None, 7], [*map(int, labels), 1, int(labels[7])]), sample=60, steps=20)
+    own = [i for i in range(240) if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert list(seen) == ["en"] and seen["en"].sum(axis=1).tolist() == [len(own), sum(labels[own])]

@@ -7,35 +7,44 @@ logistic layer weighs the maxima. Training is stochastic gradient descent
 (Adagrad) on the driver over a bounded sample of labelled rows; scoring runs on
 the executors over every whole text, however long.
 
-A part of the sample that isn't trained on calibrates the scores (a scale and
-an offset before the logistic) and one threshold per language: the one with
-the best F1 there. Languages with too few labelled rows use the threshold over
-all. Only the text enters a score; the language picks a threshold and nothing
-else.
+All labelled rows outside the hold-out calibrate the scores (a scale and an
+offset before the logistic) and one threshold per language: the one with the
+best F1 there. A row of the sample is scored by a model that was trained
+without its fifth of the sample; all other rows are scored on the executors
+and only counts of (language, score bin, label) come back. Languages with too
+few labelled rows use the threshold over all. Only the text enters a score;
+the language picks a threshold and nothing else.
 
 Defined cases: null and empty texts are scored as a text without words; a null
 id counts as the empty text in the hold-out rule; labels that are null are no
 labels; if a class is missing among the labels, all scores are the share of
-toxic labels (0 without labels); other columns pass through ``reject`` whatever
-their names; an empty table gives an empty result.
+toxic labels (0 without labels); rows equal in id, language and score calibrate
+once, rows that share the id of a sampled one don't; other columns pass through
+``reject`` whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import ship, stored
+from zonepulse.llm.common import member_filter, probe, ship, stored
 from zonepulse.llm.hashing import LETTERS, LOWER, text_slices, word_hashes
 
 #: Labelled rows that are fetched for training, by hash of the id: the bound.
 SAMPLE_ROWS = 8_000
-#: One in so many of them calibrates.
+#: Parts of the sample; each calibrates with a model of the others.
 CALIBRATE = 5
+#: Calibrating scores are counted in bins, so many to a unit before the
+#: logistic and so many on each side of 0.
+PER_UNIT = 64
+BINS = 32 * PER_UNIT
 #: Labelled toxic rows of a language that its own threshold needs.
 LEAST_TOXIC = 20
 BUCKETS = 1 << 18
@@ -138,15 +147,17 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def logits(model: Model, texts: pa.Array) -> np.ndarray:
+    """What enters the logistic before scale and offset."""
+    made = [_logits(model, *buckets(data, offsets)).astype(np.float64) for _, data, offsets in text_slices(texts)]
+    return np.concatenate(made) if made else np.zeros(0)
+
+
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
     """A number from 0 to 1 for every text of an Arrow array."""
     if model.constant is not None:
         return np.full(len(texts), model.constant)
-    made = [
-        _sigmoid(model.scale * _logits(model, *buckets(data, offsets)).astype(np.float64) + model.offset)
-        for _, data, offsets in text_slices(texts)
-    ]
-    return np.concatenate(made) if made else np.zeros(0)
+    return _sigmoid(model.scale * logits(model, texts) + model.offset)
 
 
 def _batches(order: np.ndarray, lengths: list[int]) -> list[np.ndarray]:
@@ -235,68 +246,135 @@ def _kept(table: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate((np.zeros((1, table.shape[1]), table.dtype), table[known])), rows
 
 
-def _calibrate(model: Model, logits: np.ndarray, labels: np.ndarray) -> None:
-    """Scale and offset by Newton steps on the log loss, with a weak pull to
-    scale 1 so that a separable sample stays finite."""
+def _calibrate(model: Model, at: np.ndarray, rows: np.ndarray, toxic: np.ndarray) -> None:
+    """Scale and offset by Newton steps on the log loss of ``rows`` rows at
+    each place ``at``, with a weak pull to scale 1 so that a separable sample
+    stays finite."""
     a, b = 1.0, 0.0
     for _ in range(30):
-        p = _sigmoid(a * logits + b)
-        e, v = p - labels, np.maximum(p * (1 - p), 1e-9)
-        grad = np.array([(e * logits).sum() + 0.1 * (a - 1), e.sum() + 0.1 * b])
-        hess = np.array([[(v * logits**2).sum() + 0.1, (v * logits).sum()], [(v * logits).sum(), v.sum() + 0.1]])
+        p = _sigmoid(a * at + b)
+        e, v = rows * p - toxic, rows * np.maximum(p * (1 - p), 1e-9)
+        grad = np.array([(e * at).sum() + 0.1 * (a - 1), e.sum() + 0.1 * b])
+        hess = np.array([[(v * at**2).sum() + 0.1, (v * at).sum()], [(v * at).sum(), v.sum() + 0.1]])
         step = np.linalg.solve(hess, grad)
         a, b = a - np.clip(step[0], -1, 1), b - np.clip(step[1], -2, 2)
     if a > 0:
         model.scale, model.offset = float(a), float(b)
 
 
-def best_threshold(score: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap below the score whose cut has the best F1."""
+def best_threshold(score: np.ndarray, labels: np.ndarray, rows: np.ndarray | None = None, lowest: float = 0.0) -> float:
+    """The middle of the gap below the score whose cut has the best F1; with
+    ``rows``, each score stands for so many rows, ``labels`` of them toxic."""
     order = np.argsort(-score, kind="stable")
     hits = np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + labels.sum())
+    taken = np.arange(1, len(order) + 1) if rows is None else np.cumsum(rows[order])
+    f1 = 2 * hits / (taken + labels.sum())
     k = int(np.argmax(f1))
-    below = score[order[k + 1]] if k + 1 < len(order) else 0.0
+    below = score[order[k + 1]] if k + 1 < len(order) else lowest
     return float((score[order[k]] + below) / 2)
 
 
-def fit(texts: pa.Array, labels: np.ndarray, langs: list, steps: int = STEPS, seed: int = 7) -> Model:
-    """A model from labelled texts, in memory."""
+def bins_of(found: np.ndarray) -> np.ndarray:
+    return np.clip(np.floor(found * PER_UNIT), -BINS, BINS - 1).astype(np.int32)
+
+
+def _thresholds(model: Model, counts: dict[str, np.ndarray]) -> None:
+    """Scale, offset and thresholds from, per language, the rows and the toxic
+    rows of each bin."""
+    rows, toxic = sum(counts.values())
+    some = np.flatnonzero(rows)
+    _calibrate(model, (some - BINS + 0.5) / PER_UNIT, rows[some], toxic[some])
+
+    def chosen(rows: np.ndarray, toxic: np.ndarray) -> float:
+        some = np.flatnonzero(rows)
+        # The middles of two bins next to each other are half a bin off their edge.
+        cut = best_threshold((some - BINS + 0.5) / PER_UNIT, toxic[some], rows[some], (some[0] - BINS - 0.5) / PER_UNIT)
+        return float(_sigmoid(model.scale * cut + model.offset))
+
+    if toxic.any():
+        model.threshold = chosen(rows, toxic)
+    for lang, (rows, toxic) in sorted(counts.items()):
+        if toxic.sum() >= LEAST_TOXIC:
+            model.thresholds[lang] = chosen(rows, toxic)
+
+
+def _count(counts: dict[str, np.ndarray], langs: list, bins: np.ndarray, labels: np.ndarray, n: np.ndarray) -> None:
+    for lang, k, y, m in zip(langs, bins.tolist(), labels.tolist(), n.tolist(), strict=True):
+        mine = counts.setdefault(lang or "", np.zeros((2, 2 * BINS)))
+        mine[0, k + BINS] += m
+        mine[1, k + BINS] += m * y
+
+
+def learned(texts: pa.Array, labels: np.ndarray, part: int, steps: int = STEPS, seed: int = 7) -> tuple[Model, np.ndarray]:
+    """A model of all parts of the sample but one, and the logits of that one."""
     model = _new_model(seed)
-    if len(labels) < 2 * CALIBRATE or labels.min() == labels.max():
-        model.constant = float(labels.mean()) if len(labels) else 0.0
-        return model
+    aside = np.arange(len(labels)) % CALIBRATE == part
+    learn = np.flatnonzero(~aside)
     cut = []
-    for _, data, offsets in text_slices(texts):
+    for _, data, offsets in text_slices(texts.take(pa.array(learn))):
         w, s, begins = buckets(data, offsets)
         cut += [(w[a:b], s[a:b]) for a, b in zip(begins[:-1], begins[1:], strict=True)]
-    aside = np.arange(len(labels)) % CALIBRATE == 0
-    learn = np.flatnonzero(~aside)
-    _train(model, [cut[i] for i in learn], labels[learn].astype(np.float32), steps, seed)
-    held = np.flatnonzero(aside)
-    held_texts = texts.take(pa.array(held))
-    logits = np.concatenate([_logits(model, *buckets(d, o)) for _, d, o in text_slices(held_texts)]).astype(np.float64)
-    truth = labels[held].astype(float)
-    _calibrate(model, logits, truth)
-    score = _sigmoid(model.scale * logits + model.offset)
-    if truth.any():
-        model.threshold = best_threshold(score, truth)
-    langs = np.array([x or "" for x in langs])[held]
-    for lang in np.unique(langs):
-        mine = langs == lang
-        if truth[mine].sum() >= LEAST_TOXIC:
-            model.thresholds[str(lang)] = best_threshold(score[mine], truth[mine])
+    _train(model, cut, labels[learn].astype(np.float32), steps, seed)
+    return model, logits(model, texts.take(pa.array(np.flatnonzero(aside))))
+
+
+def _constant(labels: np.ndarray) -> Model | None:
+    if len(labels) < 2 * CALIBRATE or labels.min() == labels.max():
+        return Model(*[np.zeros(0)] * 2, [], *[np.zeros(0)] * 2, 0.0, constant=float(labels.mean()) if len(labels) else 0.0)
+    return None
+
+
+def _parts(
+    made: list[tuple[Model | None, np.ndarray]], labels: np.ndarray, langs: list
+) -> tuple[Model, dict[str, np.ndarray]]:
+    """The model without part 0, and the counts of the whole sample."""
+    found = np.zeros(len(labels))
+    for part, (_, mine) in enumerate(made):
+        found[part::CALIBRATE] = mine
+    counts: dict[str, np.ndarray] = {}
+    _count(counts, langs, bins_of(found), labels, np.ones(len(labels)))
+    return made[0][0], counts
+
+
+def fit(texts: pa.Array, labels: np.ndarray, langs: list, steps: int = STEPS, seed: int = 7) -> Model:
+    """A model from labelled texts, in memory."""
+    if (same := _constant(labels)) is not None:
+        return same
+    model, counts = _parts([learned(texts, labels, k, steps, seed) for k in range(CALIBRATE)], labels, langs)
+    _thresholds(model, counts)
     return model
 
 
+def _fit_parts(spark: SparkSession, texts: pa.Array, labels: np.ndarray, steps: int) -> list[tuple[Model | None, np.ndarray]]:
+    """``learned`` for every part of the sample, a task each."""
+    ship(spark)
+    shared = spark.sparkContext.broadcast((texts, labels))
+
+    def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column(0).to_pylist():
+                model, found = learned(*shared.value, part, steps)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([part]), pa.array([None if part else pickle.dumps(model)], pa.binary()), pa.array([found.tolist()], pa.list_(pa.float64()))],
+                    ["part", "model", "logits"],
+                )
+
+    rows = spark.range(0, CALIBRATE, 1, CALIBRATE).mapInArrow(of_batches, "part long, model binary, logits array<double>").collect()
+    shared.unpersist()
+    return [(pickle.loads(r.model) if r.model else None, np.array(r.logits)) for r in sorted(rows, key=lambda r: r.part)]
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     text = F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit(""))
     return F.pmod(F.crc32(text.cast("binary")), F.lit(4)) == 2
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on at most ``sample`` labelled rows outside the hold-out, those with
-    the smallest hash of the id: a bounded sample that reruns agree on."""
+def train(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", steps: int = STEPS
+) -> Model:
+    """Weights from at most ``sample`` labelled rows outside the hold-out, those
+    with the smallest hash of the id: a bounded sample that reruns agree on.
+    Scale, offset and thresholds from all labelled rows outside the hold-out."""
     truth = labels.where(F.col("toxic").isNotNull()).select(
         F.col("doc_id").cast("long").alias("l_id"), (F.col("toxic") > 0).cast("int").alias("y")
     )
@@ -317,7 +395,37 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col:
     )
     texts = pa.concat_arrays(rows["text"].chunks) if rows.num_rows else pa.array([], pa.string())
     y = rows["y"].to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
-    return fit(texts, y, rows["lang"].to_pylist())
+    if (same := _constant(y)) is not None:
+        return same
+    model, counts = _parts(_fit_parts(docs.sparkSession, texts, y, steps), y, rows["lang"].to_pylist())
+    texts = docs.where(~held_out(id_col)).select(own, lang.alias("lang"), F.col(text_col).cast("string").alias("text"))
+    rest = _rest_counts(texts, truth, chosen.select("d_id").distinct(), model)
+    _count(counts, rest["lang"].to_pylist(), rest["bin"].to_numpy(), rest["y"].to_numpy(), rest["n"].to_numpy())
+    _thresholds(model, counts)
+    return model
+
+
+def _rest_counts(docs: DataFrame, truth: DataFrame, chosen: DataFrame, model: Model) -> pa.Table:
+    """lang, bin, y, n of the labelled rows that aren't in the sample. Texts are
+    scored where they are; ids and bins alone meet the labels."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("int")
+    def bin_of(texts: pa.Array) -> pa.Array:
+        return pa.array(bins_of(logits(shared.value, texts)), pa.int32())
+
+    truth = truth.withColumnRenamed("l_id", "d_id").join(F.broadcast(chosen), "d_id", "left_anti").where("d_id IS NOT NULL")
+    h = F.xxhash64("d_id").alias("h")
+    members = stored(member_filter(truth.where(~held_out("d_id")).select(h), "h"), "toxicity-labelled")
+    found = probe(docs.where("d_id IS NOT NULL").withColumn("h", h), "h", members, "maybe").where("maybe")
+    return (
+        found.select("d_id", "lang", bin_of("text").alias("bin"))
+        .distinct()
+        .join(truth.distinct(), "d_id")
+        .groupBy("lang", "bin", "y")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .toArrow()
+    )
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
