@@ -96,3 +96,23 @@ def test_map_versions_move_few_slots(spark, tmp_dir):
     sharding.save_map(spark, tmp_dir + "/map", 1, new)
     assert {r.slot: r.shard for r in sharding.load_map(spark, tmp_dir + "/map").collect()} == dict(enumerate(new))
     assert {r.slot: r.shard for r in sharding.load_map(spark, tmp_dir + "/map", 0).collect()} == dict(enumerate(old))
+
+
+def test_a_slot_above_a_shard_leaves_the_others_even():
+    sizes = {0: 50_000, **{i: 100 + i * 37 % 400 for i in range(1, 2_000)}}
+    new = sharding.rebalanced(sharding.even_map(40, 2_000), sizes, 40)
+    load = [sum(sizes[i] for i in sizes if new[i] == k) for k in range(40)]
+    rest = sorted(load)[:-1]
+    assert max(load) == 50_000 and max(rest) - min(rest) <= 0.01 * sum(rest) / len(rest)
+
+
+def test_repeated_rows_spread_over_shards(make_docs):
+    rows = [(5, "the same text")] * 600 + [(None, "no id, the same")] * 600 + [(i, f"text {i}") for i in range(600)]
+    got = sharding.shard(make_docs(rows), 6).collect()
+    assert sorted((r.doc_id or -1, r.text_crc32) for r in got) == sorted((i or -1, zlib.crc32(t.encode())) for i, t in rows)
+    assert len({r.virtual_slot for r in got if r.doc_id == 5}) > 500
+    size = {}
+    for r in got:
+        size[r.shard] = size.get(r.shard, 0) + r["size"]
+    assert len(size) == 6 and max(size.values()) - min(size.values()) <= 0.02 * sum(size.values()) / 6
+    assert all(sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got))) for k in size)

@@ -8,8 +8,9 @@ whatever the input, so the driver may edit them and a join may broadcast them.
 
 Sizes are UTF-8 bytes of the text plus 16. Defined cases: a null text has
 size 16 and checksum 0; null ids hash by their text; rows equal in id and text
-share a slot, and their positions in it are interchangeable; an empty table
-gives an empty result and a map of untouched slots. Other columns are ignored.
+are numbered and spread over slots by their number, which of them has which
+number is open; an empty table gives an empty result and a map of untouched
+slots. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,11 +34,24 @@ TOLERANCE = 0.0005
 def in_slots(docs: DataFrame, slots: int = SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot for every row."""
     text = text_of(text_col)
-    return docs.select(
+    rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + RECORD_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text)), F.lit(slots)).cast("int").alias("virtual_slot"),
+        F.xxhash64(F.col(id_col).cast("long"), F.xxhash64(text)).alias("h"),
+        F.spark_partition_id().alias("task"),
+    )
+    # Repeats are numbered within the task that read them, after those of the
+    # tasks before: a window holds one task's repeats, or one row per task.
+    rows = stored(rows, "slot-hashes")
+    earlier = F.sum("n").over(W.partitionBy("h").orderBy("task").rowsBetween(W.unboundedPreceding, -1))
+    begins = rows.groupBy("h", "task").agg(F.count(F.lit(1)).alias("n")).select("h", "task", F.coalesce(earlier, F.lit(0)).alias("earlier"))
+    nth = F.col("earlier") + F.row_number().over(W.partitionBy("h", "task").orderBy("doc_id", "text_crc32", "size")) - 1
+    slot = F.when(F.col("nth") == 0, F.col("h")).otherwise(F.xxhash64("h", "nth"))
+    return (
+        rows.join(begins, ["h", "task"])
+        .withColumn("nth", nth)
+        .select("doc_id", "size", "text_crc32", F.pmod(slot, F.lit(slots)).cast("int").alias("virtual_slot"))
     )
 
 
@@ -52,7 +66,8 @@ def even_map(shards: int, slots: int = SLOTS) -> list[int]:
 
 def rebalanced(shard_of: list[int], sizes: dict[int, int], shards: int, tolerance: float = TOLERANCE) -> list[int]:
     """The map after moving slots, each time from the fullest shard to the
-    emptiest, the slot that comes nearest to halving their difference. Every
+    emptiest, the slot that comes nearest to halving their difference. A shard
+    that no move relieves is set aside, and the next fullest is looked at. Every
     move lowers the sum of squares, so it ends. New shards start empty and
     are filled; nothing else moves between old ones than balance asks for."""
     new = list(shard_of)
@@ -63,13 +78,18 @@ def rebalanced(shard_of: list[int], sizes: dict[int, int], shards: int, toleranc
             load[new[slot]] += size
             insort(held[new[slot]], (size, slot))
     least = tolerance * sum(load) / shards
+    open_shards = list(range(shards))
     while True:
-        full, empty = max(range(shards), key=load.__getitem__), min(range(shards), key=load.__getitem__)
+        full, empty = max(open_shards, key=load.__getitem__), min(open_shards, key=load.__getitem__)
         gap = load[full] - load[empty]
         at = bisect_left(held[full], (gap / 2, -1))
         near = [x for x in held[full][max(0, at - 1) : at + 1] if x[0] < gap]
-        if gap <= least or not near:
+        if gap <= least:
             return new
+        if not near:
+            # The least load never falls, so no later move helps it either.
+            open_shards.remove(full)
+            continue
         size, slot = min(near, key=lambda x: abs(x[0] - gap / 2))
         held[full].remove((size, slot))
         insort(held[empty], (size, slot))
