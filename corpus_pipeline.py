@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of at most 1024 tokens, ids included."""
-    return packing.pack(docs)
+    return packing.pack(docs, added=True)
 
 
 STAGES = [

@@ -152,3 +152,27 @@ def test_cuts_have_the_least_cost(steps):
 def test_empty_tables(make_docs):
     assert tokens.token_counts(make_docs([])).count() == 0
     assert packing.pack(make_docs([])).count() == 0
+
+
+ADDED = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|><|endoftext|>\n\n<|endoftext", " " * 150_000 + "<|endoftext|>" + "\n" * 150_000 + "é"]
+
+
+def test_queries_read_added_tokens_as_the_tokenizer_does(spark, make_docs, tmp_dir):
+    import corpus_pipeline
+    from zonepulse.llm import queries
+
+    default = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = {i: default.encode(t or "", add_special_tokens=False).ids for i, t in enumerate(ADDED + TEXTS)}
+    code = tokens.encoder(added=True)
+    for i, t in enumerate(ADDED + TEXTS):
+        ids = code.ids(t or "")
+        assert ids.tolist() == want[i] and code.n_bytes[ids].sum() == len((t or "").encode())
+    assert want[0] == [64, 220, 50256, 275]
+    docs = make_docs(list(enumerate(ADDED + TEXTS)))
+    docs.write.parquet(f"{tmp_dir}/added/documents.parquet")
+    counts = {(r.doc_id, r.doc_tokens) for r in queries.op1_token_counts(spark, f"{tmp_dir}/added").collect()}
+    assert counts == {(i, len(ids)) for i, ids in want.items()}
+    counts = {(r.doc_id, r.doc_tokens) for r in queries.op9_pack_sequences(spark, f"{tmp_dir}/added").collect()}
+    assert counts == {(i, len(ids) + 1) for i, ids in want.items()}
+    for r in corpus_pipeline.pack_sequences(spark, docs, tmp_dir).collect():
+        assert np.frombuffer(r.ids, "<u4").tolist() == [*want[r.doc_id], 0][r.start : r.start + r.length]

@@ -157,14 +157,16 @@ def pack(
     id_col: str = "doc_id",
     text_col: str = "text",
     vocabulary: str = VOCABULARY,
+    added: bool = False,
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (little-endian unsigned
-    32-bit numbers), doc_tokens, sequence_id, offset in the sequence."""
+    32-bit numbers), doc_tokens, sequence_id, offset in the sequence. With
+    ``added``, strings of the vocabulary's added tokens are those tokens."""
 
     ship(docs.sparkSession)
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(vocabulary)
+        code = encoder(vocabulary, added)
         stream = _Stream(window, code.ends_sentence)
         end = np.array([END_ID], np.uint32)
         for batch in batches:

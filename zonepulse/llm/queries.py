@@ -19,7 +19,7 @@ PROBE_TEXT = "</s>[INST] ok [/INST]"
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each line of every document; a token that crosses a line's
     end counts where most of its bytes are."""
-    return tokens.token_counts(read(spark, sf_dir, "documents")).drop("field")
+    return tokens.token_counts(read(spark, sf_dir, "documents"), added=True).drop("field")
 
 
 def op2_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.digests(packing.pack(read(spark, sf_dir, "documents")))
+    return packing.digests(packing.pack(read(spark, sf_dir, "documents"), added=True))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

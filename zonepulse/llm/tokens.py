@@ -18,12 +18,15 @@ their counts add up to the document's.
 Defined cases: null fields are empty; every document has at least one section,
 an empty one counts 0 tokens; null or repeated ids are carried; other columns
 are ignored; an empty table gives an empty result; texts of any length are
-encoded whole; strings of special tokens are ordinary text.
+encoded whole; strings of special tokens are ordinary text, or with ``added``
+the tokens that the vocabulary's JSON file lists for them, as its own tokenizer
+reads them.
 """
 
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
@@ -58,7 +61,7 @@ def vocabulary_path(name: str) -> str:
 class Encoder:
     """Byte-level BPE ids, equal to those of the same vocabulary elsewhere."""
 
-    def __init__(self, name: str = VOCABULARY):
+    def __init__(self, name: str = VOCABULARY, added: bool = False):
         import public_tokenizers
         import tiktoken
 
@@ -68,13 +71,24 @@ class Encoder:
         self._encoding = tiktoken.Encoding(
             "corpus", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
-        size = max(ranks.values()) + 1
+        self._added: dict[str, int] = {}
+        if added:
+            with open(vocabulary_path(name.removesuffix(".tiktoken") + ".json"), encoding="utf-8") as listed:
+                for token in json.load(listed)["added_tokens"]:
+                    if any(token[k] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+                        raise ValueError(f"added token {token['content']!r} is matched by more than its string")
+                    self._added[token["content"]] = token["id"]
+        longest = sorted(self._added, key=len, reverse=True)
+        self._between = re.compile(f"({'|'.join(map(re.escape, longest))})") if longest else None
+        size = max([*ranks.values(), *self._added.values()]) + 1
         #: Bytes of each id, and whether a sentence or line ends with it.
         self.n_bytes = np.zeros(size, np.int64)
         self.ends_sentence = np.zeros(size, bool)
         for token, i in ranks.items():
             self.n_bytes[i] = len(token)
             self.ends_sentence[i] = token.rstrip()[-1:] in (b".", b"!", b"?") or b"\n" in token
+        for token, i in self._added.items():
+            self.n_bytes[i] = len(token.encode())
 
     @cached_property
     def _undivided(self):
@@ -84,6 +98,13 @@ class Encoder:
         return tiktoken.Encoding("piece", pat_str="(?s:.+)", mergeable_ranks=self._ranks, special_tokens={})
 
     def ids(self, text: str) -> np.ndarray:
+        out = []
+        # Every other part is an added token.
+        for k, part in enumerate(self._between.split(text) if self._between else (text,)):
+            out += [self._added[part]] if k % 2 else self._ordinary(part)
+        return np.array(out, dtype=np.uint32)
+
+    def _ordinary(self, text: str) -> list[int]:
         out, at = [], 0
         for run in _RUN.finditer(text) if len(text) >= LONG_RUN else ():
             # The pattern makes a run one piece, but for its last character
@@ -92,13 +113,13 @@ class Encoder:
             out += self._encoding.encode_ordinary(text[at : run.start()])
             out += self._undivided.encode_ordinary(text[run.start() : stop])
             at = stop
-        return np.array(out + self._encoding.encode_ordinary(text[at:]), dtype=np.uint32)
+        return out + self._encoding.encode_ordinary(text[at:])
 
 
 @lru_cache(maxsize=2)
-def encoder(name: str = VOCABULARY) -> Encoder:
+def encoder(name: str = VOCABULARY, added: bool = False) -> Encoder:
     """One encoder per worker process and vocabulary."""
-    return Encoder(name)
+    return Encoder(name, added)
 
 
 def section_starts(fields: list[bytes], separator: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -155,6 +176,7 @@ def token_counts(
     rule: str = "most",
     id_col: str = "doc_id",
     vocabulary: str = VOCABULARY,
+    added: bool = False,
 ) -> DataFrame:
     """One row per section: doc_id, field, section (from 0 in the document),
     start, end (code points in the joined document, end exclusive), tokens,
@@ -166,7 +188,7 @@ def token_counts(
     cut = separator.encode() if separator else None
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = encoder(vocabulary)
+        code = encoder(vocabulary, added)
         for batch in batches:
             out: list[list] = [[] for _ in range(8)]
             ids = batch.column(0).to_pylist()
