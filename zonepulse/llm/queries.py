@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.llm import chat, dedup, mixing, ngram_join, packing, secrets, sharding, tokens, topk, toxicity
+from zonepulse.llm import (
+    chat,
+    collocations,
+    dedup,
+    lattice,
+    mixing,
+    ngram_join,
+    packing,
+    secrets,
+    sharding,
+    tokens,
+    topk,
+    toxicity,
+)
 from zonepulse.llm.common import read
 
 SHARDS = 40
@@ -63,6 +76,14 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(probe)))
 
 
+def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_virtual_slots": op2_virtual_slots,
@@ -74,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_format": op10_chat_format,
+    "op12_lattice_dedup": op12_lattice_dedup,
+    "op13_collocations": op13_collocations,
 }
 
 _CLEAN = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
@@ -180,4 +203,51 @@ ORACLE_SQL: dict[str, str] = {
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid
         FROM g""",
+    "op12_lattice_dedup": """
+        WITH RECURSIVE v AS (
+            SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS e,
+                   coalesce(len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                            AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS fine
+            FROM embeddings),
+        u AS (SELECT row, e, sqrt(list_inner_product(e, e)) AS size FROM v WHERE fine),
+        l AS (
+            SELECT a.row AS a, b.row AS b FROM u a JOIN u b ON a.row <> b.row AND len(a.e) = len(b.e)
+            WHERE list_inner_product(a.e, b.e) / (a.size * b.size) >= 0.9),
+        r AS (SELECT row, row AS seen FROM v UNION SELECT r.row, l.b FROM r JOIN l ON r.seen = l.a),
+        c AS (SELECT r.row, min(v.vec_id) AS component_id FROM r JOIN v ON v.row = r.seen GROUP BY r.row),
+        n AS (SELECT a AS row, count(*) AS n_links FROM l GROUP BY a)
+        SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id,
+               vec_id IS NOT DISTINCT FROM component_id AS kept
+        FROM v JOIN c USING (row) LEFT JOIN n USING (row)""",
+    "op13_collocations": r"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+        g AS (
+            SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+            UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: array_to_string(ws[i:i + 1], ' '))) FROM w
+            UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' '))) FROM w
+            UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) FROM w),
+        f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+        c AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+        held AS (
+            SELECT lang, phrase, max(a) AS longer FROM (
+                SELECT lang, a, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+                FROM c, (SELECT unnest([2, 3]) AS m), (SELECT unnest([1, 2, 3]) AS i) WHERE m < k AND i + m - 1 <= k)
+            GROUP BY lang, phrase),
+        halves AS (
+            SELECT lang, phrase, a, cut, array_to_string(ws[1:cut], ' ') AS first, array_to_string(ws[cut + 1:k], ' ') AS rest
+            FROM c, (SELECT unnest([1, 2, 3]) AS cut) WHERE cut < k),
+        cuts AS (
+            SELECT h.lang, h.phrase, a, x.f AS l, y.f AS r, (2000000::HUGEINT * a // (x.f + y.f))::BIGINT AS score, cut
+            FROM halves h JOIN f x ON x.lang = h.lang AND x.phrase = h.first JOIN f y ON y.lang = h.lang AND y.phrase = h.rest
+            QUALIFY row_number() OVER (PARTITION BY h.lang, h.phrase ORDER BY score, cut) = 1)
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::INT AS rank,
+               phrase, a, l, r, n, score
+        FROM cuts JOIN n USING (lang) LEFT JOIN held USING (lang, phrase)
+        WHERE longer IS NULL OR 100 * longer < 80 * a
+        QUALIFY rank <= 2000""",
 }
