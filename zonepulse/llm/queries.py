@@ -15,6 +15,7 @@ from zonepulse.llm import (
     mixing,
     ngram_join,
     packing,
+    repair,
     secrets,
     sharding,
     tokens,
@@ -76,6 +77,10 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows.unionByName(probe)))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.report(read(spark, sf_dir, "conversations"), repair.damaged)
+
+
 def op12_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(read(spark, sf_dir, "embeddings"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pack_sequences": op9_pack_sequences,
     "op10_chat_format": op10_chat_format,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_lattice_dedup": op12_lattice_dedup,
     "op13_collocations": op13_collocations,
 }
