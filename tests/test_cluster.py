@@ -61,14 +61,30 @@ def test_reproducible_across_partitionings(spark, zone_frame):
     assert sweep_a.results == sweep_b.results
 
 
-def test_the_fit_layout_does_not_follow_the_row_count(spark, zone_frame):
-    n = cluster.stable_layout(zone_frame).rdd.getNumPartitions()
-    assert n == cluster.stable_layout(zone_frame.limit(3)).rdd.getNumPartitions() == cluster.FIT_PARTITIONS
-    for parts in (1, 10):
-        a, b = (cluster.cluster_zones(zone_frame.repartition(k), partitions=parts) for k in (2, 9))
-        assert a[1].results == b[1].results and a[1].best_k == b[1].best_k
-        label = lambda x: sorted((r["pickup_location_id"], r["prediction"]) for r in x[0].collect())
-        assert label(a) == label(b)
+def test_any_number_of_fit_partitions_gives_the_same_model(spark, zone_frame):
+    fits = [cluster.cluster_zones(zone_frame.repartition(k), partitions=parts) for k, parts in ((2, 1), (9, 8), (3, 64))]
+    models = {(f[1].best_k, tuple(f[1].results), f[1].best_model) for f in fits}
+    assert len(models) == 1  # K, silhouettes and centres to the last bit
+    labels = [sorted((r["pickup_location_id"], r["prediction"]) for r in f[0].collect()) for f in fits]
+    assert labels[0] == labels[1] == labels[2]
+
+
+def test_seeds_are_distinct_points_and_prefixes(spark, zone_frame):
+    vectors = cluster.assemble_features(cluster.stable_features(zone_frame))
+    six = cluster.seed_centres(vectors, 6)
+    assert len(set(six)) == 6 and cluster.seed_centres(vectors.repartition(5), 4) == six[:4]
+    points = {tuple(r["features"].toArray()) for r in vectors.select("features").collect()}
+    assert set(six) <= points
+    assert cluster.seed_centres(vectors, 6, seed=1) != six
+
+
+def test_lloyd_ends_where_centres_are_means(spark, zone_frame):
+    vectors = cluster.assemble_features(cluster.stable_features(zone_frame))
+    model = cluster.fit_kmeans(vectors, 3, max_iter=200)
+    rows = model.transform(vectors).select("features", "prediction").collect()
+    for i, centre in enumerate(model.clusterCenters()):
+        mine = np.array([r["features"].toArray() for r in rows if r["prediction"] == i])
+        assert np.allclose(mine.mean(axis=0), centre, rtol=1e-6)
 
 
 def test_zones_with_null_features_stay_and_small_inputs_are_guarded(spark):

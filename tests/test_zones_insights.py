@@ -149,8 +149,8 @@ def test_distribution_summary_is_exact(spark):
     silver = inputs.silver_trips(spark, SF_MID)
     columns = ["fare_amount", "trip_distance", "hour_of_day"]
     pdf = silver.select(*columns).toPandas()
-    for parts in (1, 7):
-        got = profile.distribution_summary(silver, columns, (0.0, 0.25, 0.5, 0.9, 1.0), partitions=parts).collect()
+    for bound, bins in ((65_536, 4096), (3, 4)):  # at once, and in many rounds
+        got = profile.distribution_summary(silver, columns, (0.0, 0.25, 0.5, 0.9, 1.0), bound, bins).collect()
         assert len(got) == 15
         for r in got:
             assert r["value"] == brute_percentile_disc(sorted(pdf[r["column"]].tolist()), r["quantile"])
@@ -159,6 +159,38 @@ def test_distribution_summary_is_exact(spark):
     assert got == {("a", 0.3): 1.0, ("a", 0.5): 3.0, ("b", 0.3): None, ("b", 0.5): None}
 
 
+def test_summary_keeps_types_and_extreme_values(spark):
+    from decimal import Decimal
+
+    from zonepulse.operators import profile
+
+    big = 2**53 + 1
+    rows = spark.createDataFrame([(big + i, Decimal(i) / 100) for i in range(-40, 41)], "a bigint, d decimal(20,2)")
+    whole = profile.distribution_summary(rows, ["a"], (0.5, 1.0), values_per_task=5, bins=2).collect()
+    assert {r["quantile"]: r["value"] for r in whole} == {0.5: big, 1.0: big + 40}
+    exact = profile.distribution_summary(rows, ["d", "a"], (0.5,), values_per_task=5, bins=2)
+    assert dict(exact.dtypes)["value"].startswith("decimal")
+    assert {r["column"]: r["value"] for r in exact.collect()} == {"a": big, "d": 0}
+    odd = [float("-inf")] * 3 + [-1.7e308, -1e-320, 0.0, 5e-324, 1.0, 1.0000000000000002, 1.7e308] + [float("inf")] * 2 + [float("nan")] * 2
+    frame = spark.createDataFrame([(x,) for x in odd], "x double")
+    for bound in (1, 3, 100):
+        got = profile.distribution_summary(frame, ["x"], [k / 14 for k in range(1, 15)], values_per_task=bound, bins=3).orderBy("quantile")
+        assert [str(r["value"]) for r in got.collect()] == [str(x) for x in odd]
+
+
+def test_summary_sorts_no_more_than_its_bound(spark, monkeypatch):
+    """Every round's ranges, and the values the last step sorts."""
+    from zonepulse.operators import profile
+
+    seen = []
+    narrowed = profile._narrowed
+    monkeypatch.setattr(profile, "_narrowed", lambda *a: seen.append(narrowed(*a)) or seen[-1])
+    rows = spark.range(50_000).selectExpr("id * id * 0.5 AS x")
+    got = profile.distribution_summary(rows, ["x"], (0.25, 0.9), values_per_task=500, bins=16).collect()
+    assert {r["quantile"]: r["value"] for r in got} == {0.25: 12_499**2 * 0.5, 0.9: 44_999**2 * 0.5}
+    assert 2 <= len(seen) <= 6 and max(r["distinct"] for r in seen[-1].collect()) <= 500
+
+
 def test_named_zone_rows_win_over_nulls(spark):
     rows = [(1, None, None), (1, "A", "X"), (2, None, "Y"), (2, None, None), (3, "B", None), (3, "B", "Z"), (4, None, None)]
     got = unique_zones(spark.createDataFrame(rows, "zone_id bigint, zone_name string, borough string")).collect()

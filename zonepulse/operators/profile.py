@@ -6,14 +6,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import DecimalType, IntegralType, NumericType
 
 from zonepulse.session import materialize
 
 # Quantiles reported by the distribution summary.
 SUMMARY_QUANTILES = (0.25, 0.5, 0.75, 0.9)
+# Distinct values that one task of the summary may sort, and bins of a round.
+VALUES_PER_TASK = 65_536
+BINS = 4096
 
 
 def preview(df: DataFrame, n: int = 10, order_by: Sequence[str] | None = None) -> DataFrame:
@@ -63,43 +66,114 @@ def data_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.agg(F.array(*[stats(c) for c in cols]).alias("_p")).select(F.inline("_p"))
 
 
+def _common_type(df: DataFrame, columns: Sequence[str]) -> str:
+    """The type that holds the columns' values: bigint or decimal where all
+    are whole or decimal (their values stay exact), else double."""
+    kinds = [df.schema[c].dataType for c in columns]
+    if all(isinstance(k, IntegralType) for k in kinds):
+        return "bigint"
+    if all(isinstance(k, (IntegralType, DecimalType)) for k in kinds):
+        scale = max((k.scale for k in kinds if isinstance(k, DecimalType)), default=0)
+        whole = max(k.precision - k.scale if isinstance(k, DecimalType) else 19 for k in kinds)
+        return f"decimal({min(38, whole + scale)},{scale})"
+    return "double"
+
+
+def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """A bin number that never falls as the value grows, which is all that
+    ranks need; infinities and NaN stand in bins of their own."""
+    x, low, high = (c.cast("double") * F.lit(0.5) for c in (value, lo, hi))  # halves: no overflow
+    share = F.coalesce(F.try_divide(x - low, high - low), F.lit(0.0))
+    inside = F.least(F.floor(share * F.lit(float(bins))), F.lit(bins - 1))
+    inf = F.lit(float("inf"))
+    return F.when(F.isnan(x), bins + 1).when(x == inf, bins).when(x == -inf, -1).otherwise(inside)
+
+
+def _finite(value: Column) -> Column:
+    x = value.cast("double")
+    return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), value)
+
+
+def _narrowed(counts: DataFrame, asked: DataFrame, bins: int) -> DataFrame:
+    """One round: ``asked`` (column, quantile, rank, before, first, last, lo,
+    hi, distinct) with the range of values that holds each rank cut down to
+    one bin of it."""
+    inside = (F.col("value") >= F.col("first")) & (F.col("value") <= F.col("last"))
+    met = counts.join(F.broadcast(asked.drop("distinct")), "column").where(inside)
+    of_bin = met.withColumn("bin", _bin(F.col("value"), F.col("lo"), F.col("hi"), bins)).groupBy(
+        "column", "quantile", "rank", "before", "bin"
+    )
+    found = of_bin.agg(
+        F.sum("n").alias("n"),
+        F.min("value").alias("first"),
+        F.max("value").alias("last"),
+        F.min(_finite(F.col("value"))).alias("lo"),
+        F.max(_finite(F.col("value"))).alias("hi"),
+        F.count(F.lit(1)).alias("distinct"),
+    )
+    # At most bins + 3 rows for each (column, quantile).
+    upto = F.sum("n").over(Window.partitionBy("column", "quantile").orderBy("bin"))
+    reached = found.withColumn("before", F.col("before") + upto - F.col("n")).where(
+        "rank > before AND rank <= before + n"
+    )
+    return reached.select(*asked.columns)
+
+
 def distribution_summary(
     df: DataFrame,
     columns: Sequence[str],
     quantiles: Sequence[float] = SUMMARY_QUANTILES,
-    partitions: int | None = None,
+    values_per_task: int = VALUES_PER_TASK,
+    bins: int = BINS,
 ) -> DataFrame:
     """Exact discrete quantiles of each column, one row per (column,
     quantile), however many distinct values there are.
 
     ``percentile_disc`` would merge all distinct values in one task. Here the
-    (column, value) counts are range partitioned and stored; a table of one
-    row per (column, partition) says which partition holds each rank, and
-    only that partition is summed up value by value. NULLs do not count; a
-    column without values gives NULL quantiles."""
+    (column, value) counts are stored, and the range of values that holds a
+    rank is narrowed round by round: a histogram of the range, at most ``bins``
+    counts a quantile, shows the bin that holds the rank, and the bin's own
+    least and greatest values are the next range. Once no range has more than
+    ``values_per_task`` distinct values, only those are summed up in order, so
+    no task ever sees more. The driver sees one row for each quantile asked.
+
+    Values keep their type: bigint or decimal where all columns are whole or
+    decimal, else double (ask for whole numbers beyond 2^53 apart from
+    floating columns). Infinities count as values and NaN as the greatest;
+    NULLs do not count; a column without values gives NULL quantiles."""
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    )
+    kind = _common_type(df, columns)
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast(kind).alias("value")) for c in columns]))
     counts = df.select(cells.alias("c")).select("c.*").where(F.col("value").isNotNull())
-    counts = counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    ranged = materialize(
-        counts.repartitionByRange(n, "column", "value").withColumn("part", F.spark_partition_id()), "value-counts"
+    counts = materialize(counts.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    asked = (
+        counts.groupBy("column")
+        .agg(
+            F.sum("n").alias("total"),
+            F.min("value").alias("first"),
+            F.max("value").alias("last"),
+            F.min(_finite(F.col("value"))).alias("lo"),
+            F.max(_finite(F.col("value"))).alias("hi"),
+            F.count(F.lit(1)).alias("distinct"),
+        )
+        .withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
+        .withColumn("rank", F.greatest(F.lit(1), F.ceil(F.col("quantile") * F.col("total"))).cast("bigint"))
+        .withColumn("before", F.lit(0).cast("bigint"))
+        .select("column", "quantile", "rank", "before", "first", "last", "lo", "hi", "distinct")
     )
-    parts = ranged.groupBy("column", "part").agg(F.sum("n").alias("n"))
-    # One row per (column, partition): each window holds at most n rows.
-    of_column = Window.partitionBy("column")
-    before = F.sum("n").over(of_column.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    held = parts.select("column", "part", "n", F.coalesce(before, F.lit(0)).alias("before"), F.sum("n").over(of_column).alias("total"))
-    asked = held.withColumn("quantile", F.explode(F.array(*[F.lit(float(q)) for q in quantiles])))
-    rank = F.greatest(F.lit(1), F.ceil(F.col("quantile") * F.col("total")))
-    asked = asked.withColumn("rank", rank).where("rank > before AND rank <= before + n").drop("n", "total")
-    # len(columns) x len(quantiles) rows, hence broadcast.
-    hit = ranged.join(F.broadcast(asked), ["column", "part"])
+    schema = asked.schema
+    asked = spark.createDataFrame(asked.collect(), schema)  # one row a quantile
+    left = asked.agg(F.max("distinct")).first()[0] or 0
+    while left > values_per_task:
+        asked = spark.createDataFrame(_narrowed(counts, asked, bins).collect(), schema)
+        now = asked.agg(F.max("distinct")).first()[0]
+        if now >= left:  # values that differ by less than a double tells apart
+            break
+        left = now
+    met = counts.join(F.broadcast(asked), "column").where((F.col("value") >= F.col("first")) & (F.col("value") <= F.col("last")))
     upto = F.sum("n").over(Window.partitionBy("column", "quantile").orderBy("value"))
     found = (
-        hit.withColumn("upto", F.col("before") + upto)
+        met.withColumn("upto", F.col("before") + upto)
         .where("upto >= rank")
         .groupBy("column", "quantile")
         .agg(F.min("value").alias("value"))
