@@ -125,13 +125,19 @@ def dimension_join(
     return joined
 
 
-def bounded_lookup(small: DataFrame, dim: DataFrame, key: str, dim_key: str, unique=None, how: str = "left") -> DataFrame:
-    """``small ⋈ dim`` where ``small`` has a proven small row count (for
-    example a top-k result). The stored dimension is first reduced to the
-    matching keys with a semi join that broadcasts ``small``'s keys, then
-    ``unique`` (if given) makes the few matched rows unique, and those are
-    broadcast back: the dimension never shuffles as a whole."""
+def bounded_lookup(
+    small: DataFrame, dim: DataFrame, key: str, dim_key: str, unique=None, how: str = "left", max_rows: int = BROADCAST_MAX_ROWS
+) -> DataFrame:
+    """``small ⋈ dim`` where ``small`` is meant to be few rows (a top-k
+    result). The stored dimension is first reduced to the matching keys with a
+    semi join, then ``unique`` (if given) makes the matched rows unique, so
+    the dimension never shuffles as a whole. ``small``'s keys and the matched
+    rows are broadcast after being measured; beyond the bound (a caller's very
+    large k) both joins are left to Spark."""
     keys = small.select(F.col(key).alias("_k")).distinct()
-    matched = dim.join(F.broadcast(keys), dim[dim_key] == keys["_k"], "left_semi")
+    few = broadcast_ok(keys, max_rows=max_rows)
+    matched = dim.join(F.broadcast(keys) if few else keys, dim[dim_key] == keys["_k"], "left_semi")
     matched = unique(matched) if unique else matched
-    return small.join(F.broadcast(matched), small[key] == matched[dim_key], how).drop(matched[dim_key])
+    if few and broadcast_ok(matched, max_rows=max_rows):
+        matched = F.broadcast(matched)
+    return small.join(matched, small[key] == matched[dim_key], how).drop(matched[dim_key])

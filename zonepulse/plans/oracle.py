@@ -338,6 +338,9 @@ ORACLE_SQL: dict[str, str] = {
     "monthly_demand": SB + 'SELECT "year", "month", count(*) AS trip_count FROM silver GROUP BY "year", "month"',
     # zones
     "zone_features": with_(RAW_B, DERIVED, SILVER, ZF) + f"SELECT {ZF_SELECT} FROM zf",
+    "refreshed_zone_features": with_(RAW_B, DERIVED, SILVER, ZF) + f"SELECT {ZF_SELECT} FROM zf",
+    "refreshed_heatmap": SB
+    + "SELECT day_of_week, hour_of_day, count(*) AS trip_count FROM silver GROUP BY day_of_week, hour_of_day",
     "zone_count": SB + "SELECT count(DISTINCT pickup_location_id) AS zones FROM silver",
     "zone_names": with_(RAW_A, DERIVED, SILVER, ZONES, ZF)
     + f"SELECT {ZF_SELECT}, z.zone_name, z.borough FROM zf LEFT JOIN zones z ON zf.pickup_location_id = z.zone_id",

@@ -77,6 +77,14 @@ def _is_local(spark: SparkSession) -> bool:
     return master.startswith("local") and not master.startswith("local-cluster")
 
 
+def _shares_disk(spark: SparkSession) -> bool:
+    """A ``local-cluster`` master runs its executors on the driver's machine;
+    ``spark.zonepulse.sharedFileBase`` says that a ``file:`` folder is a mount
+    that all machines share."""
+    on_one = spark.sparkContext.master.startswith("local-cluster")
+    return on_one or spark.conf.get("spark.zonepulse.sharedFileBase", "false") == "true"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, setting it only when the session has none.
 
@@ -102,6 +110,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
                 "(HDFS/S3/ABFS) so lineage cuts survive executor loss"
             )
         configured = tempfile.mkdtemp(prefix="zonepulse-ckpt-")
+    if configured.startswith("file:") and not _is_local(spark) and not _shares_disk(spark):
+        raise RuntimeError(f"spark.checkpoint.dir is {configured}, a folder of each machine; point it at shared storage")
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
