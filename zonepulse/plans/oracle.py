@@ -273,6 +273,16 @@ SELECT pickup_location_id, window_start, window_start + INTERVAL 1 HOUR AS windo
 FROM c WHERE trip_count >= (SELECT quantile_disc(trip_count, 0.9) FROM c)"""
 
 
+# Gaps and islands: consecutive hours less their number are one value.
+ALERT_EPISODES = f"""WITH a AS ({WINDOW_ALERTS}),
+i AS (
+  SELECT *, window_start - row_number() OVER (PARTITION BY pickup_location_id ORDER BY window_start) * INTERVAL 1 HOUR AS island
+  FROM a)
+SELECT pickup_location_id, min(window_start) AS episode_start, max(window_end) AS episode_end,
+       count(*) AS hours, max(trip_count) AS peak
+FROM i GROUP BY pickup_location_id, island"""
+
+
 ORACLE_SQL: dict[str, str] = {
     # sources and sinks
     "scan_raw": with_(RAW_B) + "SELECT * FROM raw",
@@ -429,6 +439,8 @@ ORACLE_SQL: dict[str, str] = {
     # streaming (batch equivalent)
     "window_alerts_batch": WINDOW_ALERTS,
     "stream_demand_alerts": WINDOW_ALERTS,
+    "reconciled_stream_alerts": WINDOW_ALERTS,
+    "stream_alert_episodes": ALERT_EPISODES,
 }
 
 

@@ -23,6 +23,7 @@ from zonepulse.session import scratch_dir
 from zonepulse.sources.sinks import bronze_clone, write_and_check
 from zonepulse.sources.tables import read_table, table_location
 from zonepulse.streaming import alerts as stream_alerts
+from zonepulse.streaming import late
 
 DIGITS = 6
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,6 +446,48 @@ def q_stream_demand_alerts(spark, sf):
     return stream_alerts.run_alert_stream(spark, history, sf, "events.parquet")
 
 
+def _arrivals(spark, sf, n=3):
+    """The events in ``n`` deliveries, a file each, of which every one covers
+    the whole time: most of the later ones are behind the watermark."""
+    events = read_table(spark, sf, "events")
+    source = scratch_dir(spark, "arrivals")
+    for k in range(n):
+        part = events.where(F.pmod(F.col("event_id"), F.lit(n)) == k) if k else events.where(
+            F.col("event_id").isNull() | (F.pmod(F.col("event_id"), F.lit(n)) == 0)
+        )
+        part.coalesce(1).write.mode("append").parquet(source)
+    return events, source
+
+
+def q_reconciled_stream_alerts(spark, sf):
+    """Alerts of a stream most of whose rows come behind its watermark,
+    after the reconciliation with the ledger of late rows."""
+    events, source = _arrivals(spark, sf)
+    store, sink, counts, ledger = (scratch_dir(spark, f"late-{n}") for n in ("limit", "sink", "counts", "ledger"))
+    limit = stream_alerts.window_threshold(events).first()["threshold"]
+    if limit is None:
+        return spark.createDataFrame([], stream_alerts.ALERT_SCHEMA)
+    late.store_threshold(spark, store, limit)
+    for query in (
+        stream_alerts.start_alert_stream(
+            spark, source, store, sink, scratch_dir(spark, "late-ckpt-a"), max_files_per_trigger=1, counts_dir=counts, state_partitions=8
+        ),
+        late.start_ledger_stream(spark, source, ledger, scratch_dir(spark, "late-ckpt-b"), max_files_per_trigger=1),
+    ):
+        query.awaitTermination()
+    return late.reconciled(spark, ledger, counts).where(F.col("trip_count") >= limit).drop("late_rows")
+
+
+def q_stream_alert_episodes(spark, sf):
+    """Runs of consecutive alerting hours of a zone, finished ones from a
+    session-window stream over the alerts."""
+    alerts = stream_alerts.batch_window_alerts(read_table(spark, sf, "events"))
+    stored, episodes = scratch_dir(spark, "episode-alerts"), scratch_dir(spark, "episodes")
+    alerts.withColumn("batch_id", F.lit(0).cast("bigint")).write.mode("overwrite").parquet(stored)
+    late.start_episode_stream(spark, stored, episodes, scratch_dir(spark, "episodes-ckpt"), state_partitions=8).awaitTermination()
+    return late.read_episodes(spark, stored, episodes)
+
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "scan_raw": _q(q_scan_raw, keep=True),
@@ -533,4 +576,6 @@ QUERIES: dict[str, Query] = {
     # streaming
     "window_alerts_batch": _q(q_window_alerts_batch),
     "stream_demand_alerts": _q(q_stream_demand_alerts),
+    "reconciled_stream_alerts": _q(q_reconciled_stream_alerts),
+    "stream_alert_episodes": _q(q_stream_alert_episodes),
 }

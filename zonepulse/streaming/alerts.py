@@ -34,6 +34,7 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 WINDOW = "1 hour"
 WATERMARK = "2 hours"
 ALERT_QUANTILE = 0.90
+NO_THRESHOLD = 2**63 - 1
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 ALERT_SCHEMA = "pickup_location_id bigint, window_start timestamp_ntz, window_end timestamp_ntz, trip_count bigint"
 
@@ -82,7 +83,7 @@ def batch_window_alerts(events: DataFrame, q: float = ALERT_QUANTILE, window: st
 def start_alert_stream(
     spark: SparkSession,
     source_dir: str,
-    threshold: int,
+    threshold: int | str,
     sink_dir: str,
     checkpoint_dir: str,
     file_glob: str = "*.parquet",
@@ -93,9 +94,15 @@ def start_alert_stream(
     schema: str = EVENT_SCHEMA,
     state_partitions: int = STATE_PARTITIONS,
     sink_files: int = SINK_FILES,
+    counts_dir: str | None = None,
 ) -> StreamingQuery:
     """Start the alert stream over Parquet files arriving in ``source_dir``.
 
+    ``threshold`` is a number, or the folder of stored thresholds, whose
+    newest version is read anew in every micro-batch (no version: no alert).
+    ``counts_dir`` keeps the counts of all changed windows, alerting or not,
+    for the reconciliation with late rows (``streaming.late``).
+
     ``available_now`` processes what is there and stops (a bounded run);
     otherwise the query keeps running as new files arrive.
     ``max_files_per_trigger`` bounds the size of each micro-batch (a backlog
@@ -119,9 +126,19 @@ def start_alert_stream(
     counts = window_counts(pickups(events), window, watermark)
 
     def emit(batch: DataFrame, batch_id: int) -> None:
-        alerts = _present(batch.filter(F.col("trip_count") >= F.lit(threshold)))
+        from zonepulse.streaming.late import newest_threshold
+
+        now = newest_threshold(spark, threshold) if isinstance(threshold, str) else threshold
+        if counts_dir:
+            batch = batch.persist()
+            every = _present(batch).withColumn("batch_id", F.lit(batch_id)).coalesce(sink_files)
+            every.write.mode("append").parquet(counts_dir)
+        # Without a threshold nothing alerts, but the batch must still be read
+        # whole, as its state is kept by the tasks that read it.
+        alerts = _present(batch.filter(F.col("trip_count") >= F.lit(NO_THRESHOLD if now is None else now)))
         alerts = alerts.withColumn("batch_id", F.lit(batch_id)).coalesce(sink_files)
         alerts.write.mode("append").parquet(sink_dir)
+        batch.unpersist()
 
     writer = (
         counts.writeStream.outputMode("update")
