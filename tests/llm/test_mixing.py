@@ -53,6 +53,33 @@ def test_mix_emits_whole_rows(clashing):
     assert {k: v for k, v in got.items() if v} == want
 
 
+def test_rows_that_differ_in_another_column_keep_it(make_docs):
+    docs = make_docs([(1, "a b", "en", "s")] * 6 + [(2, "c", "en", "t")] * 3)
+    numbers = docs.sparkSession.createDataFrame([(k,) for k in range(6)], "extra int")
+    docs = docs.where("doc_id = 1").limit(1).join(numbers).unionByName(docs.where("doc_id = 2").limit(1).join(numbers.limit(3)))
+    mixed = mixing.mix(docs)
+    got = defaultdict(int)
+    for r in mixed.collect():
+        got[r.doc_id, r.extra] += 1
+    words = sum(r.taken for r in mixing.taken(docs).collect())
+    assert {k for k in got if k[0] == 1} == {(1, k) for k in range(6)} and max(got.values()) <= 2
+    assert sum(n * (2 if k[0] == 1 else 1) for k, n in got.items()) == words
+
+
+def test_equal_rows_spread_over_ranges(spark, make_docs, monkeypatch):
+    seen = {}
+    keep = mixing.stored
+    monkeypatch.setattr(mixing, "stored", lambda df, name: seen.setdefault(name, keep(df, name)))
+    docs = make_docs([(1, "the same", "en", "s")] * 3_000 + [(None, "x", "en", "s")] * 3_000 + [(k, f"t {k}", "en", "s") for k in range(3_000)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixing.taken(docs).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = [r["count"] for r in seen["mix-ordered"].withColumn("p", mixing.F.shiftright("place", 33)).groupBy("p").count().collect()]
+    assert len(parts) == 4 and max(parts) <= 2 * 9_000 / 4
+
+
 def test_empty_table(make_docs):
     assert mixing.taken(make_docs([])).count() == 0
     assert mixing.mix(make_docs([])).count() == 0

@@ -72,12 +72,12 @@ def _fraction(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def _row_key(id_col: str, source_col: str, text_col: str) -> Column:
-    """128 bits of id, source and text, never null."""
-    parts = F.struct(
-        F.col(id_col).cast("string").alias("i"), F.col(source_col).cast("string").alias("s"), F.md5(text_of(text_col).cast("binary")).alias("t")
-    )
-    return F.unhex(F.md5(F.to_json(parts).cast("binary")))
+def _row_key(columns: list[str], text_col: str) -> Column:
+    """128 bits of the whole row, never null."""
+    parts = [
+        F.md5(F.col(f"`{c}`").cast("string").cast("binary")) if c == text_col else F.col(f"`{c}`") for c in columns
+    ]
+    return F.unhex(F.md5(F.to_json(F.struct(*[p.alias(f"c{k}") for k, p in enumerate(parts)])).cast("binary")))
 
 
 def with_copies(
@@ -97,9 +97,11 @@ def with_copies(
         F.col(source_col).cast("string").alias("source"),
         words(text_col).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("~")).cast("binary")).alias("h"),
-        _row_key(id_col, source_col, text_col).alias("row_key"),
+        _row_key(docs.columns, text_col).alias("row_key"),
+        # Equal rows are cut between ranges by a number of their own.
+        F.rand(seed).alias("spread"),
     )
-    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("h")]
+    order = [F.col("source").asc_nulls_last(), F.col("size"), F.col("h"), F.col("row_key"), F.col("spread")]
     rows = stored(
         rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()),
         "mix-ordered",
@@ -139,17 +141,15 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The mixture itself: whole rows, repeated as often as they are emitted.
-    Texts shuffle once, by a hash of the row; rows equal in id, source and text
-    are repeats of one row and share its other columns."""
+    Texts shuffle once, by a hash of the whole row; rows equal in all columns
+    are one row with the sum of their copies, folded where they are read."""
     copies = with_copies(docs, source_col=source_col, id_col=id_col, text_col=text_col, **options)
     copies = copies.groupBy("row_key").agg(F.sum("copies").alias("copies")).where("copies > 0")
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key(id_col, source_col, text_col).alias("row_key")
-    )
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), _row_key(docs.columns, text_col).alias("row_key"))
     return (
-        rows.join(copies, "row_key")
-        .groupBy("row_key")
-        .agg(F.first("row").alias("row"), F.first("copies").alias("copies"))
+        rows.groupBy("row_key")
+        .agg(F.first("row").alias("row"))
+        .join(copies, "row_key")
         .select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth"))
         .select("row.*")
     )
