@@ -74,6 +74,17 @@ def test_reject_keeps_columns_and_empty_tables(spark, make_docs, clashing):
     assert toxicity.predictions(none, empty).count() == 0 and toxicity.reject(none, empty).count() == 0
 
 
+def test_a_labelled_row_repeated_often_does_not_fill_the_sample(spark, make_docs):
+    texts, labels = made(240, 5)
+    docs = make_docs(list(enumerate(texts)))
+    often = [i for i in range(240) for _ in range(50)]
+    model = toxicity.train(docs, labelled(spark, often, [int(labels[i]) for i in often]), sample=150, steps=60)
+    assert model.constant is None
+    again = make_docs([(i, texts[i]) for i in often])
+    model = toxicity.train(again, labelled(spark, range(240), map(int, labels)), sample=150, steps=60)
+    assert model.constant is None
+
+
 def test_thresholds_count_all_labelled_rows(spark, make_docs):
     texts, labels = made(480, 3)
     langs = ["de" if i // 4 % 4 == 0 else "en" for i in range(480)]

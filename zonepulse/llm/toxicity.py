@@ -385,12 +385,15 @@ def train(
     chosen = (
         docs.where(~held_out(id_col)).select(own).join(truth, F.col("d_id") == F.col("l_id")).select("d_id", "y")
     )
-    chosen = stored(chosen.orderBy(*order).limit(sample), "toxicity-sample").distinct()
+    # Repeats are folded before the bound, so no repeated row fills the sample.
+    chosen = stored(chosen.distinct().orderBy(*order).limit(sample), "toxicity-sample")
     rows = (
-        docs.select(own, F.col(text_col).cast("string").alias("text"), lang.alias("lang"))
+        docs.select(own, F.struct(F.col(text_col).cast("string").alias("text"), lang.alias("lang")).alias("row"))
         .join(F.broadcast(chosen), "d_id")
-        .orderBy(*order, "text")
-        .limit(sample)
+        .groupBy("d_id", "y")
+        .agg(F.max("row").alias("row"))
+        .orderBy(*order)
+        .select("row.text", "row.lang", "y")
         .toArrow()
     )
     texts = pa.concat_arrays(rows["text"].chunks) if rows.num_rows else pa.array([], pa.string())
