@@ -98,6 +98,21 @@ def test_map_versions_move_few_slots(spark, tmp_dir):
     assert {r.slot: r.shard for r in sharding.load_map(spark, tmp_dir + "/map", 0).collect()} == dict(enumerate(old))
 
 
+def test_a_stored_map_is_edited_and_places_the_rows(spark, make_docs, tmp_dir):
+    docs = make_docs([(i, "x" * (i % 90)) for i in range(4_000)])
+    first = {r.doc_id: r for r in sharding.shard(docs, 40, folder=tmp_dir).collect()}
+    grown = {r.doc_id: r for r in sharding.shard(docs, 41, folder=tmp_dir).collect()}
+    moved = [i for i in first if first[i].shard != grown[i].shard]
+    assert sum(first[i]["size"] for i in moved) <= 2 / 41 * sum(r["size"] for r in first.values())
+    assert {r.map_version for r in first.values()} == {1} and {r.map_version for r in grown.values()} == {2}
+    _, stored = sharding.newest_map(spark, tmp_dir)
+    assert all(stored[r.virtual_slot] == r.shard for r in grown.values()) and len({r.shard for r in grown.values()}) == 41
+    fewer = sharding.shard(docs, 3, folder=tmp_dir).collect()
+    assert {r.shard for r in fewer} == {0, 1, 2} and {r.map_version for r in fewer} == {3}
+    with pytest.raises(ValueError):
+        sharding.shard(docs, 3, slots=128, folder=tmp_dir)
+
+
 def test_a_slot_above_a_shard_leaves_the_others_even():
     sizes = {0: 50_000, **{i: 100 + i * 37 % 400 for i in range(1, 2_000)}}
     new = sharding.rebalanced(sharding.even_map(40, 2_000), sizes, 40)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -114,22 +115,40 @@ def load_map(spark: SparkSession, folder: str, version: int | None = None) -> Da
     return maps.where(F.col("version") == version).drop("version")
 
 
+def newest_map(spark: SparkSession, folder: str) -> tuple[int, list[int] | None]:
+    """The newest version and its map (one entry a slot); None without one."""
+    try:
+        version = spark.read.parquet(folder).agg(F.max("version")).first()[0]
+    except AnalysisException:  # an empty or missing folder
+        return -1, None
+    return version, [r["shard"] for r in load_map(spark, folder, version).orderBy("slot").collect()]
+
+
 def shard(docs: DataFrame, shards: int, slots: int = SLOTS, folder: str | None = None) -> DataFrame:
     """Every row in a shard, sizes near equal (law ``bytes``): doc_id, size,
     text_crc32, law, shard, slot (its place in the shard, from 0 without
     gaps), grown_shard (null: the sizes decide, not the id), virtual_slot,
-    map_version. The map's versions stay in ``folder``."""
+    map_version. The map's versions stay in ``folder``: its newest version is
+    edited for the new sizes and number of shards, saved as the next version,
+    and that one places the rows; an empty folder starts from ``even_map``."""
     spark = docs.sparkSession
     folder = folder or scratch_dir(spark, "slot-map")
     rows = stored(in_slots(docs, slots), "slot-rows")
     sizes = stored(slot_sizes(rows).coalesce(1), "slot-sizes")
-    first = even_map(shards, slots)
-    save_map(spark, folder, 0, first)
+    version, known = newest_map(spark, folder)
+    if known is None:
+        version, known = 0, even_map(shards, slots)
+        save_map(spark, folder, version, known)
+    if len(known) != slots:
+        raise ValueError(f"the stored map has {len(known)} slots, not {slots}; their number is fixed")
+    # Shards that no longer exist hand their slots on in turn.
+    known = [s if s < shards else i % shards for i, s in enumerate(known)]
+    version += 1
     held = {r["virtual_slot"]: r["bytes"] for r in sizes.select("virtual_slot", "bytes").collect()}
-    save_map(spark, folder, 1, rebalanced(first, held, shards))
+    save_map(spark, folder, version, rebalanced(known, held, shards))
     before = F.sum("rows").over(W.partitionBy("shard").orderBy("virtual_slot").rowsBetween(W.unboundedPreceding, -1))
     places = (
-        load_map(spark, folder)
+        load_map(spark, folder, version)
         .withColumnRenamed("slot", "virtual_slot")
         .join(sizes, "virtual_slot")
         .select("virtual_slot", "shard", F.coalesce(before, F.lit(0)).alias("before"))
@@ -144,5 +163,5 @@ def shard(docs: DataFrame, shards: int, slots: int = SLOTS, folder: str | None =
         (F.col("before") + nth - 1).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
         "virtual_slot",
-        F.lit(1).alias("map_version"),
+        F.lit(version).alias("map_version"),
     )
