@@ -82,6 +82,18 @@ def test_a_full_filter_changes_nothing(make_docs):
     assert sorted((r.doc_id for r in ngram_join.dedup_near(make_docs(rows), bits=64).collect()), key=str) == brute(rows)[1]
 
 
+@pytest.mark.parametrize("bits", [1 << 26, 64])
+def test_rows_without_words_stay_however_full_the_filter(make_docs, bits):
+    rows = [(5, "")] * 3 + [(6, None)] * 2 + [(100 + i // 2, f"five words in every text {i // 2}") for i in range(80)]
+    kept = ngram_join.dedup_near(make_docs(rows), bits=bits).collect()
+    assert sorted(r.doc_id for r in kept) == [5] * 3 + [6] * 2 + list(range(100, 140))
+
+
+def test_a_threshold_below_the_bands_is_refused(make_docs):
+    with pytest.raises(ValueError):
+        ngram_join.join(make_docs(EDGES), threshold=0.5)
+
+
 def test_pruning_follows_the_posterior():
     from math import comb
 

@@ -23,7 +23,8 @@ A pair at or above the threshold is lost only if it agrees in no band (below
 Defined cases: a text of fewer words than n is one n-gram, its words; a text
 without words (null, empty) is similar to nothing, a class of its own without
 links; null ids come last when a class picks its id; rows equal in id and text
-are copies, of which ``dedup_near`` keeps one; other columns pass through
+are copies, of which ``dedup_near`` keeps one, if they have words; rows
+without words all stay; a threshold below 0.8 is refused; other columns pass through
 ``dedup_near`` whatever their names; an empty table gives an empty result.
 """
 
@@ -45,6 +46,8 @@ from zonepulse.llm.components import components
 from zonepulse.llm.hashing import SPACED, mixed, text_slices, word_hashes
 
 WORDS = 5
+#: A character of a word.
+WORD = r"[^\x20\x09-\x0D]"
 THRESHOLD = 0.8
 BANDS = 24
 ROWS = 4
@@ -399,6 +402,8 @@ def classes(
     rows connected by similar texts), links (other rows at least as similar as
     the threshold), copies (rows of the same set, this one included),
     class_rows, lead (id and t_key of the row that stands for the class)."""
+    if threshold < THRESHOLD:
+        raise ValueError(f"the bands are made for a similarity of {THRESHOLD} or more, not {threshold}")
     ship(docs.sparkSession)
     seen = stored(sketches(docs, id_col, text_col), "ngram-sketches")
     lead = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "t_key")
@@ -470,8 +475,10 @@ def dedup_near(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(id_col).cast("long").alias("doc_id"),
         _text_key(text).alias("t_key"),
+        text.rlike(WORD).alias("has_words"),
     ).withColumn("h", F.xxhash64("t_key"))
-    marked = probe(rows, "h", members, "maybe", bits)
+    # Rows without words are in no class of several: they never go that way.
+    marked = probe(rows, "h", members, "maybe", bits).withColumn("maybe", F.col("maybe") & F.col("has_words"))
     one = marked.where("maybe").groupBy("t_key", "doc_id").agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("same"))
     kept = one.join(gone, (one.t_key == gone.g_key) & one.doc_id.eqNullSafe(gone.g_id), "left_anti")
     return marked.where("NOT maybe").select("row.*").unionByName(kept.select("row.*"))
