@@ -46,7 +46,9 @@ LONG = 32
 STRETCH = 1 << 18
 
 
-def cut_points(ids: np.ndarray, ends: np.ndarray, ends_sentence: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def cut_points(
+    ids: np.ndarray, ends: np.ndarray, ends_sentence: np.ndarray, apart: int = LONG
+) -> tuple[np.ndarray, np.ndarray]:
     """Where the stream may be cut, from 0 to its length, and what it costs.
     ``ends``: ends of documents, the last may lie beyond the stream."""
     total = len(ids)
@@ -56,8 +58,8 @@ def cut_points(ids: np.ndarray, ends: np.ndarray, ends_sentence: np.ndarray) ->
     cost[0] = cost[total] = 0
     at = np.flatnonzero(cost >= 0)
     gaps = np.diff(at)
-    for k in np.flatnonzero(gaps > LONG):
-        inside = np.arange(at[k] + LONG, at[k + 1], LONG)
+    for k in np.flatnonzero(gaps > apart):
+        inside = np.arange(at[k] + apart, at[k + 1], apart)
         cost[inside] = INSIDE
     at = np.flatnonzero(cost >= 0)
     return at, cost[at]
@@ -109,7 +111,7 @@ class _Stream:
     def packed(self, last: bool) -> pa.RecordBatch | None:
         ids = np.concatenate(self.parts)
         begins = np.cumsum([0, *map(len, self.parts)])
-        at, cost = cut_points(ids, begins[1:], self.ends_sentence)
+        at, cost = cut_points(ids, begins[1:], self.ends_sentence, min(LONG, self.window))
         cuts = best_cuts(at.tolist(), cost.tolist(), self.window)
         if last:
             short = cuts[-1] - cuts[-2]
