@@ -10,11 +10,12 @@ occurrence of a k-word phrase at its position. No explosion per n-gram length.
 
 A window's tail that can't belong to a phrase of ``least`` occurrences is
 padded too, which makes most windows equal and lets the map side fold them:
-occurrences of word pairs are counted by hash in ``bits`` counters, and a
-window ends before a pair whose counter stays below ``least``. A phrase that
-occurs often has only pairs that do, so no candidate's count changes, whatever
-the number of counters; full counters only spare nothing. They are broadcast as
-at most ``bits`` / 64 rows.
+occurrences of word pairs, then of triples whose pairs are frequent, are
+counted by hash in ``bits`` counters, and a window ends before a pair or triple
+whose counter stays below ``least``. A phrase that occurs often has only pairs
+and triples that do, so no candidate's count changes, whatever the number of
+counters; full counters only spare nothing. They are broadcast as at most
+``bits`` / 64 rows each.
 
 A candidate is scored at each of its cuts, floor(SCALE * a / (l + r)) in
 decimals, and keeps the lowest; it is dropped where a longer
@@ -55,7 +56,11 @@ _W = [f"w{k}" for k in range(1, LONGEST + 1)]
 
 def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, w1 to w4 for every word position of every piece."""
-    lowered = F.translate(text_of(text_col), ascii_uppercase, ascii_lowercase)
+    text = text_of(text_col)
+    # Where every character is one byte, lower() changes A to Z alone.
+    lowered = F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
+        F.translate(text, ascii_uppercase, ascii_lowercase)
+    )
     pieces = docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"),
         F.explode(F.split(lowered, MARKS)).alias("piece"),
@@ -67,27 +72,29 @@ def windows(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
     )
 
 
-def _pair(a: str, b: str) -> Column:
-    return F.xxhash64("lang", a, b)
-
-
-def frequent_pairs(found: DataFrame, least: int, bits: int = FILTER_BITS) -> DataFrame:
-    """Membership filter of the word pairs whose counter reaches ``least``."""
+def frequent(found: DataFrame, words: int, least: int, bits: int = FILTER_BITS) -> DataFrame:
+    """Membership filter of the phrases of so many words (each window's first)
+    whose hash counter reaches ``least``."""
     counters = (
-        found.where(F.col("w2") != PAD)
-        .groupBy(F.pmod(_pair("w1", "w2"), F.lit(bits)).alias("h"))
+        found.where(F.col(_W[words - 1]) != PAD)
+        .groupBy(_counter(_W[:words], bits).alias("h"))
         .agg(F.count(F.lit(1)).alias("c"))
         .where(F.col("c") >= least)
     )
     return member_filter(counters.select("h"), "h", bits)
 
 
-def cut_windows(found: DataFrame, pairs: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    """The windows, padded from the first pair on that isn't in ``pairs``."""
-    for k in range(1, LONGEST):
-        hashed = found.withColumn("h", F.pmod(_pair(_W[k - 1], _W[k]), F.lit(bits)))
-        found = probe(hashed, "h", pairs, "often", bits)
-        for w in _W[k:]:
+def _counter(words: list[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64("lang", *words), F.lit(bits))
+
+
+def cut(found: DataFrame, phrases: DataFrame, words: int, starts: range, bits: int = FILTER_BITS) -> DataFrame:
+    """The windows, padded from the end of the first phrase of so many words,
+    beginning at one of ``starts``, that isn't in the filter."""
+    for k in starts:
+        hashed = found.withColumn("h", _counter(_W[k : k + words], bits))
+        found = probe(hashed, "h", phrases, "often", bits)
+        for w in _W[k + words - 1 :]:
             found = found.withColumn(w, F.when(F.col("often"), F.col(w)).otherwise(F.lit(PAD)))
         found = found.drop("h", "often")
     return found
@@ -101,16 +108,21 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, bits: int = FILTER_BITS,
     """lang, k, phrase, f, w1 to w4: every phrase of up to four words that
     occurs ``least`` times (k from 1), and per lang its number of words (k 0)."""
     found = windows(docs, **columns)
-    pairs = stored(frequent_pairs(found, least, bits), "phrase-pairs")
-    counted = stored(
-        cut_windows(found, pairs, bits).groupBy("lang", *_W).agg(F.count(F.lit(1)).alias("c")), "phrase-windows"
-    )
-    level = LONGEST - sum(F.grouping(w).cast("int") for w in _W)
+    pairs = stored(frequent(found, 2, least, bits), "phrase-pairs")
+    triples = stored(frequent(cut(found, pairs, 2, range(2), bits), 3, least, bits), "phrase-triples")
+    kept = cut(cut(found, pairs, 2, range(1), bits), triples, 3, range(LONGEST - 2), bits)
+    counted = stored(kept.groupBy("lang", *_W).agg(F.count(F.lit(1)).alias("c")), "phrase-windows")
+    # The longest phrases are counted already; ROLLUP sums their prefixes.
+    *shorter, last = _W
+    level = len(shorter) - sum(F.grouping(w).cast("int") for w in shorter)
     summed = (
-        counted.rollup("lang", *_W)
+        counted.rollup("lang", *shorter)
         .agg(F.sum("c").alias("f"), level.alias("k"), F.grouping("lang").alias("all_langs"))
         .where("all_langs = 0")
+        .withColumn(last, F.lit(None).cast("string"))
     )
+    longest = counted.select("lang", *_W, F.col("c").alias("f"), F.lit(LONGEST).alias("k"), F.lit(0).cast("tinyint").alias("all_langs"))
+    summed = summed.unionByName(longest)
     whole = F.lit(True)
     for k, w in enumerate(_W, 1):
         whole = whole & ((F.col("k") < k) | (F.col(w) != PAD))
