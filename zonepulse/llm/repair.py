@@ -212,9 +212,8 @@ def ordered(rows: DataFrame) -> DataFrame:
         *[F.coalesce(F.col(c).cast("string"), F.lit(" ")).alias(c) for c in ("role", "text")],
     )
     keys = ["conv_id", "turn", "role", "text"]
-    parts = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     folded = read.groupBy(*keys).agg(F.count(F.lit(1)).alias("times"))
-    placed = folded.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
+    placed = folded.repartitionByRange(_tasks(rows), *keys).sortWithinPartitions(*keys).withColumn("place", F.monotonically_increasing_id())
     same = F.concat_ws(":", F.coalesce(F.col("conv_id").cast("string"), F.lit("")), F.length("role").cast("string"), "role", "text")
     return placed.select(
         "place",
@@ -235,6 +234,8 @@ _SEGMENT = (
     "blank long, duplicate long, truncated long, illegal long, first string, last string"
 )
 
+_SEGMENT_KINDS = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int64())] + [pa.int64()] * 4 + [pa.string()] * 2
+
 
 def segments(placed: DataFrame) -> DataFrame:
     """One row per block and conversation in it: its codes, matrix and faults."""
@@ -247,27 +248,41 @@ def segments(placed: DataFrame) -> DataFrame:
     codes = placed.select("block", "place", "conv_id", "initial", "blank", "short", "times").join(later, "place", "left")
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list] = []
+        held: list[tuple] = []
         key = None
         for batch in batches:
+            done = []
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and row[:2] != key:
-                    yield _segment(key, held)
+                    done.append(_segment(key, held))
                     held = []
                 key = row[:2]
                 held.append(row[2:])
+            yield _table(done, _SEGMENT, _SEGMENT_KINDS)
         if held:
-            yield _segment(key, held)
+            yield _table([_segment(key, held)], _SEGMENT, _SEGMENT_KINDS)
 
     return (
         codes.select("conv_id", "block", "place", "initial", "blank", "short", F.coalesce("later", F.lit(False)).alias("later"), "times")
-        .repartition("block")
+        # A fixed number of tasks: rows are slim, the work on them is not.
+        .repartition(_tasks(placed), "block")
         .sortWithinPartitions("block", "place")
         .mapInArrow(of_batches, _SEGMENT)
     )
 
 
-def _segment(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
+def _tasks(rows: DataFrame) -> int:
+    return max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
+def _table(rows: list[tuple], schema: str, kinds: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in schema.split(", ")]
+    )
+
+
+def _segment(key: tuple, rows: list[tuple]) -> tuple:
     codes, faults, illegal = bytearray(), [0, 0, 0], 0
     text = "".join(INITIALS[r[1]] for r in rows)
     for _, initial, blank, short, later, times in rows:
@@ -279,9 +294,7 @@ def _segment(key: tuple, rows: list[tuple]) -> pa.RecordBatch:
         illegal += times - 1
     illegal += sum(text[i : i + 2] not in LEGAL for i in range(len(text) - 1))
     times = np.array([r[5] for r in rows], "<i8")
-    cells = [*key, rows[0][0], bytes(codes), times.tobytes(), matrix(bytes(codes), times), *faults, illegal, text[0], text[-1]]
-    kinds = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.list_(pa.int64())] + [pa.int64()] * 4 + [pa.string()] * 2
-    return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(cells, kinds, strict=True)], [x.split()[0] for x in _SEGMENT.split(", ")])
+    return (*key, rows[0][0], bytes(codes), times.tobytes(), matrix(bytes(codes), times), *faults, illegal, text[0], text[-1])
 
 
 def _by_conversation(rows: DataFrame, order: Column) -> DataFrame:
@@ -355,24 +368,30 @@ def _entries(exits: DataFrame) -> DataFrame:
     return _by_conversation(exits, F.col("block")).mapInArrow(of_batches, "seg long, entry long, border long")
 
 
+_EDIT = "place long, edits string, made string, tail string"
+_EDIT_KINDS = [pa.int64(), pa.string(), pa.string(), pa.string()]
+
+
 def _edits(segs: DataFrame) -> DataFrame:
     """place, edits, made, tail (inserted after the conversation's last row)."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            done: list[tuple] = []
             for seg, codes, times, after, last, state in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                edits, made = [], []
-                for e, m, state in walk(codes, np.frombuffer(times, "<i8"), tuple(after), state):
-                    edits.append(e)
-                    made.append(m)
-                tail = [""] * (len(edits) - 1) + [ending(state) if last else ""]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(seg, seg + len(edits))), *(pa.array(x, pa.string()) for x in (edits, made, tail))],
-                    ["place", "edits", "made", "tail"],
-                )
+                place = seg
+                for edits, made, state in walk(codes, np.frombuffer(times, "<i8"), tuple(after), state):
+                    done.append((place, edits, made, ""))
+                    place += 1
+                if last:
+                    done[-1] = (*done[-1][:3], ending(state))
+                if len(done) >= BLOCK:
+                    yield _table(done, _EDIT, _EDIT_KINDS)
+                    done = []
+            yield _table(done, _EDIT, _EDIT_KINDS)
 
     return segs.select("seg", "codes", "times", "after", "is_last", "entry").mapInArrow(
-        of_batches, "place long, edits string, made string, tail string"
+        of_batches, _EDIT
     )
 
 
@@ -427,35 +446,33 @@ def _turns(made: str, own: Column) -> Column:
     return F.transform(letters, one)
 
 
+_DIGEST = "conv_id long, audit string, repaired_sha256 string"
+_DIGEST_KINDS = [pa.int64(), pa.string(), pa.string()]
+
+
 def _digests(repaired: DataFrame) -> DataFrame:
     """conv_id, audit, repaired_sha256: each conversation read once from its
     first to its last row, hashed on the way."""
 
     def of_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, audit, digest, begun = ..., [], hashlib.sha256(), False
-
-        def done() -> pa.RecordBatch:
-            cells = ([now], ["".join(audit)], [digest.hexdigest()])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cells, (pa.int64(), pa.string(), pa.string()), strict=True)],
-                ["conv_id", "audit", "repaired_sha256"],
-            )
-
         for batch in batches:
+            done = []
             for conv, _, edits, turns in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if conv != now:
                     if now is not ...:
-                        yield done()
+                        done.append((now, "".join(audit), digest.hexdigest()))
                     now, audit, digest, begun = conv, [], hashlib.sha256(), False
                 audit.append(edits)
                 for turn in turns:
                     digest.update(f"{chr(10) * begun}{turn['role']}:{turn['text']}".encode())
                     begun = True
+            yield _table(done, _DIGEST, _DIGEST_KINDS)
         if now is not ...:
-            yield done()
+            yield _table([(now, "".join(audit), digest.hexdigest())], _DIGEST, _DIGEST_KINDS)
 
     return _by_conversation(repaired.select("conv_id", "place", "edits", "turns"), F.col("place")).mapInArrow(
-        of_batches, "conv_id long, audit string, repaired_sha256 string"
+        of_batches, _DIGEST
     )
 
 
