@@ -1,11 +1,14 @@
 import hashlib
 import re
+import time
+from itertools import accumulate
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from zonepulse.llm import chat, secrets
+from zonepulse.llm.common import prefix_sums
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 TEXTS = [
@@ -96,6 +99,45 @@ def test_boolean_queries_and_postings(spark, make_docs):
     assert {(r.rule, r.h) for r in left.collect()} == {(0, hashes["a Token"]), (1, hashes["AKIA"]), (1, hashes["AKI KIA"])}
 
 
+JWT = "eyJhbGciOiJI.eyJzdWIiOiIx.abcDEF_-123"
+
+
+def test_rules_beside_the_base_ones_leave_the_base_digest(make_docs):
+    rules = secrets.RULES + secrets.MORE_RULES
+    assert all(secrets.trigram_query(r) for r in secrets.MORE_RULES)
+    texts = ["-----BEGIN RSA PRIVATE KEY----- x -----BEGIN PRIVATE KEY-----", f"token={JWT}", "ghp_" + "a1B2" * 9,
+             "ghx_" + "a1B2" * 9, "xoxb-0123456789ab, sk_live_0123456789abcdef", "-----BEGIN PUBLIC KEY-----", "eyJ.eyJ.", None]
+    got = {r.doc_id: r for r in secrets.report(secrets.scan(make_docs(list(enumerate(texts))), rules), rules).collect()}
+    for i, text in enumerate(texts):
+        more = [
+            (m.start(), k, m.end())
+            for k, rule in enumerate(secrets.MORE_RULES, 3)
+            for m in re.finditer(rule.pattern, text or "")
+        ]
+        named = [f"{rules[k].kind}:{a}:{b}" for a, k, b in more]
+        assert got[i].base_sha256 == hashlib.sha256(brute(text).encode()).hexdigest()
+        assert sorted(got[i].spans.split(",")) == sorted(",".join([*filter(None, [brute(text)]), *named]).split(","))
+    assert (got[0].n_key_header, got[1].n_signed, got[2].n_service, got[3].n_service, got[4].n_service) == (2, 1, 1, 0, 2)
+
+
+def test_very_many_matches_in_one_text_take_linear_time(make_docs):
+    times = []
+    for n in (50_000, 50_000, 100_000):  # the first also compiles
+        docs = make_docs([(1, "0123456789abcdef " * n)])
+        start = time.monotonic()
+        scanned = secrets.scan(docs).select(F.size("spans").alias("n"), F.element_at("spans", -1)["end"].alias("end")).first()
+        times.append(time.monotonic() - start)
+        assert (scanned.n, scanned.end) == (n, 17 * n - 1)
+    assert times[2] < 30 and times[2] < 3.5 * times[1] + 2
+
+
+def test_prefix_sums(spark):
+    lists = [list(range(1, n + 1)) for n in (0, 1, 2, 3, 4, 5, 8, 9, 1000)] + [[0, 7, 0]]
+    got = spark.createDataFrame([(x,) for x in lists], "x array<int>").select("x", prefix_sums(F.col("x")).alias("s")).collect()
+    assert len(got) == len(lists)
+    assert all(r.s == list(accumulate(r.x)) for r in got)
+
+
 def test_scan_of_empty_table_and_clashing_columns(make_docs, clashing):
     assert secrets.scan(make_docs([])).count() == 0
     assert secrets.report(secrets.scan(clashing([(1, TEXTS[3])]))).first().n_assign == 1
@@ -126,5 +168,11 @@ def test_round_trip_and_loss(spark):
         assert all(c not in s.text for s in r.segments[1::3] for c in chat.CHAT.controls)
 
 
+def test_rows_without_a_conversation_stand_alone(spark):
+    rows = [(None, t, "user", str(t), 0, "") for t in (1, 2, 2)] + [(None, 2, "user", "2", 0, ""), (5, 1, "user", "x", 0, "")]
+    done = chat.digests(chat.format_conversations(conversation(spark, rows).repartition(2))).collect()
+    assert sorted((r.conv_id or 0, r.n_turns) for r in done) == [(0, 1)] * 4 + [(5, 1)]
+
+
 def test_no_conversations(spark):
     assert chat.digests(chat.format_conversations(conversation(spark, []))).count() == 0

@@ -12,8 +12,8 @@ again restores the text, whatever it held. Role names stand URL-encoded in the
 header.
 
 Defined cases: rows go by turn, then role, then text, nulls first; a null
-text or role is empty; rows with a null conv_id form one conversation; every
-conversation is formatted, an invalid one is only marked; an empty table gives
+text or role is empty; a row with a null conv_id is a conversation of its own,
+so they never gather in one task; every conversation is formatted, an invalid one is only marked; an empty table gives
 an empty result; other columns are ignored. A conversation is one value of the
 result, hence one row of one task.
 """
@@ -26,6 +26,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from zonepulse.llm.common import prefix_sums
+
 
 @dataclass(frozen=True)
 class Template:
@@ -83,9 +85,9 @@ def state_after(roles: Column, t: Template = CHAT) -> Column:
 def format_conversations(rows: DataFrame, t: Template = CHAT) -> DataFrame:
     """conv_id, segments (text, loss), formatted, loss_spans (start, end in
     code points, end exclusive), valid."""
-    turns = rows.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")))).alias("turns")
-    )
+    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    named = rows.where(F.col("conv_id").isNotNull()).groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    turns = named.unionByName(rows.where(F.col("conv_id").isNull()).select("conv_id", F.array(turn).alias("turns")))
 
     def segment(text: Column, loss: Column) -> Column:
         return F.struct(text.alias("text"), loss.alias("loss"))
@@ -102,20 +104,10 @@ def format_conversations(rows: DataFrame, t: Template = CHAT) -> DataFrame:
         F.flatten(F.transform("turns", of_turn)).alias("segments"),
         state_after(F.transform("turns", lambda x: x["role"]), t).isin(*t.accept).alias("valid"),
     )
-    none = F.array().cast("array<struct<start:int,end:int>>")
-    spans = F.aggregate(
-        "segments",
-        F.struct(F.lit(0).alias("at"), none.alias("spans")),
-        lambda a, s: F.struct(
-            (a["at"] + F.length(s["text"])).alias("at"),
-            F.when(
-                s["loss"],
-                F.concat(a["spans"], F.array(F.struct(a["at"].alias("start"), (a["at"] + F.length(s["text"])).alias("end")))),
-            )
-            .otherwise(a["spans"])
-            .alias("spans"),
-        ),
-        lambda a: a["spans"],
+    ends = prefix_sums(F.transform("segments", lambda s: F.length(s["text"])))
+    spans = F.transform(
+        F.filter(F.arrays_zip(F.col("segments").alias("segment"), ends.alias("end")), lambda x: x["segment"]["loss"]),
+        lambda x: F.struct((x["end"] - F.length(x["segment"]["text"])).alias("start"), x["end"].alias("end")),
     )
     return cut.select(
         "conv_id",
@@ -142,9 +134,7 @@ def read_back(formatted: Column, t: Template = CHAT) -> Column:
 
 def digests(formatted: DataFrame, t: Template = CHAT) -> DataFrame:
     """What the output says, read back from it."""
-    loss = F.array_join(
-        F.transform("loss_spans", lambda s: unescaped(F.substring(F.col("formatted"), s["start"] + 1, s["end"] - s["start"]), t)), ""
-    )
+    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescaped(s["text"], t)), "")
     read = formatted.select("conv_id", "formatted", "valid", read_back(F.col("formatted"), t).alias("turns"), loss.alias("loss"))
     lines = F.array_join(F.transform("turns", lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n"))), "")
     return read.select(

@@ -59,6 +59,30 @@ def _bit(h: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(h, F.lit(64)).cast("int"))
 
 
+def prefix_sums(numbers: Column) -> Column:
+    """Sums of an int array up to and with each place, by doubling: n log n
+    steps for n numbers, where ``aggregate`` with a growing array takes n^2."""
+    doublings = F.ceil(F.log2(F.size(numbers))).cast("int")
+    steps = F.when(
+        F.size(numbers) > 1,
+        F.transform(F.sequence(F.lit(0), doublings - 1), lambda k: F.call_function("shiftleft", F.lit(1), k)),
+    ).otherwise(F.array().cast("array<int>"))
+
+    def further(sums: Column, step: Column) -> Column:
+        moved = F.concat(
+            F.array_repeat(F.lit(0), F.least(step, F.size(sums))),
+            F.slice(sums, F.lit(1), F.greatest(F.size(sums) - step, F.lit(0))),
+        )
+        return F.zip_with(sums, moved, lambda a, b: a + b)
+
+    return F.aggregate(steps, numbers, further)
+
+
+def bound(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often it stands there."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def member_filter(hashes: DataFrame, h: str, bits: int = FILTER_BITS) -> DataFrame:
     """A Bloom filter with one hash function over the long column ``h``, as
     rows (word, mask). The union over tasks is a map-side combined bit_or;

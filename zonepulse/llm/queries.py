@@ -50,7 +50,8 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.report(secrets.scan(read(spark, sf_dir, "documents")))
+    rules = secrets.RULES + secrets.MORE_RULES
+    return secrets.report(secrets.scan(read(spark, sf_dir, "documents"), rules), rules)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,21 +131,32 @@ _SPANS = " UNION ALL ".join(
             ("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
             ("access", "AKIA[A-Z0-9]+", 0, 18),
             ("hex", "[0-9a-f]+", 0, 16),
+            ("key_header", "-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", 0, 0),
+            (
+                "service",
+                "(?:(?:ghp_|gho_|ghu_|ghs_|ghr_)[A-Za-z0-9]{36,}|xox[abp]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})",
+                0,
+                0,
+            ),
+            ("signed", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 0),
         )
     )
 )
 
+_KINDS = ("assign", "access", "hex", "key_header", "service", "signed")
+_COUNTED = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in _KINDS)
+_COUNTS = ", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in _KINDS)
+
 ORACLE_SQL: dict[str, str] = {
     "op5_secret_scan": f"""
         WITH d AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS t FROM documents),
         m AS ({_SPANS}),
         s AS (
             SELECT row, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) AS spans,
-                   count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
-                   count(*) FILTER (kind = 'hex') AS n_hex
+                   string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, place) FILTER (place < 3) AS base,
+                   {_COUNTED}
             FROM m GROUP BY row)
-        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
-               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        SELECT doc_id, {_COUNTS}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
         FROM d LEFT JOIN s USING (row)""",
     "op4_exact_topk": """
         WITH v AS (
@@ -196,7 +208,7 @@ ORACLE_SQL: dict[str, str] = {
             UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
             UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
         e AS (
-            SELECT *, regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\])',
+            SELECT *, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone, regexp_replace(text, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|INST\]|/INST\])',
                                      '\1\\\2\3', 'g') AS escaped FROM c),
         g AS (
             SELECT conv_id, count(*) AS n_turns,
@@ -205,7 +217,7 @@ ORACLE_SQL: dict[str, str] = {
                    sum(12 + length(url_encode(role)) + 1 + length(escaped) + 11)::BIGINT AS formatted_chars,
                    string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
                               ORDER BY turn NULLS FIRST, role, text) AS roles
-            FROM e GROUP BY conv_id)
+            FROM e GROUP BY conv_id, lone)
         SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars,
                sha256(loss) AS loss_sha256, formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid
         FROM g""",

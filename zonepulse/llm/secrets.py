@@ -5,7 +5,7 @@ from the parsed expression: an OR of ANDs of trigrams that every match holds.
 The index holds, for the trigrams of all queries, posting lists of text hashes,
 cut into blocks by hash so that no list outgrows a task. Queries intersect and
 unite postings block by block; the hashes they leave are candidates, folded
-into one filter of fixed size per rule, and the second scan verifies flagged
+into one filter of fixed size over (rule, hash), and the second scan verifies flagged
 texts with the regex in place, so no text ever shuffles. A rule without
 mandatory trigrams scans every text. A filter that fills up only sends more
 texts to the regex.
@@ -28,7 +28,7 @@ from re import _parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from zonepulse.llm.common import FILTER_BITS, member_filter, probe, stored, text_of
+from zonepulse.llm.common import FILTER_BITS, bound, member_filter, prefix_sums, probe, stored, text_of
 
 #: Rows per block of the index, and blocks at least.
 BLOCK_ROWS = 65_536
@@ -61,6 +61,16 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{14,}"),
     Rule("hex", r"[0-9a-f]{16,}"),
 )
+#: Rules beside the base ones: headers of private keys, tokens of hosting, chat
+#: and payment services, signed web tokens.
+MORE_RULES = (
+    Rule("key_header", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----"),
+    Rule(
+        "service",
+        r"(?:(?:ghp_|gho_|ghu_|ghs_|ghr_)[A-Za-z0-9]{36,}|xox[abp]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})",
+    ),
+    Rule("signed", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+)
 
 Query = set[frozenset[str]]
 #: The query that every text answers.
@@ -188,35 +198,25 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 def spans(text: Column, rule: Rule, place: int) -> Column:
     """Leftmost non-overlapping matches that pass, as (start, place, end)."""
     pattern = F.lit(rule.pattern)
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    shown = found if rule.group == 0 else F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    between = F.split(text, rule.pattern)
-    whole = F.arrays_zip(found.alias("found"), shown.alias("shown"), F.slice(between, 1, F.size(found)).alias("before"))
-    empty = F.array().cast("array<struct<start:int,place:int,end:int>>")
-    return F.aggregate(
-        whole,
-        F.struct(F.lit(0).alias("at"), empty.alias("out")),
-        lambda a, m: F.struct(
-            (a["at"] + F.length(m["before"]) + F.length(m["found"])).alias("at"),
-            F.when(
-                F.length(m["shown"]) >= rule.least,
-                F.concat(
-                    a["out"],
-                    F.array(
-                        F.struct(
-                            (a["at"] + F.length(m["before"])).alias("start"),
-                            F.lit(place).alias("place"),
-                            (a["at"] + F.length(m["before"]) + F.length(m["found"])).alias("end"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(a["out"])
-            .alias("out"),
-        ),
-        lambda a: a["out"],
+    parts = F.struct(
+        F.regexp_extract_all(text, pattern, F.lit(0)).alias("found"),
+        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("shown"),
+        F.split(text, rule.pattern).alias("between"),
     )
 
+    def passing(p: Column) -> Column:
+        before = F.slice(p["between"], F.lit(1), F.size(p["found"]))
+        ends = prefix_sums(F.zip_with(before, p["found"], lambda b, f: F.length(b) + F.length(f)))
+        matches = F.arrays_zip(ends.alias("end"), p["found"].alias("found"), p["shown"].alias("shown"))
+        return F.transform(
+            F.filter(matches, lambda m: F.length(m["shown"]) >= rule.least),
+            lambda m: F.struct(
+                (m["end"] - F.length(m["found"])).alias("start"), F.lit(place).alias("place"), m["end"].alias("end")
+            ),
+        )
+
+    return bound(parts, passing)
+
 
 def scan(
     docs: DataFrame,
@@ -229,12 +229,14 @@ def scan(
     in ``rules``, end), by start, then place."""
     texts = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("_text"))
     left = stored(candidates(postings(texts, rules, docs.count()), rules), "secret-candidates")
+    members = stored(member_filter(left.select(F.xxhash64("h", "rule").alias("k")), "k", bits), "secret-filter")
     flagged = texts.withColumn("_h", _text_hash())
     none = F.array().cast("array<struct<start:int,place:int,end:int>>")
     found = []
     for i, rule in enumerate(rules):
         if trigram_query(rule):
-            flagged = probe(flagged, "_h", member_filter(left.where(F.col("rule") == i), "h", bits), f"_maybe{i}", bits)
+            # The rules share one broadcast filter.
+            flagged = probe(flagged.withColumn("_k", F.xxhash64("_h", F.lit(i))), "_k", members, f"_maybe{i}", bits)
             asked = F.col(f"_maybe{i}")
         else:
             asked = F.col("_text").rlike(rule.pattern)
@@ -242,18 +244,25 @@ def scan(
     return flagged.select("doc_id", F.array_sort(F.concat(*found)).alias("spans"))
 
 
-def report(scanned: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """doc_id, n_<kind> for each rule, the joined spans and their digest."""
+def report(scanned: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(RULES)) -> DataFrame:
+    """doc_id, n_<kind> for each rule, the digest of the joined spans of the
+    first ``base`` rules and the joined spans of all."""
     kinds = F.array(*[F.lit(r.kind) for r in rules])
-    joined = F.array_join(
-        F.transform(
-            "spans",
-            lambda s: F.concat_ws(":", F.element_at(kinds, s["place"] + 1), s["start"].cast("string"), s["end"].cast("string")),
-        ),
-        ",",
-    )
+
+    def joined(found) -> Column:
+        return F.array_join(
+            F.transform(
+                found,
+                lambda s: F.concat_ws(":", F.element_at(kinds, s["place"] + 1), s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
     places = F.transform("spans", lambda s: s["place"])
     counts = [
         F.size(F.filter(places, lambda p: p == F.lit(i))).cast("long").alias(f"n_{r.kind}") for i, r in enumerate(rules)
     ]
-    return scanned.select("doc_id", *counts, F.sha2(joined.cast("binary"), 256).alias("base_sha256"), joined.alias("spans"))
+    of_base = joined(F.filter("spans", lambda s: s["place"] < base))
+    return scanned.select(
+        "doc_id", *counts, F.sha2(of_base.cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
