@@ -195,11 +195,18 @@ def histogram(df: DataFrame, column: str, width: float) -> DataFrame:
     )
 
 
+def _correlation(a: str, b: str) -> Column:
+    """Over the rows where both have a value. NULL where one of them does not
+    vary (``F.corr`` divides by zero there in ANSI mode)."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def feature_correlation(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every column pair, one scan."""
     pairs = list(combinations(columns, 2))
     exprs = [
-        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.corr(a, b).alias("corr"))
+        F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), _correlation(a, b).alias("corr"))
         for a, b in pairs
     ]
     return df.agg(F.array(*exprs).alias("_c")).select(F.inline("_c"))

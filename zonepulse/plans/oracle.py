@@ -265,6 +265,34 @@ def _correlation() -> str:
     return with_(RAW_B, DERIVED, SILVER, ZF) + "\nUNION ALL\n".join(parts)
 
 
+RANKED = ("trip_distance", "trip_duration_min", "fare_amount", "tip_amount", "avg_speed_mph")
+
+
+def _rank_correlation() -> str:
+    """Mean ranks: the rank of a value plus half of its further occurrences."""
+    there = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in RANKED)
+    ranks = ", ".join(
+        f"rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1) / CAST(2.0 AS DOUBLE) AS {c}" for c in RANKED
+    )
+    parts = [
+        f"SELECT '{a}' AS \"left\", '{b}' AS \"right\", ROUND(corr({a}, {b}), 6) AS corr FROM ranked"
+        for i, a in enumerate(RANKED)
+        for b in RANKED[i + 1:]
+    ]
+    return SB.rstrip() + f",\nranked AS (SELECT {ranks} FROM silver WHERE {there})\n" + "\nUNION ALL\n".join(parts)
+
+
+# What any sketch within its bound gives.
+SKETCHED_QUANTILES = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS measure, quantile, count({c}) AS n, true AS within_bound "
+    "FROM silver, (SELECT unnest([0.5, 0.75, 0.9])::DOUBLE AS quantile) GROUP BY quantile"
+    for c in ("trip_distance", "trip_duration_min", "fare_amount")
+)
+SKETCHED_DISTINCT = "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS key, count(DISTINCT {c}) AS exact, true AS within_bound FROM silver"
+    for c in ("pickup_location_id", "dropoff_location_id")
+)
+
 WINDOW_ALERTS = """WITH c AS (
   SELECT user_id AS pickup_location_id, date_trunc('hour', ts) AS window_start, count(*) AS trip_count
   FROM events WHERE user_id IS NOT NULL AND user_id > 0
@@ -436,6 +464,9 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT CAST(floor(trip_distance / CAST(5.0 AS DOUBLE)) * CAST(5.0 AS DOUBLE) AS DOUBLE) AS bin_start, "
     "count(*) AS trips FROM silver WHERE trip_distance IS NOT NULL AND NOT isnan(trip_distance) GROUP BY 1",
     "feature_correlation": _correlation(),
+    "rank_correlation": _rank_correlation(),
+    "sketched_quantiles": SB + SKETCHED_QUANTILES,
+    "sketched_distinct": SB + SKETCHED_DISTINCT,
     # streaming (batch equivalent)
     "window_alerts_batch": WINDOW_ALERTS,
     "stream_demand_alerts": WINDOW_ALERTS,

@@ -15,9 +15,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonepulse.operators import clean, cluster, demand, insights, profile, zones
+from zonepulse.operators import clean, cluster, demand, insights, profile, ranks, zones
 from zonepulse.operators.cluster import cluster_zones, sweep_frame
-from zonepulse.plans import inputs, refresh
+from zonepulse.plans import inputs, refresh, sketches
 from zonepulse.plans.medallion import write_silver
 from zonepulse.session import scratch_dir
 from zonepulse.sources.sinks import bronze_clone, write_and_check
@@ -432,6 +432,44 @@ def q_feature_correlation(spark, sf):
     return profile.feature_correlation(zones.zone_features(_silver(spark, sf)), zones.FEATURE_COLUMNS)
 
 
+#: Trip measures whose relations are reported.
+RANKED = ("trip_distance", "trip_duration_min", "fare_amount", "tip_amount", "avg_speed_mph")
+
+
+def q_rank_correlation(spark, sf):
+    """Spearman correlation of the trip measures over all trips."""
+    return ranks.rank_correlation(_silver(spark, sf), RANKED)
+
+
+def _sketched(spark, sf):
+    """Monthly sketches, delivered in two parts."""
+    raw = inputs.raw_trips(spark, sf)
+    store = f"{scratch_dir(spark, 'sketches')}/store"
+    odd = F.col("year") % 2 == 1
+    sketches.refresh_sketches(raw.where(~odd | odd.isNull()), store, refresh.MONTH)
+    return sketches.refresh_sketches(raw.where(odd), store, refresh.MONTH)
+
+
+def q_sketched_quantiles(spark, sf):
+    """Quantiles from merged monthly KLL sketches, with their rank error
+    measured against all trips."""
+    return sketches.measured_quantiles(
+        _sketched(spark, sf), _silver(spark, sf), sketches.MEASURES, (0.5, 0.75, 0.9), sketches.rank_error()
+    )
+
+
+def q_sketched_distinct(spark, sf):
+    """Distinct zones from merged monthly HLL sketches, beside the exact
+    numbers."""
+    store, silver = _sketched(spark, sf), _silver(spark, sf)
+    found = [
+        sketches.merged_distinct(store, key).withColumn("exact", silver.agg(F.count_distinct(key)).scalar())
+        for key in sketches.KEYS
+    ]
+    error = F.abs(F.col("distinct_values") - F.col("exact")) <= F.col("exact") * sketches.distinct_error()
+    return found[0].unionByName(found[1]).select("key", "exact", error.alias("within_bound"))
+
+
 # -- streaming -------------------------------------------------------------------
 
 def q_window_alerts_batch(spark, sf):
@@ -573,6 +611,9 @@ QUERIES: dict[str, Query] = {
     "distribution_summary": _q(q_distribution_summary, keep=("value",)),
     "distance_histogram": _q(q_distance_histogram),
     "feature_correlation": _q(q_feature_correlation),
+    "rank_correlation": _q(q_rank_correlation),
+    "sketched_quantiles": _q(q_sketched_quantiles),
+    "sketched_distinct": _q(q_sketched_distinct),
     # streaming
     "window_alerts_batch": _q(q_window_alerts_batch),
     "stream_demand_alerts": _q(q_stream_demand_alerts),
