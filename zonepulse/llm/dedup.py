@@ -5,8 +5,9 @@ one space. Pass 1 spreads 64-bit hashes of all texts over a bit space of some
 64 bits per row, kept as (word, mask, rows) and combined on the map side: a
 word that got more rows than it has bits set holds a repeated bit. Pass 2
 folds those words into a filter of fixed size, broadcasts it and marks every
-row whose hash is possibly repeated. Only marked rows shuffle; the rest pass
-straight through. A filter that fills up marks more rows and changes no result.
+row whose hash is possibly repeated. What pass 1 shuffles is a word, a mask and
+a count for nearly every row, never a text or an id; in pass 2 only marked rows
+shuffle and the rest pass straight through. A filter that fills up marks more rows and changes no result.
 
 Defined cases: a null text counts as empty, and all empty texts are one
 group. A null id never wins over a number; a group of null ids only has a null
