@@ -422,6 +422,9 @@ ORACLE_SQL: dict[str, str] = {
     "trips_with_cluster": GB
     + "SELECT silver.*, g.prediction FROM silver LEFT JOIN "
     "(SELECT pickup_location_id AS k, prediction FROM gold) g ON silver.pickup_location_id = g.k",
+    "trips_with_cluster_bucketed": GB
+    + "SELECT silver.*, g.prediction FROM silver LEFT JOIN "
+    "(SELECT pickup_location_id AS k, prediction FROM gold) g ON silver.pickup_location_id = g.k",
     "cluster_hourly_demand": GB
     + "SELECT hour_of_day, count(*) AS trip_count FROM silver JOIN gold USING (pickup_location_id) "
     "WHERE prediction = 0 GROUP BY hour_of_day",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.operators import clean, cluster, demand, insights, profile, ranks, zones
 from zonepulse.operators.cluster import cluster_zones, sweep_frame
-from zonepulse.plans import inputs, refresh, sketches
+from zonepulse.plans import buckets, inputs, refresh, sketches
 from zonepulse.plans.medallion import write_silver
 from zonepulse.session import scratch_dir
 from zonepulse.sources.sinks import bronze_clone, write_and_check
@@ -274,6 +274,17 @@ def _on_gold(op, **kw):
     return run
 
 
+def q_trips_with_cluster_bucketed(silver, gold):
+    """J2 of a layer that was written once, bucketed by zone, and read for the
+    join without an exchange; zones beyond 1/16 of the trips are split."""
+    rows_per_part = max(1, silver.count() // 16)
+    key = "pickup_location_id"
+    layer, dim = buckets.scratch_tables(
+        silver, key, insights.cluster_keys(gold), key, buckets=16, rows_per_part=rows_per_part
+    )
+    return buckets.bucketed_join(layer, dim, key)
+
+
 def _on_silver_gold(op, **kw):
     def run(spark, sf):
         return op(_silver(spark, sf), _gold(spark, sf), **kw)
@@ -584,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "trips_threshold": _q(_on_gold(insights.trips_threshold)),
     "hotspots": _q(_on_gold(insights.hotspots)),
     "trips_with_cluster": _q(_on_silver_gold(insights.trips_with_cluster), keep=True),
+    "trips_with_cluster_bucketed": _q(_on_silver_gold(q_trips_with_cluster_bucketed), keep=True),
     "cluster_hourly_demand": _q(_on_silver_gold(insights.cluster_hourly_demand)),
     "demand_threshold": _q(_on_silver(insights.demand_threshold)),
     "demand_alerts": _q(_on_silver(insights.demand_alerts)),
