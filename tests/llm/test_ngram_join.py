@@ -3,7 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from zonepulse.llm import components, ngram_join
+from zonepulse.llm import components, hashing, ngram_join
 
 
 def sets_of(rows):
@@ -113,3 +113,29 @@ def test_components_of_a_path_a_hub_and_a_loop(spark):
 def test_empty_table(make_docs):
     assert ngram_join.join(make_docs([])).count() == 0
     assert ngram_join.dedup_near(make_docs([])).count() == 0
+
+
+def test_pieces_of_a_long_text_change_nothing(monkeypatch):
+    texts = ["", " \n", "one", "a b c d", "a b c d e", "a  b\tc d e f", "z " * 300, " ".join(f"w{k % 70}" for k in range(400)), "y" * 900, "q " + "y" * 900]
+
+    def made():
+        for t in texts:
+            data = np.frombuffer(t.encode(), np.uint8)
+            sets, begins = ngram_join.ngram_sets(data, np.array([0, len(data)]))
+            yield sets.tolist(), ngram_join.set_keys(sets, begins), ngram_join.signatures(sets, begins).tolist()
+
+    whole = list(made())
+    assert [len(s) for s, *_ in whole][:6] == [0, 0, 1, 1, 1, 2] and len(whole[7][0]) == 70
+    # All rows of one slice, whose stretches end inside the sets.
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    together = ngram_join.ngram_sets(data, np.cumsum([0, *map(len, texts)]))
+    values = ngram_join.signatures(*together)
+    for piece, cells in ((1, 1), (10, 3), (100, 64)):
+        monkeypatch.setattr(hashing, "PIECE_BYTES", piece)
+        monkeypatch.setattr(hashing, "STRETCH", 64 * piece if piece < 100 else 16)
+        monkeypatch.setattr(hashing, "_UP", hashing._powers(hashing.BASE, hashing.STRETCH))
+        monkeypatch.setattr(hashing, "_DOWN", hashing._powers(hashing.INVERSE, hashing.STRETCH))
+        monkeypatch.setattr(ngram_join, "CELLS", cells)
+        assert list(made()) == whole
+        assert (ngram_join.signatures(*together) == values).all()
+        assert ngram_join.set_keys(*together) == [k for _, (k,), _ in whole]

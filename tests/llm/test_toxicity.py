@@ -1,8 +1,9 @@
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
-from zonepulse.llm import toxicity
+from zonepulse.llm import hashing, toxicity
 
 
 def made(n, seed=0):
@@ -106,3 +107,67 @@ def test_each_labelled_row_calibrates_once(spark, make_docs, monkeypatch):
     toxicity.train(docs, labelled(spark, [*range(240), None, 7], [*map(int, labels), 1, int(labels[7])]), sample=60, steps=20)
     own = [i for i in range(240) if zlib.crc32(str(i).encode()) % 4 != 2]
     assert list(seen) == ["en"] and seen["en"].sum(axis=1).tolist() == [len(own), sum(labels[own])]
+
+
+def plain_hash(data, seed=0):
+    """The hash of one word, byte by byte."""
+    x = sum((b + 1) * hashing.BASE**i for i, b in enumerate(data)) % 2**64 ^ seed
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        x = (x ^ (x >> 33)) * factor % 2**64
+    return x ^ (x >> 33)
+
+
+def plain_logit(model, text):
+    """Hashing, convolution and max pooling word by word."""
+    words = re.findall(rb"[0-9A-Za-z\x80-\xff]+", (text or "").encode())
+    x = []
+    for w in words:
+        w = bytes(b + 32 if 65 <= b <= 90 else b for b in w)
+        stem = plain_hash(w[: toxicity.PREFIX_BYTES], 0x5BD1E995)
+        x.append(
+            model.words[model.word_row[plain_hash(w) % toxicity.BUCKETS]].astype(float)
+            + model.stems[model.stem_row[stem % toxicity.BUCKETS]]
+        )
+    features = []
+    for width, filters in zip(toxicity.WIDTHS, model.filters):
+        for f in range(toxicity.FILTERS):
+            best = 0.0
+            for i in range(len(x)):
+                z = float(model.bias[len(features)])
+                for k in range(min(width, len(x) - i)):
+                    z += float(x[i + k] @ filters[k, :, f])
+                best = max(best, z)
+            features.append(best)
+    return float(np.dot(features, model.out)) + model.out_bias
+
+
+def test_scores_match_a_plain_loop_and_pieces_change_nothing(monkeypatch):
+    texts, labels = made(400, 6)
+    model = toxicity.fit(pa.array(texts), labels, ["en"] * 400, steps=150)
+    given = [*texts[:25], None, "", "...", "Zwort", "zwort, KQAL", "\u00fcber qqxqab \u4f60\u597d", "a" * 300 + " kqal", " ".join(texts[30:40]), "x" * 700]
+    want = np.array([plain_logit(model, t) for t in given])
+    assert np.allclose(toxicity.logits(model, pa.array(given)), want, atol=1e-4)
+    for piece in (1, 7, 64, 500):
+        monkeypatch.setattr(hashing, "PIECE_BYTES", piece)
+        monkeypatch.setattr(hashing, "SLICE_BYTES", 1)
+        long = [toxicity.logits(model, pa.array([t], pa.string()))[0] for t in given]
+        assert np.allclose(long, want, atol=1e-4)
+
+
+def test_bytes_of_the_sample_are_bounded(spark, make_docs, monkeypatch):
+    texts, labels = made(240, 8)
+    docs = make_docs([*enumerate(texts), (900, "kqal " * 5_000), (901, None)])
+    truth = labelled(spark, [*range(240), 900, 901], [*map(int, labels), 1, 0])
+    seen = []
+    fit_parts = toxicity._fit_parts
+    monkeypatch.setattr(toxicity, "_fit_parts", lambda spark, texts, y, steps: seen.append(texts) or fit_parts(spark, texts, y, steps))
+    monkeypatch.setattr(toxicity, "SAMPLE_TEXT_BYTES", 10_000)
+    monkeypatch.setattr(toxicity, "SAMPLE_BYTES", 15_000)
+    counted = {}
+    thresholds = toxicity._thresholds
+    monkeypatch.setattr(toxicity, "_thresholds", lambda model, counts: counted.update(counts) or thresholds(model, counts))
+    toxicity.train(docs, truth, steps=20)
+    sizes = [len((t or "").encode()) for t in seen[0].to_pylist()]
+    assert 5_000 < sum(sizes) <= 15_000 and max(sizes) <= 10_000
+    own = [i for i in [*range(240), 900, 901] if zlib.crc32(str(i).encode()) % 4 != 2]
+    assert sum(c[0].sum() for c in counted.values()) == len(own)

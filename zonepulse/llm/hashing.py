@@ -11,8 +11,10 @@ import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15  # odd, hence invertible modulo 2**64
 INVERSE = pow(BASE, -1, 1 << 64)
-#: Bytes of text that are worked on at once (a longer text is one piece).
+#: Bytes of text that are worked on at once.
 SLICE_BYTES = 1 << 18
+#: A longer text is worked on in pieces of about so many bytes.
+PIECE_BYTES = 1 << 20
 
 #: Words are what stands between white space of the contracts.
 SPACED = np.array([not (b == 0x20 or 9 <= b <= 13) for b in range(256)])
@@ -41,14 +43,32 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-class _Powers:
-    up = _powers(BASE, 1)
-    down = _powers(INVERSE, 1)
+#: Bytes whose prefix sums are held at once, and the powers of BASE for them.
+STRETCH = SLICE_BYTES
+_UP, _DOWN = _powers(BASE, STRETCH), _powers(INVERSE, STRETCH)
+
+
+def _sums_at(data: np.ndarray, fold: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """The prefix sums before the ascending ``places``, stretch by stretch."""
+    out = np.zeros(len(places), np.uint64)
+    before = np.uint64(0)
+    for at in range(0, len(data), STRETCH):
+        part = data[at : at + STRETCH]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((fold[part].astype(np.uint64) + np.uint64(1)) * _UP[: len(part)], out=sums[1:])
+        sums = sums * np.uint64(pow(BASE, at, 1 << 64)) + before
+        a, b = np.searchsorted(places, (at, at + len(part)), "left")
+        out[a:b] = sums[places[a:b] - at]
+        before = sums[-1]
+    out[np.searchsorted(places, len(data), "left") :] = before
+    return out
+
 
-    @classmethod
-    def reach(cls, n: int) -> None:
-        if len(cls.up) < n:
-            cls.up, cls.down = _powers(BASE, n), _powers(INVERSE, n)
+def _inverse_powers(places: np.ndarray) -> np.ndarray:
+    """INVERSE to the power of each place."""
+    whole = places // STRETCH
+    tops = np.array([pow(INVERSE, STRETCH * k, 1 << 64) for k in range(int(whole.max(initial=0)) + 1)], np.uint64)
+    return _DOWN[places - whole * STRETCH] * tops[whole]
 
 
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -79,13 +99,32 @@ def word_hashes(
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
     stops = np.flatnonzero(last) + 1
-    _Powers.reach(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((fold[data].astype(np.uint64) + np.uint64(1)) * _Powers.up[: len(data)], out=sums[1:])
-    scale = _Powers.down[starts]
-    words = mixed((sums[stops] - sums[starts]) * scale)
+    scale = _inverse_powers(starts)
+    at_starts = _sums_at(data, fold, starts)
+    words = mixed((_sums_at(data, fold, stops) - at_starts) * scale)
     begins = np.searchsorted(starts, offsets)
     short = None
     if prefix:
-        short = mixed((sums[np.minimum(stops, starts + prefix)] - sums[starts]) * scale, 0x5BD1E995)
+        short = mixed((_sums_at(data, fold, np.minimum(stops, starts + prefix)) - at_starts) * scale, 0x5BD1E995)
     return words, begins, short
+
+
+def is_long(offsets: np.ndarray) -> bool:
+    """Whether a slice is one text that is better worked on in pieces."""
+    return len(offsets) == 2 and int(offsets[1]) > PIECE_BYTES
+
+
+def word_pieces(
+    data: np.ndarray, in_word: np.ndarray, fold: np.ndarray = SAME, prefix: int = 0
+) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    """``word_hashes`` of one text, a piece at a time. Pieces end between words,
+    so a single word of any length is in one piece."""
+    at = 0
+    while at < len(data):
+        stop = min(at + PIECE_BYTES, len(data))
+        while stop < len(data) and in_word[data[stop]]:
+            ahead = in_word[data[stop : stop + STRETCH]]
+            stop += int(np.argmin(ahead)) if not ahead.all() else len(ahead)
+        words, _, short = word_hashes(data[at:stop], np.array([0, stop - at]), in_word, fold, prefix)
+        yield words, short
+        at = stop

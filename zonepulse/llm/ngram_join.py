@@ -17,7 +17,8 @@ the least member of its part. Sets are made again only for texts that
 survived, found by a filter of fixed size; the parts are joined by
 ``components``.
 
-A pair at or above the threshold is lost only if it agrees in no band (below
+A long text is hashed in pieces between words; its set is held whole (8 bytes a
+distinct n-gram). A pair at or above the threshold is lost only if it agrees in no band (below
 4e-6 at 0.8) or is pruned (``TOLERANCE`` in each step).
 
 Defined cases: a text of fewer words than n is one n-gram, its words; a text
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from zonepulse.llm.common import FILTER_BITS, attach_groups, member_filter, probe, ship, stored, text_of
 from zonepulse.llm.components import components
-from zonepulse.llm.hashing import SPACED, mixed, text_slices, word_hashes
+from zonepulse.llm.hashing import SPACED, is_long, mixed, text_slices, word_hashes, word_pieces
 
 WORDS = 5
 #: A character of a word.
@@ -59,6 +60,8 @@ BLOCK = 256
 #: once (twice as many at most).
 PAIRS_AT_ONCE = 100_000
 PACKET = 512
+#: Cells of sets that MinHash values are taken of at once.
+CELLS = 1 << 18
 
 _VALUES = BANDS * ROWS
 _RNG = np.random.default_rng(20_240_229)
@@ -70,44 +73,90 @@ _COMBINE = np.uint64(0xD6E8FEB86659FD93)
 def ngram_sets(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """The sorted n-gram hashes of every row, one after another, and where
     each row's begin."""
+    if is_long(offsets):
+        own = _long_set(data, n)
+        return own, np.array([0, len(own)])
     words, begins, _ = word_hashes(data, offsets, SPACED)
+    grams = _grams(words, n)
+    sets = []
+    for a, b in zip(begins[:-1], begins[1:], strict=True):
+        sets.append(_distinct(grams[a : b - n + 1].copy()) if b - a >= n else _short_set(words[a:b]))
+    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum([0, *map(len, sets)])
+
+
+def _grams(words: np.ndarray, n: int) -> np.ndarray:
+    """The hash of the n words from each word on that has n - 1 followers."""
     m = max(len(words) - n + 1, 0)
     grams = np.zeros(m, np.uint64)
     for k in reversed(range(n)):
         grams = grams * _COMBINE + words[k : k + m]
-    grams = mixed(grams)
-    sets = []
-    for a, b in zip(begins[:-1], begins[1:], strict=True):
-        if b - a >= n:
-            own = np.sort(grams[a : b - n + 1])
-            sets.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
-        else:
-            one = np.uint64(0)
-            with np.errstate(over="ignore"):
-                for w in words[a:b][::-1]:
-                    one = one * _COMBINE + w
-            sets.append(mixed(np.full(min(1, b - a), one), int(b - a)))
-    return np.concatenate(sets) if sets else np.zeros(0, np.uint64), np.cumsum([0, *map(len, sets)])
+    return mixed(grams)
+
+
+def _short_set(words: np.ndarray) -> np.ndarray:
+    """The one n-gram of a text of fewer words, none without words."""
+    one = np.uint64(0)
+    with np.errstate(over="ignore"):
+        for w in words[::-1]:
+            one = one * _COMBINE + w
+    return mixed(np.full(min(1, len(words)), one), len(words))
+
+
+def _distinct(cells: np.ndarray) -> np.ndarray:
+    """Sorted distinct values; sorts ``cells`` in place."""
+    cells.sort()
+    return cells[np.concatenate((np.ones(min(1, len(cells)), bool), cells[1:] != cells[:-1]))]
+
+
+def _long_set(data: np.ndarray, n: int) -> np.ndarray:
+    """The n-gram hashes of one long text, piece by piece; the last n - 1 words
+    of a piece are carried into the next one."""
+    parts, words = [], np.zeros(0, np.uint64)
+    for more, _ in word_pieces(data, SPACED):
+        words = np.concatenate((words, more))
+        if len(words) >= n:
+            parts.append(_distinct(_grams(words, n)))
+            words = words[len(words) - n + 1 :]
+    if not parts:
+        return _short_set(words)
+    cells = np.concatenate(parts)
+    parts.clear()
+    return _distinct(cells)
 
 
 def set_keys(sets: np.ndarray, begins: np.ndarray) -> list[bytes | None]:
     """128 bits that stand for a whole set; None for the empty one."""
     some = np.flatnonzero(np.diff(begins))
     out: list[bytes | None] = [None] * (len(begins) - 1)
-    if len(some):
-        halves = np.stack([np.add.reduceat(mixed(sets, seed), begins[some]) for seed in (11, 23)], axis=1)
-        for row, half in zip(some, halves.astype(">u8"), strict=True):
-            out[row] = half.tobytes()
+    halves = np.zeros((len(some), 2), np.uint64)
+    for part, lo, hi, edges in _stretches(sets, begins[some]):
+        for side, seed in enumerate((11, 23)):
+            halves[lo:hi, side] += np.add.reduceat(mixed(part, seed), edges)
+    for row, half in zip(some, halves.astype(">u8"), strict=True):
+        out[row] = half.tobytes()
     return out
 
 
+def _stretches(sets: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[np.ndarray, int, int, np.ndarray]]:
+    """(cells, first set, set after the last, where each of those sets begins in
+    the cells): at most ``CELLS`` cells at once. ``firsts`` are the places of
+    the first cells, no set being empty."""
+    for at in range(0, len(sets), CELLS):
+        part = sets[at : at + CELLS]
+        lo = int(np.searchsorted(firsts, at, "right")) - 1
+        hi = int(np.searchsorted(firsts, at + len(part), "left"))
+        yield part, lo, hi, np.maximum(firsts[lo:hi], at) - at
+
+
 def signatures(sets: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """MinHash values (32 bits) of the rows whose sets aren't empty."""
-    some = np.flatnonzero(np.diff(begins))
-    out = np.zeros((len(some), _VALUES), np.uint32)
-    if len(some):
+    """MinHash values (32 bits) of the rows whose sets aren't empty, as least
+    values over stretches of cells."""
+    firsts = begins[:-1][np.diff(begins) > 0]
+    out = np.full((len(firsts), _VALUES), 2**32 - 1, np.uint32)
+    for part, lo, hi, edges in _stretches(sets, firsts):
         for k in range(_VALUES):
-            out[:, k] = np.minimum.reduceat((sets * _FACTORS[k] + _SHIFTS[k]) >> np.uint64(32), begins[some])
+            least = np.minimum.reduceat((part * _FACTORS[k] + _SHIFTS[k]) >> np.uint64(32), edges)
+            out[lo:hi, k] = np.minimum(out[lo:hi, k], least.astype(np.uint32))
     return out
 
 

@@ -5,7 +5,8 @@ bytes (so unseen forms of a known stem are recognised). Filters of several
 widths run over the words, each keeps its maximum over the whole text, and a
 logistic layer weighs the maxima. Training is stochastic gradient descent
 (Adagrad) on the driver over a bounded sample of labelled rows; scoring runs on
-the executors over every whole text, however long.
+the executors over every whole text, however long: a long one is worked on in
+pieces between words, whose maxima are folded.
 
 All labelled rows outside the hold-out calibrate the scores (a scale and an
 offset before the logistic) and one threshold per language: the one with the
@@ -31,14 +32,18 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from zonepulse.llm.common import member_filter, probe, ship, stored
-from zonepulse.llm.hashing import LETTERS, LOWER, text_slices, word_hashes
+from zonepulse.llm.hashing import LETTERS, LOWER, is_long, text_slices, word_hashes, word_pieces
 
 #: Labelled rows that are fetched for training, by hash of the id: the bound.
 SAMPLE_ROWS = 8_000
+#: Bytes of text that are fetched for training, and of one text among them:
+#: what lies beyond stays out of the weights and calibrates all the same.
+SAMPLE_BYTES = 64 << 20
+SAMPLE_TEXT_BYTES = 1 << 18
 #: Parts of the sample; each calibrates with a model of the others.
 CALIBRATE = 5
 #: Calibrating scores are counted in bins, so many to a unit before the
@@ -100,7 +105,11 @@ def _new_model(seed: int = 7) -> Model:
 def buckets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word bucket, stem bucket) of every word, and the words before each row."""
     words, begins, stems = word_hashes(data, offsets, LETTERS, LOWER, PREFIX_BYTES)
-    return (words % np.uint64(BUCKETS)).astype(np.int32), (stems % np.uint64(BUCKETS)).astype(np.int32), begins
+    return _bucket(words), _bucket(stems), begins
+
+
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes % np.uint64(BUCKETS)).astype(np.int32)
 
 
 def _convolved(model: Model, x: np.ndarray) -> np.ndarray:
@@ -143,14 +152,41 @@ def _logits(model: Model, words: np.ndarray, stems: np.ndarray, begins: np.ndarr
     return features @ model.out + model.out_bias
 
 
+def _long_logit(model: Model, data: np.ndarray) -> np.ndarray:
+    """``_logits`` of one long text: maxima over its pieces. The last words of
+    a piece, whose followers are in the next one, are carried into it."""
+    pad = max(WIDTHS) - 1
+    best = np.zeros(len(model.out), np.float32)
+    words = stems = np.zeros(0, np.int32)
+
+    def fold(best: np.ndarray, followed: int) -> np.ndarray:
+        """Maxima with those of the words that are followed by enough others."""
+        if followed <= 0:
+            return best
+        x, _ = _spaced(model, words, stems, np.array([0, len(words)]))
+        return np.maximum(best, _convolved(model, x[: followed + pad]).max(axis=0))
+
+    for w, s in word_pieces(data, LETTERS, LOWER, PREFIX_BYTES):
+        words, stems = np.concatenate((words, _bucket(w))), np.concatenate((stems, _bucket(s)))
+        followed = max(len(words) - pad, 0)
+        best = fold(best, followed)
+        words, stems = words[followed:], stems[followed:]
+    # The text ends here: zero rows follow its last words.
+    best = fold(best, len(words))
+    return best[None] @ model.out + model.out_bias
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
 def logits(model: Model, texts: pa.Array) -> np.ndarray:
     """What enters the logistic before scale and offset."""
-    made = [_logits(model, *buckets(data, offsets)).astype(np.float64) for _, data, offsets in text_slices(texts)]
-    return np.concatenate(made) if made else np.zeros(0)
+    made = [
+        _long_logit(model, data) if is_long(offsets) else _logits(model, *buckets(data, offsets))
+        for _, data, offsets in text_slices(texts)
+    ]
+    return np.concatenate(made).astype(np.float64) if made else np.zeros(0)
 
 
 def scores(model: Model, texts: pa.Array) -> np.ndarray:
@@ -372,8 +408,9 @@ def held_out(id_col: str = "doc_id") -> Column:
 def train(
     docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text", steps: int = STEPS
 ) -> Model:
-    """Weights from at most ``sample`` labelled rows outside the hold-out, those
-    with the smallest hash of the id: a bounded sample that reruns agree on.
+    """Weights from at most ``sample`` labelled rows and ``SAMPLE_BYTES`` of text
+    outside the hold-out, the rows with the smallest hash of the id: a bounded
+    sample that reruns agree on.
     Scale, offset and thresholds from all labelled rows outside the hold-out."""
     truth = labels.where(F.col("toxic").isNotNull()).select(
         F.col("doc_id").cast("long").alias("l_id"), (F.col("toxic") > 0).cast("int").alias("y")
@@ -387,15 +424,19 @@ def train(
     )
     # Repeats are folded before the bound, so no repeated row fills the sample.
     chosen = stored(chosen.distinct().orderBy(*order).limit(sample), "toxicity-sample")
-    rows = (
+    texts = stored(
         docs.select(own, F.struct(F.col(text_col).cast("string").alias("text"), lang.alias("lang")).alias("row"))
         .join(F.broadcast(chosen), "d_id")
         .groupBy("d_id", "y")
-        .agg(F.max("row").alias("row"))
-        .orderBy(*order)
-        .select("row.text", "row.lang", "y")
-        .toArrow()
+        .agg(F.max("row").alias("row")),
+        "toxicity-texts",
     )
+    # At most ``sample`` rows of numbers in this window.
+    size = F.coalesce(F.octet_length("row.text"), F.lit(0)).cast("long")
+    sizes = texts.select("d_id", "y", size.alias("size")).where(F.col("size") <= SAMPLE_TEXT_BYTES)
+    sizes = sizes.withColumn("so_far", F.sum("size").over(Window.orderBy(*order)))
+    chosen = stored(sizes.where(F.col("so_far") <= SAMPLE_BYTES).select("d_id", "y"), "toxicity-chosen")
+    rows = texts.join(F.broadcast(chosen), ["d_id", "y"]).orderBy(*order).select("row.text", "row.lang", "y").toArrow()
     texts = pa.concat_arrays(rows["text"].chunks) if rows.num_rows else pa.array([], pa.string())
     y = rows["y"].to_numpy().astype(np.int64) if rows.num_rows else np.zeros(0, np.int64)
     if (same := _constant(y)) is not None:
