@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, plan_text
-from zonepulse.session import materialize
+from zonepulse.session import materialize, passing_copies, remove_copy, scratch_dir
 from zonepulse.sources.sinks import bronze_clone, readback_check, write_and_check, write_table
 from zonepulse.sources.tables import table_location
 
@@ -58,3 +58,28 @@ def test_catalog_tables_round_trip(spark):
     assert scan(spark, "default.zp_silver_trips").columns == silver.columns
     write_table(silver.limit(5), "default.zp_silver_trips")  # overwrite replaces it
     assert scan(spark, "default.zp_silver_trips").count() == 5
+
+
+def folder(df):
+    return os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
+
+
+def test_copies_of_a_finished_step_are_deleted(spark):
+    kept = scratch_dir(spark, "kept")
+    before = folder(materialize(spark.range(3), "before"))
+    with passing_copies(spark):
+        one = materialize(spark.range(5), "one")
+        with passing_copies(spark):
+            inner = folder(materialize(one.withColumn("x", F.col("id") + 1), "inner"))
+        assert not os.path.exists(inner) and os.path.exists(folder(one))
+        gone = folder(one)
+        one.write.mode("overwrite").parquet(kept)
+    assert not os.path.exists(gone) and os.path.exists(before)
+    assert spark.read.parquet(kept).count() == 5
+    with pytest.raises(ValueError, match="stop"), passing_copies(spark):
+        gone = folder(materialize(spark.range(5), "one"))
+        raise ValueError("stop")
+    assert not os.path.exists(gone)
+    remove_copy(spark, kept)
+    remove_copy(spark, kept)
+    assert not os.path.exists(kept.removeprefix("file:"))

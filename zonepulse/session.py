@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -68,6 +71,10 @@ def build_session(
     return spark
 
 
+#: Folders of the innermost ``passing_copies`` of this thread, if any.
+_passing: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("passing", default=None)
+
+
 def _is_local(spark: SparkSession) -> bool:
     try:
         master = spark.sparkContext.master
@@ -124,18 +131,54 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     The folder is made through Spark's own file system layer, so a path
     without a scheme means the cluster's default file system, never the
-    driver's disk, and it is removed when the driver ends.
+    driver's disk, and it is removed when the driver ends, or at the end of
+    ``passing_copies``.
     """
     target = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the writer makes the folder
+    found = _hadoop(spark, target)
+    if found is None:  # the writer makes the folder
         return target
-    path = sc._jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs, path = found
     fs.mkdirs(path)
     fs.deleteOnExit(path)
-    return fs.makeQualified(path).toString()
+    target = fs.makeQualified(path).toString()
+    if (mine := _passing.get()) is not None:
+        mine.append(target)
+    return target
+
+
+def _hadoop(spark: SparkSession, target: str):
+    """(file system, path) of a folder; None in Spark Connect sessions."""
+    try:
+        sc = spark.sparkContext
+    except Exception:
+        return None
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    return path.getFileSystem(sc._jsc.hadoopConfiguration()), path
+
+
+def remove_copy(spark: SparkSession, target: str) -> None:
+    """Delete a folder of ``scratch_dir`` before the driver ends; one that is
+    gone already is left at that."""
+    if (found := _hadoop(spark, target)) is not None:
+        fs, path = found
+        fs.delete(path, True)
+        fs.cancelDeleteOnExit(path)
+
+
+@contextlib.contextmanager
+def passing_copies(spark: SparkSession) -> Iterator[None]:
+    """Folders that this thread makes inside are deleted at the end, also after
+    an error. It goes around a step whose outcome is written to a folder made
+    before: frames of the step can't be read any more after it."""
+    mine: list[str] = []
+    token = _passing.set(mine)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        for target in mine:
+            remove_copy(spark, target)
 
 
 def materialize(df, name: str = "stage"):
