@@ -3,7 +3,9 @@ source mixing and packing, each an operator of ``zonepulse.llm``.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run``
 writes each stage's rows as Parquet in the shared folder and hands the stored
-copy to the next stage, so a lost executor costs one stage's tasks at most.
+copy to the next stage, so a lost executor costs one stage's tasks at most. The
+copies that a stage made on its way go once its rows are written, and its rows
+once the next stage's are; the last stage's stay until the driver ends.
 All stages but the last return the columns of documents. Null texts, empty
 tables, repeated rows and further columns are handled as each operator's
 module says.
@@ -14,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from zonepulse.llm import dedup, mixing, ngram_join, packing, toxicity
-from zonepulse.llm.common import read, stored
+from zonepulse.llm.common import read
+from zonepulse.session import passing_copies, remove_copy, scratch_dir
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents")
+    docs, before = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        target = scratch_dir(spark, f"stage-{name}")
+        with passing_copies(spark):
+            stage(spark, docs, sf_dir).write.mode("overwrite").parquet(target)
+        if before:
+            remove_copy(spark, before)
+        docs, before = spark.read.parquet(target), target
     return docs
