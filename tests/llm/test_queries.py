@@ -26,6 +26,7 @@ def test_all_ten_are_registered_with_the_pipeline():
 
 def test_pipeline_stages(spark):
     import corpus_pipeline as p
+    from zonepulse.llm.common import stored
 
     from tests.llm.test_ngram_join import brute
 
@@ -33,7 +34,7 @@ def test_pipeline_stages(spark):
     columns = docs.columns
     seen = [docs]
     for name, stage in p.STAGES:
-        seen.append(p.stored(stage(spark, seen[-1], SF_SMALL), f"test-{name}"))
+        seen.append(stored(stage(spark, seen[-1], SF_SMALL), f"test-{name}"))
     assert [d.columns for d in seen[:-1]] == [columns] * 5
     rows = [[(r.doc_id, r.text) for r in d.select("doc_id", "text").collect()] for d in seen[:-1]]
     assert set(rows[1]) <= set(rows[0])
@@ -45,3 +46,18 @@ def test_pipeline_stages(spark):
     assert set(rows[4]) <= set(rows[3]) and max(rows[4].count(r) for r in set(rows[4])) <= 2
     packed = seen[5].groupBy("doc_id").sum("length").count()
     assert packed == len(set(rows[4]))
+
+
+def test_the_run_keeps_the_copy_of_its_last_stage_alone(spark, monkeypatch):
+    import os
+
+    import corpus_pipeline as p
+    from zonepulse.session import ensure_checkpoint_dir
+
+    root = ensure_checkpoint_dir(spark).removeprefix("file:")
+    names = [name for name, _ in p.STAGES if name != "toxicity"]
+    monkeypatch.setattr(p, "STAGES", [s for s in p.STAGES if s[0] in names])
+    before = set(os.listdir(root))
+    out = p.run(spark, SF_SMALL)
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(root)) - before}
+    assert left == {"stage-packing"} and out.count() > 0
