@@ -101,3 +101,64 @@ def test_one_count_of_windows_and_a_rollup_instead_of_explosions(spark, make_doc
 
     plan = plan_text(C.windows(make_docs([(1, "a b c")])))
     assert plan.count("Generate") >= 2 and "Exchange" not in plan.split("Generate")[0] and "Window" not in plan
+
+
+def plain_pieces(rows, pairs):
+    """Pieces broken between words that aren't in ``pairs`` (lang, a, b)."""
+    out = Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text):
+            run = []
+            for word in re.findall(r"[^\x20\x09]+", piece):
+                if run and (lang, run[-1], word) not in pairs:
+                    out[lang, " ".join(run)] += 1
+                    run = []
+                run.append(word)
+            if run:
+                out[lang, " ".join(run)] += 1
+    return out
+
+
+@pytest.mark.parametrize("fold", [1, 1 << 25])
+def test_pieces_break_at_rare_pairs_and_are_folded(spark, make_docs, monkeypatch, fold):
+    """A task hands on each different rest of a piece once, not each word."""
+    monkeypatch.setattr(C, "FOLD_BYTES", fold)
+    rows = corpus(6) + [("Of  the\tOF THE", "en"), ("a" * 3000 + " é", "\U0001f600")]
+    pairs = Counter()
+    for text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", text or ""):
+            words = ["".join(c.lower() if "A" <= c <= "Z" else c for c in w) for w in re.findall(r"[^\x20\x09]+", piece)]
+            pairs.update(("und" if lang is None else lang, a, b) for a, b in zip(words, words[1:]))
+    docs = C._rows(make_docs([(i, t, lang, "s") for i, (t, lang) in enumerate(rows)], 1), "text", "lang")
+    found = C.broken(docs, C.frequent_pairs(docs, 20)).collect()
+    want = plain_pieces(rows, {p for p, n in pairs.items() if n >= 20})
+    got = Counter()
+    for r in found:
+        got[r.lang, r.text] += r.times
+    assert got == want and any(" " in t for _, t in want)
+    assert fold == 1 or len(found) == len(want) < sum(want.values()) / 2
+
+
+def test_all_counters_full_break_nothing(spark, make_docs):
+    rows = [("a b, c d e", "en"), ("a  b", "en")]
+    docs = C._rows(make_docs([(i, t, lang, "s") for i, (t, lang) in enumerate(rows)], 1), "text", "lang")
+    whole = C.np.full(1 << 23, 255, C.np.uint8)
+    assert sorted(map(tuple, C.broken(docs, whole).collect())) == [("en", "a b", 2), ("en", "c d e", 1)]
+    none = C.np.zeros(1 << 23, C.np.uint8)
+    assert sorted(map(tuple, C.broken(docs, none).collect())) == [("en", x, 2 if x in "ab" else 1) for x in "abcde"]
+
+
+def test_texts_beyond_a_stretch(spark, make_docs, monkeypatch):
+    """Long texts are cut at marks alone; pairs are counted once, folded in
+    several turns."""
+    text = "new york city. " * 90_000 + "no mark here " * 100_000 + "new york"
+    docs = make_docs([(1, text, "en", "s"), (2, "new york", "en", "s"), (3, None, None, "s")])
+    texts = C.pa.array([text, "new york"])
+    parts = [bytes(data) for _, data, _ in C._stretches(texts)]
+    assert b"".join(parts) == (text + "new york").encode() and len(parts) > 2
+    assert all(p.endswith(b".") for p in parts[:-2])
+    monkeypatch.setattr(C, "PAIRS_AT_ONCE", 1000)
+    rows = [(text, "en"), ("new york", "en"), (None, None)]
+    assert sorted(map(tuple, C.collocations(docs).collect())) == brute(rows, 30, 2000)

@@ -85,20 +85,29 @@ def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int
         row = stop
 
 
-def word_hashes(
-    data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, fold: np.ndarray = SAME, prefix: int = 0
-) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    """(hash of each word, words before each row and in all, hash of each
-    word's first ``prefix`` bytes or None)."""
+def word_bounds(data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends; no word crosses a row's end."""
     inside = in_word[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     heads = offsets[:-1][offsets[:-1] < len(data)]
     first[heads] = inside[heads]
-    starts = np.flatnonzero(first)
     last = inside.copy()
     last[:-1] &= ~inside[1:] | first[1:]
-    stops = np.flatnonzero(last) + 1
+    return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
+    """The hash of each word between ascending bounds."""
+    return mixed((_sums_at(data, fold, stops) - _sums_at(data, fold, starts)) * _inverse_powers(starts))
+
+
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, fold: np.ndarray = SAME, prefix: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """(hash of each word, words before each row and in all, hash of each
+    word's first ``prefix`` bytes or None)."""
+    starts, stops = word_bounds(data, offsets, in_word)
     scale = _inverse_powers(starts)
     at_starts = _sums_at(data, fold, starts)
     words = mixed((_sums_at(data, fold, stops) - at_starts) * scale)
